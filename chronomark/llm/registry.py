@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chronomark.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from chronomark.llm.simhash import op7_simhash_near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_benchmark_decontamination": OP8_SQL,
+}
