@@ -29,15 +29,23 @@ from chronomark.llm._common import materialize, partitions_for, table
 MAX_TOKENS = 2048
 EOS = 0
 GROUP = 20_000
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 900_000
 CACHE_CHUNK = 64
 
 #: What str.split() takes for white space and the tokenizer does not, or may not.
-_ODD_SPACE = re.compile("[\x1c-\x1f᠎]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\u180e]")
+#: A run of these at the end of a word is one pre-token.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Words that are encoded in one call; texts that are split at a time, in characters.
+_CALL, _SLICE = 2_000, 2_000_000
 
 
 class ChunkTokenizer:
-    """A word-level BPE tokenizer file with a bounded cache of white-space chunks; ids as little-endian uint32 bytes."""
+    """A word-level BPE tokenizer file with a bounded cache of white-space chunks; ids as little-endian uint32 bytes.
+
+    The tokenizer drops white space, lower-cases, and encodes runs of letters on their own. So a chunk that is a word, or a
+    word and punctuation, is put together from the ids of both, and new words are encoded many in one call.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,24 +53,76 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return self._ids([text])[0]
-        chunks, cache = text.split(), self.cache
-        try:
-            return b"".join(map(cache.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        new = [c for c in dict.fromkeys(chunks) if c not in cache]
-        ids = dict(zip(new, self._ids(new), strict=True))
+    def _learn_words(self, words: list[str]) -> None:
+        """Ids of words that are letters only: one pre-token each, in the order in which they stand."""
+        for at in range(0, len(words), _CALL):
+            part = words[at : at + _CALL]
+            (e,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(e.ids, dtype="<u4")
+            bounds = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
+            if len(bounds) != len(part):  # a word of several pre-tokens
+                self.cache.update(zip(part, self._ids(part), strict=True))
+                continue
+            raw = ids.tobytes()
+            self.cache.update(zip(part, [raw[i:j] for i, j in zip([0, *bounds], bounds, strict=False)], strict=True))
+
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of new chunks; those too long for the cache are returned instead."""
+        cache, forms, words, whole = self.cache, [], {}, []
+        for c in chunks:
+            body = c.rstrip(_MARKS)
+            if len(c) <= CACHE_CHUNK and body.isalpha():
+                tail = c[len(body) :]
+                if body.isascii() or max(body) < "\u0250" and "\u0130" not in body:  # one to one and normal, before and after
+                    body = body.lower()
+                elif tail:  # lower-casing may add marks that join the punctuation
+                    whole.append(c)
+                    continue
+                forms.append((c, body, tail))
+                if body not in cache:
+                    words[body] = None
+            else:
+                whole.append(c)
+        self._learn_words(list(words))
+        ids = dict(zip(whole, self._ids(whole), strict=True))
         cache.update((c, b) for c, b in ids.items() if len(c) <= CACHE_CHUNK)
-        return b"".join([cache[c] if c in cache else ids[c] for c in chunks])
+        marks = list({tail for _, _, tail in forms if tail})
+        ends = {"": b"", **dict(zip(marks, self._ids(marks), strict=True))}
+        cache.update((c, cache[body] + ends[tail]) for c, body, tail in forms)
+        return ids
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        at = 0
+        while at < len(texts):
+            upto, size = at, 0
+            while upto < len(texts) and (upto == at or size < _SLICE):
+                size += len(texts[upto])
+                upto += 1
+            if len(self.cache) > CACHE_ENTRIES:
+                self.cache.clear()
+            cache = self.cache
+            split = [None if _ODD_SPACE.search(t) else t.split() for t in texts[at:upto]]
+            new = set().union(*[s for s in split if s]).difference(cache)
+            ids = self._learn(list(new))
+            for t, s in zip(texts[at:upto], split, strict=True):
+                if s is None:
+                    yield self._ids([t])[0]
+                else:
+                    try:
+                        yield b"".join(map(cache.__getitem__, s))
+                    except KeyError:
+                        yield b"".join([cache[c] if c in cache else ids[c] for c in s])
+            at = upto
+
+    def encode(self, text: str) -> bytes:
+        return next(self.encode_all([text]))
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
@@ -92,11 +152,11 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str | None = None, max_toke
     width = 4 * max_tokens
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode
+        encode = tokenizer(path).encode_all
         for batch in it:
             cols: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text or "") + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+                ids += end
                 for n, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     for c, v in zip(cols, (doc_id, n, at // 4, len(part) // 4, part), strict=True):
