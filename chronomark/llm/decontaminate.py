@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronomark.llm._common import as_bytes, open_filesystem, shared_path, table
 
@@ -223,7 +224,7 @@ def _scanner(benchmark: DataFrame, window: int, shard_words: int) -> _Scanner:
     return _Scanner(None, sorted(names), window)
 
 
-def _scanned(docs: DataFrame, benchmark: DataFrame, window: int, shard_words: int, make: Callable, schema: str) -> DataFrame:
+def _scanned(docs: DataFrame, benchmark: DataFrame, window: int, shard_words: int, make: Callable, schema) -> DataFrame:
     scanner = _scanner(benchmark, window, shard_words)
     with_bytes = docs.withColumn("__b", F.col("text").cast("binary"))
 
@@ -303,7 +304,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
         whole = pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], schema=pa.schema([*list(batch.schema)[:-1], ("__new", pa.string()), ("__changed", pa.bool_())]))
         return whole.filter(pa.array(keep, pa.bool_()))
 
-    schema = docs.schema.add("__new", "string").add("__changed", "boolean")
+    schema = T.StructType([*docs.schema.fields, T.StructField("__new", T.StringType()), T.StructField("__changed", T.BooleanType())])
     scanned = _scanned(docs, benchmark, window, shard_words, make, schema)
     text = F.when(F.col("__changed"), F.col("__new")).otherwise(F.col("text"))
     cols = {"text": text} | ({"n_chars": F.when(F.col("__changed"), F.char_length("__new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if counted else {})

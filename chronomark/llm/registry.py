@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from chronomark.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from chronomark.llm.lm_scoring import op10_lm_scoring
 from chronomark.llm.packing import op2_best_fit_packing
+from chronomark.llm.pii import op6_surrogate_generation
 from chronomark.llm.quality import op9_quality_classifier
 from chronomark.llm.simhash import op7_simhash_near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op6_surrogate_generation": op6_surrogate_generation,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
