@@ -2,7 +2,7 @@
 
 Fitting: trusted rows are those that all labels call good and none toxic. A fifth of them (by hash of the id) is held
 out for the thresholds. Of the others at most ``train_docs`` documents a language in expectation train the model: a
-documented bound, kept by a hash of the id. Counts, continuation counts and counts of counts are grouped sums.
+documented bound, kept by a hash of the id, so that one task fits one language in bounded memory.
 
 Scoring: the model is a table of hashed n-grams with weights, written in shards of the shared folder by the leading
 bits of the hash. A task keeps its documents and takes their n-grams through the shards one after the other (sorted
@@ -18,6 +18,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -79,40 +80,50 @@ def _hashed(texts: list[str | None], salt: int) -> tuple[np.ndarray, np.ndarray,
     return np.array(out, dtype=np.uint64), np.cumsum(sizes) - sizes, sizes - 3
 
 
-_GRAM = pa.schema([("lang", pa.string()), ("u", pa.int64()), ("v", pa.int64()), ("w", pa.int64())])
-
-
-def _gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            h = _hashed([text], _salt(lang))[0].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([lang or ""] * (len(h) - 2)), pa.array(h[:-2]), pa.array(h[1:-1]), pa.array(h[2:])], schema=_GRAM)
-
-
-def _discounts(n: dict) -> tuple[float, float, float]:
-    """Modified Kneser-Ney discounts from counts of counts; within their bounds when counts are few."""
-    n1, n2, n3, n4 = (n[f"n{i}"] or 0 for i in (1, 2, 3, 4))
+def _discounts(counts: np.ndarray) -> np.ndarray:
+    """Modified Kneser-Ney discounts of the counts 1, 2 and more from counts of counts, within their bounds."""
+    n1, n2, n3, n4 = (float((counts == i).sum()) for i in (1, 2, 3, 4))
     y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.5
     d1 = 1 - 2 * y * n2 / n1 if n1 else 0.5
     d2 = 2 - 3 * y * n3 / n2 if n2 else 1.0
     d3 = 3 - 4 * y * n4 / n3 if n3 else 1.5
-    return min(max(d1, 0.1), 0.99), min(max(d2, 0.1), 1.98), min(max(d3, 0.1), 2.97)
-
-
-def _order(grams: DataFrame, context: list[str], word: str, tag: str) -> tuple[DataFrame, DataFrame, dict]:
-    """``(grams with alpha, contexts with gamma, discounts)`` of one order; ``grams`` has lang, context, word and c."""
-    counts = grams.groupBy("lang").agg(*[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).collect()  # at most LANGUAGES rows
-    by_lang = {r["lang"]: _discounts(r.asDict()) for r in counts}
-    table_ = grams.sparkSession.createDataFrame([(k, *v) for k, v in by_lang.items()] or [("", 0.5, 1.0, 1.5)], "lang string, d1 double, d2 double, d3 double")
-    d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    discounted = grams.join(F.broadcast(table_), "lang").withColumn("d", d).drop("d1", "d2", "d3")
-    contexts = discounted.groupBy("lang", *context).agg(F.sum("c").alias("total"), F.sum("d").alias("off"))
-    contexts = contexts.withColumn("gamma", F.col("off") / F.col("total"))
-    alpha = discounted.join(contexts, ["lang", *context]).withColumn("alpha", (F.col("c") - F.col("d")) / F.col("total"))
-    return alpha.select("lang", *context, word, "alpha"), contexts.select("lang", *context, "gamma"), by_lang
-
-
-_ENTRY = pa.schema([("shard", pa.int32()), ("key", pa.int64()), ("a", pa.float32()), ("b", pa.float32())])
+    return np.array([0.0, min(max(d1, 0.1), 0.99), min(max(d2, 0.1), 1.98), min(max(d3, 0.1), 2.97)])
+
+
+def _order(counts: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(alpha of every n-gram, contexts, gamma of every context)`` of one order."""
+    d = _discounts(counts)[np.minimum(counts, 3)]
+    contexts, at = np.unique(context, return_inverse=True)
+    total, off = np.bincount(at, weights=counts), np.bincount(at, weights=d)
+    return (counts - d) / total[at], contexts, off / total
+
+
+def fit_language(texts: list[str | None], lang: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """``(key, a, b, weight of an unseen word)``: per word p1 and gamma, per pair alpha and gamma, per triple alpha."""
+    h, first, words = _hashed(texts, _salt(lang))
+    inner = np.ones(len(h), dtype=bool)
+    inner[first] = inner[first + 1] = False
+    at = np.flatnonzero(inner)
+    pair = _mix(h[:-1], h[1:])
+    k3, i3, c3 = np.unique(_mix(pair[at - 2], h[at]), return_index=True, return_counts=True)
+    at = at[i3]
+    a3, pairs3, g3 = _order(c3, pair[at - 2])
+    k2, i2, c2 = np.unique(pair[at - 1], return_index=True, return_counts=True)
+    at = at[i2]
+    a2, words2, g2 = _order(c2, h[at - 1])
+    k1, c1 = np.unique(h[at], return_counts=True)
+    a1, _, g1 = _order(c1, np.zeros(len(c1), np.uint64))
+    unseen = float(g1[0]) / (len(k1) + 1)
+
+    def joined(ka: np.ndarray, a: np.ndarray, kb: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys = np.union1d(ka, kb)
+        va, vb = np.zeros(len(keys)), np.full(len(keys), np.nan)
+        va[np.searchsorted(keys, ka)] = a
+        vb[np.searchsorted(keys, kb)] = b
+        return keys, va, vb
+
+    parts = [joined(k1, a1 + unseen, words2, g2), joined(k2, a2, pairs3, g3), (k3, a3, np.full(len(k3), np.nan))]
+    return (*(np.concatenate(x) for x in zip(*parts, strict=True)), unseen)
 
 
 class Model:
@@ -201,36 +212,21 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
     rate = spark.createDataFrame(rates or [("", 0.0)], "lang string, rate double")
     draw = (F.xxhash64(F.lit(11), "doc_id") / F.lit(2.0**64)) + 0.5
     sample = pool.join(F.broadcast(rate), "lang").where(draw < F.col("rate")).select("doc_id").distinct()  # LANGUAGES * train_docs ids at most, in expectation
-    texts = docs.join(F.broadcast(sample), "doc_id", "left_semi").select("lang", "text")
-    grams = texts.mapInArrow(_gram_batches, "lang string, u long, v long, w long")
-    tri = materialize(grams.groupBy("lang", "u", "v", "w").agg(F.count("*").alias("c")), "kn-trigrams")
-    bi = materialize(tri.groupBy("lang", "v", "w").agg(F.count("*").alias("c")), "kn-bigrams")
-    uni = bi.groupBy("lang", "w").agg(F.count("*").alias("c"))
-    a3, g3, _ = _order(tri, ["u", "v"], "w", "3")
-    a2, g2, _ = _order(bi, ["v"], "w", "2")
-    uni = materialize(uni, "kn-unigrams")
-    a1, g1, _ = _order(uni, [], "w", "1")
-    floors = uni.groupBy("lang").agg((F.count("*") + 1).alias("v")).join(g1, "lang").select("lang", (F.col("gamma") / F.col("v")).alias("p0"))
-    a1 = a1.join(F.broadcast(floors), "lang").select("lang", "w", (F.col("alpha") + F.col("p0")).alias("p1"))
-    words = a1.join(g2.withColumnRenamed("v", "w"), ["lang", "w"], "full").select("w", F.lit(None).cast("long").alias("v"), F.lit(None).cast("long").alias("u"), F.coalesce("p1", F.lit(0.0)).alias("a"), F.col("gamma").alias("b"))
-    pairs = a2.join(g3.select("lang", F.col("v").alias("w"), F.col("u").alias("v"), "gamma"), ["lang", "v", "w"], "full").select("w", "v", F.lit(None).cast("long").alias("u"), F.coalesce("alpha", F.lit(0.0)).alias("a"), F.col("gamma").alias("b"))
-    triples = a3.select("w", "v", "u", F.col("alpha").alias("a"), F.lit(None).cast("double").alias("b"))
-    entries = tri.count() + bi.count() + uni.count()
-    bits = max(0, (partitions_for(spark, entries, SHARD_ENTRIES) - 1).bit_length())
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            w, v, u = (batch.column(i) for i in range(3))
-            none_v, none_u = v.is_null().to_numpy(zero_copy_only=False), u.is_null().to_numpy(zero_copy_only=False)
-            hw, hv, hu = (np.ascontiguousarray(c.fill_null(0).to_numpy(zero_copy_only=False)).view(np.uint64) for c in (w, v, u))
-            key = np.where(none_v, hw, np.where(none_u, _mix(hv, hw), _mix(_mix(hu, hv), hw)))
-            shard = (key >> _U(64 - bits)).astype(np.int32) if bits else np.zeros(len(key), np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(key.view(np.int64)), batch.column(3).cast(pa.float32()), batch.column(4).cast(pa.float32())], schema=_ENTRY)
-
+    texts = docs.join(F.broadcast(sample), "doc_id", "left_semi").select(F.coalesce("lang", F.lit("")).alias("lang"), "text")
+
+    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
+        lang = rows["lang"].iloc[0]
+        key, a, b, unseen = fit_language(rows["text"].tolist(), lang)
+        out = pd.DataFrame({"lang": None, "key": key.view(np.int64), "a": a.astype(np.float32), "b": b.astype(np.float32)})
+        return pd.concat([out, pd.DataFrame({"lang": [lang], "key": [0], "a": [0.0], "b": [0.0], "unseen": [unseen]})])
+
+    entries = materialize(texts.groupBy("lang").applyInPandas(fitted, "lang string, key long, a float, b float, unseen double"), "kn-entries")
+    floors = entries.where("lang is not null").select("lang", "unseen").collect()  # one row a language, LANGUAGES at most
+    bits = max(0, (partitions_for(spark, entries.count(), SHARD_ENTRIES) - 1).bit_length())
+    shard = F.shiftrightunsigned("key", 64 - bits).cast("int") if bits else F.lit(0)
     path = shared_path(spark, "kn-model")
-    rows = words.unionByName(pairs).unionByName(triples).mapInArrow(keyed, "shard int, key long, a float, b float")
-    rows.repartition(1 << bits, "shard").write.partitionBy("shard").parquet(path)
-    return Model(path, bits, {r["lang"]: r["p0"] for r in floors.collect()})  # at most LANGUAGES rows
+    entries.where("lang is null").select(shard.alias("shard"), "key", "a", "b").repartition(1 << bits, "shard").write.partitionBy("shard").parquet(path)
+    return Model(path, bits, {r["lang"]: r["unseen"] for r in floors})
 
 
 def _score_rows(batch: pa.RecordBatch, model: Model) -> tuple[list, list]:
