@@ -12,9 +12,11 @@ from chronomark.llm.packing import op2_best_fit_packing
 from chronomark.llm.pii import op6_surrogate_generation
 from chronomark.llm.quality import op9_quality_classifier
 from chronomark.llm.simhash import op7_simhash_near_dedup
+from chronomark.llm.warc import OP5_SQL, op5_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_warc": op5_warc,
     "op6_surrogate_generation": op6_surrogate_generation,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
@@ -23,5 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_warc": OP5_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
 }
