@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chronomark.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from chronomark.llm.lm_scoring import op10_lm_scoring
+from chronomark.llm.multiset_hash import op4_multiset_fingerprints
 from chronomark.llm.packing import op2_best_fit_packing
 from chronomark.llm.pii import op6_surrogate_generation
 from chronomark.llm.quality import op9_quality_classifier
@@ -16,6 +17,7 @@ from chronomark.llm.warc import OP5_SQL, op5_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_multiset_fingerprints": op4_multiset_fingerprints,
     "op5_warc": op5_warc,
     "op6_surrogate_generation": op6_surrogate_generation,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
