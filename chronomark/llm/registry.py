@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chronomark.llm.chat_format import op3_chat_windows
 from chronomark.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from chronomark.llm.lm_scoring import op10_lm_scoring
 from chronomark.llm.multiset_hash import op4_multiset_fingerprints
@@ -17,6 +18,7 @@ from chronomark.llm.warc import OP5_SQL, op5_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_chat_windows": op3_chat_windows,
     "op4_multiset_fingerprints": op4_multiset_fingerprints,
     "op5_warc": op5_warc,
     "op6_surrogate_generation": op6_surrogate_generation,
