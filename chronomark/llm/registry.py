@@ -14,9 +14,11 @@ from chronomark.llm.packing import op2_best_fit_packing
 from chronomark.llm.pii import op6_surrogate_generation
 from chronomark.llm.quality import op9_quality_classifier
 from chronomark.llm.simhash import op7_simhash_near_dedup
+from chronomark.llm.substring_dedup import op1_substring_dedup
 from chronomark.llm.warc import OP5_SQL, op5_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_chat_windows": op3_chat_windows,
     "op4_multiset_fingerprints": op4_multiset_fingerprints,
