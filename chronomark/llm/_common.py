@@ -77,6 +77,16 @@ def open_filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(name: str) -> dict:
+    """What a Python worker keeps between tasks, for one operator at a time: a worker that turns to another drops it."""
+    for other in [k for k in _CACHES if k != name]:
+        del _CACHES[other]
+    return _CACHES.setdefault(name, {})
+
+
 def as_bytes(values: Iterable) -> list[bytes]:
     """Texts of an Arrow binary column as bytes; null counts as empty."""
     return [v if v is not None else b"" for v in values]

@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronomark.llm._common import materialize, partitions_for, table
+from chronomark.llm._common import materialize, partitions_for, table, worker_cache
 
 MAX_TOKENS = 2048
 EOS = 0
 GROUP = 20_000
-CACHE_ENTRIES = 900_000
+CACHE_ENTRIES = 700_000
 CACHE_CHUNK = 64
 
 #: What str.split() takes for white space and the tokenizer does not, or may not.
@@ -125,13 +125,11 @@ class ChunkTokenizer:
         return next(self.encode_all([text]))
 
 
-_TOKENIZERS: dict[str, ChunkTokenizer] = {}
-
-
 def tokenizer(path: str) -> ChunkTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ChunkTokenizer(path)
-    return _TOKENIZERS[path]
+    kept = worker_cache("tokenizers")
+    if path not in kept:
+        kept[path] = ChunkTokenizer(path)
+    return kept[path]
 
 
 def default_tokenizer_path() -> str:

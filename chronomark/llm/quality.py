@@ -18,20 +18,20 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomark.llm._common import materialize, open_filesystem, partitions_for, shared_path, table
+from chronomark.llm._common import materialize, open_filesystem, shared_path, table, worker_cache
 
 TRAIN_DOCS = 1_000
 LANGUAGES = 64
 LEAST_DOCS = 20
 QUANTILE = 0.99
-SHARD_ENTRIES = 1_000_000
-CACHED_SHARDS = 6
+#: Shards of the model, as a power of two; n-grams of shards that a worker keeps.
+MODEL_BITS = 5
+CACHED_ENTRIES = 6_000_000
 SLICE_TOKENS = 400_000
 
 _U = np.uint64
@@ -132,25 +132,31 @@ class Model:
     def __init__(self, path: str, bits: int, unseen: dict[str, float]):
         self.path, self.bits, self.unseen = path, bits, unseen
 
-    def shard(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted keys and the two weights of shard ``k``; a worker keeps the last few."""
-        name = (self.path, k)
-        if name in _SHARDS:
-            _SHARDS.move_to_end(name)
-            return _SHARDS[name]
+    def _parts(self, k: int) -> list[pa.Table]:
         import pyarrow.parquet as pq
         from pyarrow import fs
 
         store, path = open_filesystem(f"{self.path}/shard={k}")
         found = [f.path for f in store.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet")]
-        parts = [pq.ParquetFile(store.open_input_file(f)).read(columns=["key", "a", "b"]) for f in sorted(found)]
-        whole = pa.concat_tables(parts) if parts else pa.table({"key": pa.array([], pa.int64()), "a": pa.array([], pa.float32()), "b": pa.array([], pa.float32())})
-        keys = whole.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        _SHARDS[name] = keys[order], whole.column("a").to_numpy()[order], whole.column("b").to_numpy()[order]
-        while len(_SHARDS) > CACHED_SHARDS:
-            _SHARDS.popitem(last=False)
-        return _SHARDS[name]
+        return [pq.ParquetFile(store.open_input_file(f)).read() for f in sorted(found)]
+
+    def _load(self, k: int) -> list[np.ndarray]:
+        parts = self._parts(k)
+        column = lambda c, kind: np.concatenate([p.column(c).to_numpy() for p in parts]) if parts else np.zeros(0, kind)
+        return [column("key", np.int64).view(np.uint64), column("a", np.float32), column("b", np.float32)]
+
+    def shard(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys and the two weights of shard ``k``; a worker keeps the last few."""
+        kept = worker_cache("shards").setdefault("lru", OrderedDict())
+        name = (self.path, k)
+        if name not in kept:
+            keys, a, b = self._load(k)
+            order = np.argsort(keys)
+            kept[name] = keys[order], a[order], b[order]
+            while len(kept) > 1 and sum(len(x[0]) for x in kept.values()) > CACHED_ENTRIES:
+                kept.popitem(last=False)
+        kept.move_to_end(name)
+        return kept[name]
 
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Weights of ``keys``: NaN where there is no such n-gram."""
@@ -192,7 +198,14 @@ class Model:
         return words + 1, logs
 
 
-_SHARDS: OrderedDict[tuple[str, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = OrderedDict()
+class PackedModel(Model):
+    """A model whose shards are written as blobs: keys and weights of a language and shard, as they lie in memory."""
+
+    def _load(self, k: int) -> list[np.ndarray]:
+        blobs = [b for p in self._parts(k) for b in p.column("data").to_pylist()]
+        n = [len(b) // 16 for b in blobs]
+        read = lambda kind, at: [np.frombuffer(b, kind, m, at * m) for b, m in zip(blobs, n, strict=True)]
+        return [np.concatenate(x) if blobs else np.zeros(0, kind) for kind, x in ((np.uint64, read("<u8", 0)), (np.float32, read("<f4", 8)), (np.float32, read("<f4", 12)))]
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -214,19 +227,20 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
     sample = pool.join(F.broadcast(rate), "lang").where(draw < F.col("rate")).select("doc_id").distinct()  # LANGUAGES * train_docs ids at most, in expectation
     texts = docs.join(F.broadcast(sample), "doc_id", "left_semi").select(F.coalesce("lang", F.lit("")).alias("lang"), "text")
 
-    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
-        lang = rows["lang"].iloc[0]
-        key, a, b, unseen = fit_language(rows["text"].tolist(), lang)
-        out = pd.DataFrame({"lang": None, "key": key.view(np.int64), "a": a.astype(np.float32), "b": b.astype(np.float32)})
-        return pd.concat([out, pd.DataFrame({"lang": [lang], "key": [0], "a": [0.0], "b": [0.0], "unseen": [unseen]})])
+    def fitted(rows: pa.Table) -> pa.Table:
+        worker_cache("fit")
+        lang = rows.column("lang")[0].as_py()
+        key, a, b, unseen = fit_language(rows.column("text").to_pylist(), lang)
+        order = np.argsort(key)
+        key, a, b = key[order], a[order].astype("<f4"), b[order].astype("<f4")
+        cuts = np.searchsorted(key >> _U(64 - MODEL_BITS), np.arange((1 << MODEL_BITS) + 1, dtype=np.uint64)).tolist()
+        data = [key[i:j].tobytes() + a[i:j].tobytes() + b[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)]
+        return pa.table({"lang": [lang] * len(data), "unseen": [unseen] * len(data), "shard": pa.array(range(len(data)), pa.int32()), "data": data})
 
-    entries = materialize(texts.groupBy("lang").applyInPandas(fitted, "lang string, key long, a float, b float, unseen double"), "kn-entries")
-    floors = entries.where("lang is not null").select("lang", "unseen").collect()  # one row a language, LANGUAGES at most
-    bits = max(0, (partitions_for(spark, entries.count(), SHARD_ENTRIES) - 1).bit_length())
-    shard = F.shiftrightunsigned("key", 64 - bits).cast("int") if bits else F.lit(0)
     path = shared_path(spark, "kn-model")
-    entries.where("lang is null").select(shard.alias("shard"), "key", "a", "b").repartition(1 << bits, "shard").write.partitionBy("shard").parquet(path)
-    return Model(path, bits, {r["lang"]: r["unseen"] for r in floors})
+    texts.groupBy("lang").applyInArrow(fitted, "lang string, unseen double, shard int, data binary").write.partitionBy("shard").parquet(path)
+    floors = spark.read.parquet(path).where("shard = 0").select("lang", "unseen").collect()  # one row a language, LANGUAGES at most
+    return PackedModel(path, MODEL_BITS, {r["lang"]: r["unseen"] for r in floors})
 
 
 def _score_rows(batch: pa.RecordBatch, model: Model) -> tuple[list, list]:
