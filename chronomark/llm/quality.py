@@ -239,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
 
     path = shared_path(spark, "kn-model")
     texts.groupBy("lang").applyInArrow(fitted, "lang string, unseen double, shard int, data binary").write.partitionBy("shard").parquet(path)
-    floors = spark.read.parquet(path).where("shard = 0").select("lang", "unseen").collect()  # one row a language, LANGUAGES at most
+    floors = spark.read.schema("lang string, unseen double, data binary, shard int").parquet(path).where("shard = 0").select("lang", "unseen").collect()  # one row a language, LANGUAGES at most
     return PackedModel(path, MODEL_BITS, {r["lang"]: r["unseen"] for r in floors})
 
 

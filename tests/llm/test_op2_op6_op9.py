@@ -1,0 +1,177 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from chronomark.llm import packing, pii, quality
+from tests.llm import _docs
+
+
+def test_chunk_tokenizer_is_the_tokenizer():
+    import random
+
+    t = packing.ChunkTokenizer(packing.default_tokenizer_path())
+    pool = [*"ab'strvZÉßŒİΣσς .,!?-_12٣ ́\t\n\x1c中ª²<|", "<|endoftext|>", "'s", "don't", "ﬁ", "😀", "é"]
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 40))) for _ in range(800)]
+    assert list(t.encode_all(texts)) == t._ids(texts)
+
+
+def test_packing_digests(spark):
+    rows = _docs.rows()
+    got = packing.pack_digests(_docs.frame(spark), group=25).toPandas()
+    whole = Tokenizer.from_file(packing.default_tokenizer_path())
+    want = []
+    for r in rows:
+        ids = [*whole.encode(r[1] or "", add_special_tokens=False).ids, 0]
+        want += [(str(r[0]), n, at, len(ids[at : at + 2048]), zlib.crc32(np.array(ids[at : at + 2048], "<u4").tobytes())) for n, at in enumerate(range(0, len(ids), 2048))]
+    ids = ["None" if x != x else str(int(x)) for x in got["doc_id"]]
+    assert sorted(zip(ids, got["piece"], got["start"], got["length"], got["ids_crc32"], strict=True)) == sorted(want)
+    for _, s in got.sort_values("offset").groupby("sequence_id"):
+        assert list(s["offset"]) == [0, *np.cumsum(s["length"])[:-1]] and s["length"].sum() <= 2048
+    assert packing.pack_digests(_docs.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("criterion", ["norm", "dot"])
+def test_best_fit_keeps_every_capacity(criterion):
+    rng = np.random.default_rng(1)
+    n = rng.integers(1, 900, 600)
+    bins, offsets = packing.best_fit(n, 1000, 5, 820_000, (1.0, 0.2, 0.2), criterion)
+    for b in range(bins.max() + 1):
+        own = n[bins == b]
+        assert 0 < len(own) <= 5 and own.sum() <= 1000 and (own.astype(np.int64) ** 2).sum() <= 820_000
+        assert sorted(offsets[bins == b]) == sorted(np.cumsum([0, *own[np.argsort(offsets[bins == b])]])[:-1])
+    tight, _ = packing.best_fit(n, 1000, 1000, 10**6, (1.0, 1e-4, 1e-4), criterion)
+    if criterion == "norm":
+        assert tight.max() + 1 <= n.sum() / 1000 * 1.03 + 1
+    with pytest.raises(ValueError, match="capacities"):
+        packing.best_fit(np.array([1001]), 1000, 5, 10**9, (1, 0, 0))
+
+
+@pytest.mark.parametrize("domain", [2, 10, 97, 1000])
+def test_permute_is_a_permutation(domain):
+    assert sorted(pii.permute(i, domain, b"k", "t") for i in range(domain)) == list(range(domain))
+
+
+TEXT = 'Mr. John Smith (+1 (017) 555-7713, 017-555-7713) paid 4929 3483-8514 6306 from 129.38.82.176 to und.34@Mail7.example.com; Smith token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" 123-45-6789.'
+
+
+def test_surrogates_keep_format_and_coreference():
+    ((new, kinds),) = pii.replace([TEXT], None)
+    assert kinds == ["name_m", "name_s", "phone", "phone", "card", "ipv4", "email", "name_s", "token", "ssn"]
+    for old in ("John", "Smith", "555-7713", "4929", "129.38.82.176", "und.34", "Mail7", "04dbebab", "123-45"):
+        assert old not in new
+    (again, _), (other, _) = pii.replace(["Dr. Smith", "UND.34@mail7.example.com"], None)
+    assert again.split()[1] in new and other.lower().split("@")[1] in new.lower()
+    assert pii.replace([None, "", "plain words only"], None) == [(None, []), ("", []), ("plain words only", [])]
+    assert pii.replace([TEXT], None, b"another key")[0][0] != new
+    card = pii.surrogate("card", "4929348385146306", 0)
+    assert (pii.luhn(card[:-1]) == int(card[-1])) == (pii.luhn("492934838514630") == 6) and len(card) == 16
+
+
+def test_surrogates_are_distinct_over_the_corpus(spark):
+    texts = [(i, f"call {i // 100:03d}-{i // 10 % 10}{i % 10}-0000 or 10.0.{i % 16}.{i // 16} Mr. Ab{'c' * (i % 5 + 1)}") for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    given = pii.attempts(docs).collect()
+    assert len({(r["kind"], r["new"]) for r in given}) == len(given)
+    assert not {(r["kind"], r["new"]) for r in given} & {(r["kind"], r["norm"]) for r in given}
+    out = pii.pseudonymize(docs, report=True).collect()
+    assert len({r["text"] for r in out}) == len(texts) and all(r["n_entities"] >= 2 for r in out)
+
+
+def test_collisions_move_on(spark, monkeypatch):
+    real = pii.surrogate
+    monkeypatch.setattr(pii, "_assign", lambda it, key: _weak(it, key, real))
+    docs = spark.createDataFrame([(i, f"10.0.0.{i}") for i in range(12)], "doc_id long, text string")
+    given = pii.attempts(docs).collect()
+    assert len({r["new"] for r in given}) == 12 and any(r["attempt"] for r in given)
+
+
+def _weak(batches, key, real):
+    import pyarrow as pa
+
+    for batch in batches:
+        new = [f"1.1.1.{int(n.split('.')[3]) // 2}" if a == 0 else real(k, n, a, key) for k, n, a in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new)], names=["kind", "norm", "attempt", "new"])
+
+
+def test_pseudonymize_leaves_the_rest(spark):
+    docs = _docs.frame(spark)
+    out = pii.pseudonymize(docs)
+    assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
+    assert pii.pseudonymize(_docs.empty(spark)).count() == 0
+
+
+def test_long_texts_take_linear_time():
+    for t in ("a" * 500_000, "1 " * 250_000, "a.b@" * 120_000, "A1." * 150_000):
+        list(pii.entities(t))
+
+
+def _kneser_ney(texts):
+    """Interpolated modified Kneser-Ney trigrams, word for word."""
+    from collections import Counter
+
+    tri = Counter()
+    for t in texts:
+        w = ["<s>", "<s>", *quality.tokens_of(t), "</s>"]
+        tri.update(zip(w, w[1:], w[2:], strict=False))
+    bi, uni = Counter((b, c) for _, b, c in tri), None
+    uni = Counter(c for _, c in bi)
+
+    def order(counts, context):
+        d = quality._discounts(np.array(list(counts.values())))
+        total, off = Counter(), Counter()
+        for g, c in counts.items():
+            total[context(g)] += c
+            off[context(g)] += d[min(c, 3)]
+        return {g: (c - d[min(c, 3)]) / total[context(g)] for g, c in counts.items()}, {k: off[k] / total[k] for k in total}
+
+    a3, g3 = order(tri, lambda g: g[:2])
+    a2, g2 = order(bi, lambda g: g[:1])
+    a1, g1 = order({(c,): n for c, n in uni.items()}, lambda g: ())
+    unseen = g1[()] / (len(uni) + 1)
+
+    def p(u, v, w):
+        p1 = a1.get((w,), 0) + unseen
+        p2 = a2.get((v, w), 0) + g2.get((v,), 1) * p1
+        return a3.get((u, v, w), 0) + g3.get((u, v), 1) * p2
+
+    return p, list(uni)
+
+
+def test_kneser_ney_against_brute_force(spark):
+    rows = [(i, t, "en", "s", 0, 0, "", 0) for i, t, *_ in _docs.rows(120) if t and i is not None and len(t) < 5000]
+    docs = spark.createDataFrame(rows, _docs.SCHEMA)
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels)
+    pool = {r["doc_id"] for r in quality._labelled(docs, labels).where("not held_out").collect()}
+    texts = {r[0]: r[1] for r in rows}
+    p, vocabulary = _kneser_ney([texts[i] for i in sorted(pool)] + [r[1] for r in rows[len(texts) :] if r[0] in pool])
+    assert abs(sum(p("<s>", "<s>", w) for w in vocabulary) + p("<s>", "<s>", "never seen") - 1) < 1e-6
+    for r in quality.scores(docs, model).collect()[:40]:
+        w = ["<s>", "<s>", *quality.tokens_of(texts[r["doc_id"]]), "</s>"]
+        want = sum(np.log10(p(*g)) for g in zip(w, w[1:], w[2:], strict=False))
+        assert r["n_tokens"] == len(w) - 2 and r["log10_prob"] == pytest.approx(want, rel=1e-4)
+
+
+def test_classifier_cases(spark):
+    docs = _docs.frame(spark, n=150)
+    labels = spark.createDataFrame([(i, 1 if i % 2 else 0, 0) for i in range(150)] + [(3, 0, 0), (5, None, 1)], "doc_id long, quality int, toxic int")
+    out = quality.classify(docs, labels).collect()
+    assert len(out) == docs.count()
+    assert all(not r["keep"] for r in out if r["n_tokens"] == 1)
+    kept = quality.filter_quality(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == sum(r["keep"] for r in out)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality.filter_quality(docs, none).count() == docs.where(F.size(F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda w: w != "")) > 0).count()
+    assert quality.classify(_docs.empty(spark), none).count() == 0
+
+
+def test_classifier_on_labelled_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    out = quality.op9_quality_classifier(spark, sf).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()
+    kept = {r["quality"]: r["kept"] for r in out}
+    assert kept[1] > 0.95 and kept[0] < 0.3
