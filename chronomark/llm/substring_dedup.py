@@ -2,10 +2,12 @@
 
 Paragraphs (lines) of ``LEAST_WORDS`` words or more: 24 minima over five-word shingles make eight bands of three, which let
 a pair of similarity 0.8 through in 99.7 % of cases. Equal paragraphs are grouped before banding. Paragraphs that share
-a band are paired: all pairs of a small bucket; in a larger one every member with the least one, and those that are not
-similar to it among themselves again, until none is left, so no bucket's pairs are written out. Pairs are verified by
-the exact Jaccard similarity of their shingles; links are clustered by components; of a component the first
-occurrence (least doc_id, then place) stays.
+a band are paired: all pairs of a small bucket. The members of larger buckets are paired by their rarest shingles
+instead (prefix filter: sets that are similar share one of the rarest fifth of either), which parts paragraphs that have
+only a passage in common; where many share a rare shingle too, each is compared with the least of them, the unlike ones
+again with the least of these, and what a few such rounds leave in pairs. Pairs are verified by the exact Jaccard
+similarity of their shingles; links are clustered by components; of a component the first occurrence (least doc_id,
+then place) stays.
 
 A passage that is pasted into another paragraph leaves the paragraphs dissimilar, so windows of ``LEAST_WORDS`` words are
 compared too: they begin at line starts and at words whose hash is a multiple of four, wherever these are, so copies of a
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronomark.llm._common import as_bytes, materialize, partitions_for, shared_path, table
@@ -35,6 +37,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 3
 SMALL_BUCKET = 16
+STAR_ROUNDS = 4
 
 _U = np.uint64
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -182,7 +185,7 @@ def paragraph_links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """``distinct(hash, b0...)`` → ``(u, v)``: similar paragraphs that are not equal."""
     keys = F.explode(F.array(*[F.xxhash64(F.lit(i), f"b{i}") for i in range(BANDS)])).alias("key")
     banded = materialize(distinct.select("hash", keys), "bands")
-    sizes = materialize(banded.groupBy("key").agg(F.count("*").alias("n"), F.min("hash").alias("lead")).where("n > 1"), "buckets")
+    sizes = materialize(banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     if not sizes.head(1):
         return docs.sparkSession.createDataFrame([], "u long, v long")
     members = materialize(banded.join(sizes, "key"), "bucket-members")
@@ -192,23 +195,49 @@ def paragraph_links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         a, b = sets.select(F.col("hash").alias("u"), F.col("shingles").alias("su")), sets.select(F.col("hash").alias("v"), F.col("shingles").alias("sv"))
         return pairs.distinct().join(a, "u").join(b, "v").select("u", "v", "su", "sv").mapInArrow(_similar, "u long, v long")
 
-    small, large = members.where(F.col("n") <= SMALL_BUCKET), members.where(F.col("n") > SMALL_BUCKET)
-    in_bucket = small.groupBy("key").agg(F.array_sort(F.collect_list("hash")).alias("h"))  # SMALL_BUCKET at most
-    all_pairs = F.explode(F.expr("flatten(transform(h, (x, i) -> transform(slice(h, i + 2, size(h)), y -> named_struct('u', x, 'v', y))))"))
-    links = [materialize(verified(in_bucket.select(all_pairs.alias("p")).select("p.u", "p.v")), "links-small")]
-    active = materialize(large.select("key", "hash", "lead"), "bucket-active")
-    while active.head(1):
-        to_lead = materialize(verified(active.where("hash <> lead").select(F.col("lead").alias("u"), F.col("hash").alias("v"))), f"links-{len(links)}")
+    links = [materialize(verified(_all_pairs(members.where(F.col("n") <= SMALL_BUCKET))), "links-small")]
+    large = members.where(F.col("n") > SMALL_BUCKET).select("hash").distinct()
+    active = materialize(_prefixes(sets.join(large, "hash", "left_semi")), "prefixes")
+    for _ in range(STAR_ROUNDS):
+        sized = active.join(active.groupBy("key").agg(F.count("*").alias("n"), F.min("hash").alias("lead")).where("n > 1"), "key")
+        links.append(materialize(verified(_all_pairs(sized.where(F.col("n") <= SMALL_BUCKET))), f"links-{len(links)}"))
+        star = materialize(sized.where((F.col("n") > SMALL_BUCKET) & (F.col("hash") != F.col("lead"))).select("key", "hash", "lead"), f"stars-{len(links)}")
+        if not star.head(1):
+            break
+        to_lead = materialize(verified(star.select(F.col("lead").alias("u"), F.col("hash").alias("v"))), f"links-{len(links)}")
         links.append(to_lead)
-        rest = active.where("hash <> lead").join(to_lead.select(F.col("u").alias("lead"), F.col("v").alias("hash")), ["lead", "hash"], "left_anti").select("key", "hash")
-        leads = rest.groupBy("key").agg(F.min("hash").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-        active = materialize(rest.join(leads, "key"), f"bucket-active-{len(links)}")
+        matched = to_lead.select(F.col("u").alias("lead"), F.col("v").alias("hash"))
+        active = materialize(star.join(matched, ["lead", "hash"], "left_anti").select("key", "hash"), f"prefixes-{len(links)}")
+    else:
+        links.append(verified(_all_pairs(active)))
     out = links[0]
     for x in links[1:]:
         out = out.unionAll(x)
     return out
 
 
+def _all_pairs(members: DataFrame) -> DataFrame:
+    """``members(key, hash)`` → ``(u, v)`` for all pairs of a key."""
+    grouped = members.groupBy("key").agg(F.array_sort(F.collect_list("hash")).alias("h")).where(F.size("h") > 1)
+    pairs = F.explode(F.expr("flatten(transform(h, (x, i) -> transform(slice(h, i + 2, size(h)), y -> named_struct('u', x, 'v', y))))"))
+    return grouped.select(pairs.alias("p")).select("p.u", "p.v")
+
+
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """``sets(hash, shingles)`` → ``(key, hash)``: the rarest shingles of every set, so many that two similar sets share one."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for h, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                key = np.frombuffer(x, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), h)), pa.array(key), pa.array(np.full(len(key), len(key)))], names=["hash", "key", "size"])
+
+    all_ = materialize(sets.select("hash", "shingles").mapInArrow(tokens, "hash long, key long, size long"), "set-shingles")
+    often = all_.groupBy("key").agg(F.count("*").alias("often"))
+    ranked = all_.join(often, "key").withColumn("r", F.row_number().over(Window.partitionBy("hash").orderBy("often", "key")))
+    return ranked.where((F.col("r") <= F.col("size") - F.ceil(F.col("size") * SIMILARITY) + 1) & (F.col("often") > 1)).select("key", "hash")
+
+
 _SPAN = "doc_id long, start long, stop long, removed boolean, first_doc long"
 
 
