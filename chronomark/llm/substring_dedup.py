@@ -4,8 +4,8 @@ Paragraphs (lines) of ``LEAST_WORDS`` words or more: 24 minima over five-word sh
 a pair of similarity 0.8 through in 99.7 % of cases. Equal paragraphs are grouped before banding. Paragraphs that share
 a band are paired: all pairs of a small bucket. The members of larger buckets are paired by their rarest shingles
 instead (prefix filter: sets that are similar share one of the rarest fifth of either), which parts paragraphs that have
-only a passage in common; where many share a rare shingle too, each is compared with the least of them, the unlike ones
-again with the least of these, and what a few such rounds leave in pairs. Pairs are verified by the exact Jaccard
+only a passage in common, and sets with too many shingles of their own to be similar to any are left out; where many share a rare shingle too, each is compared with the most frequent of them, the
+unlike ones again with the most frequent of these, and what a few such rounds leave in pairs. Pairs are verified by the exact Jaccard
 similarity of their shingles; links are clustered by components; of a component the first occurrence (least doc_id,
 then place) stays.
 
@@ -196,18 +196,22 @@ def paragraph_links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         return pairs.distinct().join(a, "u").join(b, "v").select("u", "v", "su", "sv").mapInArrow(_similar, "u long, v long")
 
     links = [materialize(verified(_all_pairs(members.where(F.col("n") <= SMALL_BUCKET))), "links-small")]
-    large = members.where(F.col("n") > SMALL_BUCKET).select("hash").distinct()
-    active = materialize(_prefixes(sets.join(large, "hash", "left_semi")), "prefixes")
+    large = members.where(F.col("n") > SMALL_BUCKET).select("hash").distinct().join(distinct.select("hash", "times"), "hash")
+    active = materialize(_prefixes(sets.join(large, "hash")), "prefixes")
+    least = active.groupBy("key").agg(F.min("size").alias("least"))
+    reach = F.col("shared") * (1 + SIMILARITY) >= SIMILARITY * (F.col("size") + F.greatest(F.col("least"), F.col("size") * SIMILARITY)) - 1e-9
+    active = materialize(active.join(least, "key").where(reach).drop("least"), "prefixes-in-reach")
     for _ in range(STAR_ROUNDS):
-        sized = active.join(active.groupBy("key").agg(F.count("*").alias("n"), F.min("hash").alias("lead")).where("n > 1"), "key")
+        lead = F.min(F.struct((-F.col("times")).alias("t"), "hash"))["hash"].alias("lead")  # the text of most occurrences: others are edits of it
+        sized = active.join(active.groupBy("key").agg(F.count("*").alias("n"), lead).where("n > 1"), "key")
         links.append(materialize(verified(_all_pairs(sized.where(F.col("n") <= SMALL_BUCKET))), f"links-{len(links)}"))
-        star = materialize(sized.where((F.col("n") > SMALL_BUCKET) & (F.col("hash") != F.col("lead"))).select("key", "hash", "lead"), f"stars-{len(links)}")
+        star = materialize(sized.where((F.col("n") > SMALL_BUCKET) & (F.col("hash") != F.col("lead"))).select("key", "hash", "times", "lead"), f"stars-{len(links)}")
         if not star.head(1):
             break
         to_lead = materialize(verified(star.select(F.col("lead").alias("u"), F.col("hash").alias("v"))), f"links-{len(links)}")
         links.append(to_lead)
         matched = to_lead.select(F.col("u").alias("lead"), F.col("v").alias("hash"))
-        active = materialize(star.join(matched, ["lead", "hash"], "left_anti").select("key", "hash"), f"prefixes-{len(links)}")
+        active = materialize(star.join(matched, ["lead", "hash"], "left_anti").select("key", "hash", "times"), f"prefixes-{len(links)}")
     else:
         links.append(verified(_all_pairs(active)))
     out = links[0]
@@ -224,18 +228,20 @@ def _all_pairs(members: DataFrame) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """``sets(hash, shingles)`` → ``(key, hash)``: the rarest shingles of every set, so many that two similar sets share one."""
+    """``sets(hash, shingles, times)`` → ``(key, hash, times, size, shared)``: the rarest shingles of every set, so many that two
+    similar sets share one; ``shared`` of its ``size`` shingles are in another set at all, which bounds its overlap with any."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for h, x, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 key = np.frombuffer(x, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), h)), pa.array(key), pa.array(np.full(len(key), len(key)))], names=["hash", "key", "size"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), h)), pa.array(key), pa.array(np.full(len(key), len(key))), pa.array(np.full(len(key), t))], names=["hash", "key", "size", "times"])
 
-    all_ = materialize(sets.select("hash", "shingles").mapInArrow(tokens, "hash long, key long, size long"), "set-shingles")
+    all_ = materialize(sets.select("hash", "shingles", "times").mapInArrow(tokens, "hash long, key long, size long, times long"), "set-shingles")
     often = all_.groupBy("key").agg(F.count("*").alias("often"))
-    ranked = all_.join(often, "key").withColumn("r", F.row_number().over(Window.partitionBy("hash").orderBy("often", "key")))
-    return ranked.where((F.col("r") <= F.col("size") - F.ceil(F.col("size") * SIMILARITY) + 1) & (F.col("often") > 1)).select("key", "hash")
+    own = Window.partitionBy("hash")
+    ranked = all_.join(often, "key").select("*", F.row_number().over(own.orderBy("often", "key")).alias("r"), F.count_if(F.col("often") > 1).over(own).alias("shared"))
+    return ranked.where((F.col("r") <= F.col("size") - F.ceil(F.col("size") * SIMILARITY) + 1) & (F.col("often") > 1)).select("key", "hash", "times", "size", "shared")
 
 
 _SPAN = "doc_id long, start long, stop long, removed boolean, first_doc long"
@@ -245,7 +251,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """Occurrences of paragraphs that another document has too, alike or nearly: ``doc_id, start, stop, removed, first_doc``."""
     places = materialize(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(_paragraph_batches, _PARAGRAPH_DDL), "paragraphs")
     first = F.struct("doc_id", "at").alias("x")
-    distinct = materialize(places.groupBy("hash").agg(F.min(first).alias("first"), F.max("doc_id").alias("last"), *[F.max(f"b{i}").alias(f"b{i}") for i in range(BANDS)]), "paragraphs-distinct")
+    distinct = materialize(places.groupBy("hash").agg(F.min(first).alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("times"), *[F.max(f"b{i}").alias(f"b{i}") for i in range(BANDS)]), "paragraphs-distinct")
     roots = connected_components(paragraph_links(docs, distinct)).withColumnRenamed("node", "hash")
     named = distinct.select("hash", "first", "last").join(roots, "hash", "left").withColumn("root", F.coalesce("root", "hash"))
     groups = named.groupBy("root").agg(F.min("first").alias("keep"), F.max("last").alias("last")).where(F.col("keep.doc_id") != F.col("last"))
