@@ -12,28 +12,33 @@ from chronomark.plans._base import big, dec, query
 from chronomark.plans.aggregates import ACT_SQL, DENS_SQL, density, weighted_activity
 from chronomark.sources.testdata import DURATION, SEG_SQL, TL_SQL, segments, timeline
 
-_W = Window.partitionBy("video_id").orderBy("t", "seq")
-_SEC = Window.partitionBy("video_id").orderBy("sec")
+
+def _w() -> Window:
+    return Window.partitionBy("video_id").orderBy("t", "seq")
+
+
+def _sec() -> Window:
+    return Window.partitionBy("video_id").orderBy("sec")
 
 
 @query("win_local_max", f"""{ACT_SQL}, n AS (SELECT *, lag(activity) OVER w AS p, lead(activity) OVER w AS x, avg(activity) OVER (PARTITION BY video_id) AS m FROM act WINDOW w AS (PARTITION BY video_id ORDER BY sec))
 SELECT * FROM (SELECT video_id, CAST(sec AS BIGINT) AS sec, CAST(activity AS DECIMAL(18,6)) AS activity, row_number() OVER (PARTITION BY video_id ORDER BY activity DESC, sec) AS rank FROM n WHERE activity > p AND activity > x AND activity > 1.5 * m) WHERE rank <= 5""")
 def win_local_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strict local maxima of weighted activity over 1.5 times the mean, the five highest of an item."""
-    n = weighted_activity(spark, sf_dir).select("*", F.lag("activity").over(_SEC).alias("p"), F.lead("activity").over(_SEC).alias("x"), F.avg("activity").over(Window.partitionBy("video_id")).alias("m"))
+    n = weighted_activity(spark, sf_dir).select("*", F.lag("activity").over(_sec()).alias("p"), F.lead("activity").over(_sec()).alias("x"), F.avg("activity").over(Window.partitionBy("video_id")).alias("m"))
     peaks = n.where("activity > p and activity > x and activity > 1.5 * m")
     return top_k(peaks, 5, [F.desc("activity"), "sec"]).select("video_id", big("sec").alias("sec"), dec("activity").alias("activity"), "rank")
 
 
 @query("win_local_max_k", f"""{DENS_SQL}, n AS (SELECT *, max(n) OVER (PARTITION BY video_id ORDER BY sec ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS m FROM dens) SELECT video_id, CAST(sec AS BIGINT) AS sec, n FROM n WHERE n >= m AND n >= 2""")
 def win_local_max_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = density(spark, sf_dir).withColumn("m", F.max("n").over(_SEC.rowsBetween(-2, 2)))
+    n = density(spark, sf_dir).withColumn("m", F.max("n").over(_sec().rowsBetween(-2, 2)))
     return n.where("n >= m and n >= 2").select("video_id", big("sec").alias("sec"), "n")
 
 
 @query("win_lag_interval", f"""WITH {TL_SQL} SELECT video_id, seq, CAST(t - lag(t) OVER (PARTITION BY video_id ORDER BY t, seq) AS DECIMAL(18,6)) AS gap_s FROM tl WHERE entry_type = 'text'""")
 def win_lag_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline(spark, sf_dir).where("entry_type = 'text'").select("video_id", "seq", dec(F.col("t") - F.lag("t").over(_W)).alias("gap_s"))
+    return timeline(spark, sf_dir).where("entry_type = 'text'").select("video_id", "seq", dec(F.col("t") - F.lag("t").over(_w())).alias("gap_s"))
 
 
 @query("win_lead_duration", f"""WITH {TL_SQL}, s AS (SELECT video_id, seq, t, coalesce(lead(t) OVER (PARTITION BY video_id ORDER BY t, seq), {DURATION}) - t AS d FROM tl WHERE entry_type = 'scene_change')
@@ -45,7 +50,7 @@ def win_lead_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``video_id, seq, t, d``: every cut and how long the shot after it is; the last one ends with the item."""
     cuts = timeline(spark, sf_dir).where("entry_type = 'scene_change'")
-    return cuts.select("video_id", "seq", "t", (F.coalesce(F.lead("t").over(_W), F.lit(float(DURATION))) - F.col("t")).alias("d")).where("d > 0")
+    return cuts.select("video_id", "seq", "t", (F.coalesce(F.lead("t").over(_w()), F.lit(float(DURATION))) - F.col("t")).alias("d")).where("d > 0")
 
 
 SHOT_SQL = f"""WITH {TL_SQL}, shot AS (SELECT * FROM (SELECT video_id, seq, t, coalesce(lead(t) OVER (PARTITION BY video_id ORDER BY t, seq), {DURATION}) - t AS d FROM tl WHERE entry_type = 'scene_change') WHERE d > 0)"""
@@ -53,14 +58,14 @@ SHOT_SQL = f"""WITH {TL_SQL}, shot AS (SELECT * FROM (SELECT video_id, seq, t, c
 
 @query("win_change_flag", f"""WITH {TL_SQL}, e AS (SELECT video_id, label, lag(label) OVER (PARTITION BY video_id ORDER BY t, seq) AS p FROM tl WHERE entry_type = 'emotion') SELECT video_id, count(*) FILTER (p <> label) AS changes FROM e GROUP BY video_id""")
 def win_change_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = timeline(spark, sf_dir).where("entry_type = 'emotion'").select("video_id", "label", F.lag("label").over(_W).alias("p"))
+    e = timeline(spark, sf_dir).where("entry_type = 'emotion'").select("video_id", "label", F.lag("label").over(_w()).alias("p"))
     return e.groupBy("video_id").agg(F.count_if(F.coalesce(F.col("p") != F.col("label"), F.lit(False))).alias("changes"))
 
 
 @query("win_transition_rows", f"""WITH {TL_SQL}, e AS (SELECT video_id, seq, t, label, lead(label) OVER (PARTITION BY video_id ORDER BY t, seq) AS x FROM tl WHERE entry_type = 'emotion')
 SELECT video_id, seq, CAST(t AS DECIMAL(18,6)) AS at_s, label AS from_label, x AS to_label FROM e WHERE x <> label""")
 def win_transition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = timeline(spark, sf_dir).where("entry_type = 'emotion'").select("video_id", "seq", "t", "label", F.lead("label").over(_W).alias("x"))
+    e = timeline(spark, sf_dir).where("entry_type = 'emotion'").select("video_id", "seq", "t", "label", F.lead("label").over(_w()).alias("x"))
     return e.where("x <> label").select("video_id", "seq", dec("t").alias("at_s"), F.col("label").alias("from_label"), F.col("x").alias("to_label"))
 
 
@@ -69,7 +74,7 @@ n AS (SELECT *, lead(v) OVER (PARTITION BY video_id ORDER BY t, seq) AS x FROM e
 def win_contrast(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.when(F.col("label").isin(0, 4), 1).when(F.col("label").isin(1, 2, 3, 5), -1).otherwise(0)
     e = timeline(spark, sf_dir).where("entry_type = 'emotion'").withColumn("v", v)
-    return e.select("video_id", "seq", F.col("v").alias("from_valence"), F.lead("v").over(_W).alias("to_valence")).where("from_valence * to_valence < 0")
+    return e.select("video_id", "seq", F.col("v").alias("from_valence"), F.lead("v").over(_w()).alias("to_valence")).where("from_valence * to_valence < 0")
 
 
 @query("win_gaps_islands_shot", """WITH b AS (SELECT l_suppkey AS video_id, l_orderkey * 8 + l_linenumber AS seq, l_partkey AS p, l_extendedprice AS x, CASE WHEN a > 25 THEN 'close' WHEN a > 8 THEN 'medium' WHEN a > 0 THEN 'wide' ELSE 'none' END AS shot FROM (SELECT *, l_quantity * l_discount * 10 AS a FROM lineitem)),
@@ -86,7 +91,7 @@ _ZERO_SQL = f"{DENS_SQL}, z AS (SELECT video_id, sec, sec - row_number() OVER (P
 
 def empty_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of seconds in which nothing begins."""
-    z = density(spark, sf_dir).where("n = 0").withColumn("g", F.col("sec") - F.row_number().over(_SEC))
+    z = density(spark, sf_dir).where("n = 0").withColumn("g", F.col("sec") - F.row_number().over(_sec()))
     return z.groupBy("video_id", "g").agg(big(F.min("sec")).alias("start_s"), big(F.max("sec") + 1).alias("end_s"), F.count("*").alias("len")).drop("g")
 
 
@@ -103,7 +108,7 @@ def win_islands_absence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("win_islands_montage", f"""{SHOT_SQL}, f AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY t, seq) AS i FROM shot), g AS (SELECT *, i - row_number() OVER (PARTITION BY video_id ORDER BY i) AS g FROM f WHERE d < 1.5)
 SELECT video_id, min(seq) AS first_seq, CAST(min(t) AS DECIMAL(18,6)) AS start_s, count(*) AS shots FROM g GROUP BY video_id, g HAVING count(*) >= 3""")
 def win_islands_montage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = shots(spark, sf_dir).withColumn("i", F.row_number().over(_W)).where("d < 1.5").withColumn("g", F.col("i") - F.row_number().over(Window.partitionBy("video_id").orderBy("i")))
+    f = shots(spark, sf_dir).withColumn("i", F.row_number().over(_w())).where("d < 1.5").withColumn("g", F.col("i") - F.row_number().over(Window.partitionBy("video_id").orderBy("i")))
     return f.groupBy("video_id", "g").agg(F.min("seq").alias("first_seq"), dec(F.min("t")).alias("start_s"), F.count("*").alias("shots")).where("shots >= 3").drop("g")
 
 
@@ -116,7 +121,7 @@ def win_cluster_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("win_three_decreasing", f"{SHOT_SQL}, n AS (SELECT video_id, seq, d, lead(d, 1) OVER w AS d1, lead(d, 2) OVER w AS d2 FROM shot WINDOW w AS (PARTITION BY video_id ORDER BY t, seq)) SELECT video_id, seq FROM n WHERE d > d1 AND d1 > d2")
 def win_three_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = shots(spark, sf_dir).select("video_id", "seq", "d", F.lead("d", 1).over(_W).alias("d1"), F.lead("d", 2).over(_W).alias("d2"))
+    n = shots(spark, sf_dir).select("video_id", "seq", "d", F.lead("d", 1).over(_w()).alias("d1"), F.lead("d", 2).over(_w()).alias("d2"))
     return n.where("d > d1 and d1 > d2").select("video_id", "seq")
 
 
@@ -124,13 +129,13 @@ def win_three_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT video_id, seq, CAST(m3 AS DECIMAL(18,6)) AS mean3 FROM n WHERE i <= c - 3 AND m3 < 0.5 * m""")
 def win_moving_avg3(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = Window.partitionBy("video_id")
-    n = shots(spark, sf_dir).select("video_id", "seq", F.avg("d").over(_W.rowsBetween(0, 2)).alias("m3"), F.row_number().over(_W).alias("i"), F.count("*").over(whole).alias("c"), F.avg("d").over(whole).alias("m"))
+    n = shots(spark, sf_dir).select("video_id", "seq", F.avg("d").over(_w().rowsBetween(0, 2)).alias("m3"), F.row_number().over(_w()).alias("i"), F.count("*").over(whole).alias("c"), F.avg("d").over(whole).alias("m"))
     return n.where("i <= c - 3 and m3 < 0.5 * m").select("video_id", "seq", dec("m3").alias("mean3"))
 
 
 @query("win_cumsum", f"{SHOT_SQL} SELECT video_id, seq, CAST(coalesce(sum(d) OVER (PARTITION BY video_id ORDER BY t, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DECIMAL(18,6)) AS elapsed FROM shot")
 def win_cumsum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shots(spark, sf_dir).select("video_id", "seq", dec(F.coalesce(F.sum("d").over(_W.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).alias("elapsed"))
+    return shots(spark, sf_dir).select("video_id", "seq", dec(F.coalesce(F.sum("d").over(_w().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).alias("elapsed"))
 
 
 @query("win_shot_energy", f"{SHOT_SQL} SELECT video_id, seq, CAST(1 / d AS DECIMAL(18,4)) AS energy FROM shot WHERE d > 0.001")
@@ -152,7 +157,7 @@ _LEVEL_SQL = "CASE WHEN {0} = 0 THEN 'none' WHEN {0} <= 2 THEN 'low' WHEN {0} <=
 SELECT * FROM (SELECT video_id, CAST(sec AS BIGINT) AS sec, from_level, to_level, CAST(m AS DECIMAL(18,6)) AS magnitude, row_number() OVER (PARTITION BY video_id ORDER BY m DESC, sec) AS rank FROM c WHERE from_level <> to_level AND m > 0.5) WHERE rank <= 10""")
 def win_level_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = lambda c: F.when(c == 0, "none").when(c <= 2, "low").when(c <= 5, "medium").otherwise("high")
-    l = density(spark, sf_dir).withColumn("p", F.lag("n").over(_SEC)).where("p is not null")
+    l = density(spark, sf_dir).withColumn("p", F.lag("n").over(_sec())).where("p is not null")
     m = F.abs(F.col("n") - F.col("p")) / (F.greatest("n", "p") + 0.001)
     c = l.select("video_id", big("sec").alias("sec"), level(F.col("p")).alias("from_level"), level(F.col("n")).alias("to_level"), m.alias("m")).where("from_level <> to_level and m > 0.5")
     return top_k(c, 10, [F.desc("m"), "sec"]).select("video_id", "sec", "from_level", "to_level", dec("m").alias("magnitude"), "rank")
@@ -161,7 +166,7 @@ def win_level_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("win_thirds_compare", f"""{DENS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY sec) AS i, count(*) OVER (PARTITION BY video_id) AS c FROM dens)
 SELECT video_id, CAST(avg(n) FILTER (i <= c // 3) AS DECIMAL(18,6)) AS first_third, CAST(avg(n) FILTER (i > c - (c + 2) // 3) AS DECIMAL(18,6)) AS last_third FROM r GROUP BY video_id""")
 def win_thirds_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = density(spark, sf_dir).select("*", F.row_number().over(_SEC).alias("i"), F.count("*").over(Window.partitionBy("video_id")).alias("c"))
+    r = density(spark, sf_dir).select("*", F.row_number().over(_sec()).alias("i"), F.count("*").over(Window.partitionBy("video_id")).alias("c"))
     part = lambda c: dec(F.avg(F.when(F.expr(c), F.col("n"))))
     return r.groupBy("video_id").agg(part("i <= c div 3").alias("first_third"), part("i > c - (c + 2) div 3").alias("last_third"))
 
