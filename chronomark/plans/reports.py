@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chronomark.plans._base import query
-from chronomark.plans.aggregates import density, timeline
+from chronomark.functions import text as tx
+from chronomark.functions.classes import face_average
+from chronomark.functions.stats import safe_div
+from chronomark.operators.timeline import band_exists, islands, top_k
+from chronomark.plans._base import QUERIES, query
+from chronomark.plans.aggregates import density
+from chronomark.plans.features import boxes
 from chronomark.plans.windows import empty_runs, shots
-from chronomark.sources.testdata import DURATION, segments
+from chronomark.sources.testdata import DURATION, EMOTIONS, segments, timeline
 
 
 def _listed(rows: DataFrame, name: str, *fields: str) -> DataFrame:
@@ -46,3 +51,102 @@ def rpt_speech(spark: SparkSession, sf_dir: str) -> DataFrame:
     core = s.groupBy("video_id").agg(F.sum("words").alias("words"), F.count("*").alias("segments"), F.sum(F.col("end_s") - F.col("start_s")).alias("speech_s"), F.max("end_s").alias("last_s"), F.count_if(F.coalesce(F.col("gap") > 1, F.lit(False))).alias("pauses"))
     wpm = F.coalesce(F.try_divide(F.col("words") * 60, F.col("speech_s")), F.lit(0.0))
     return core.select("video_id", F.struct("words", "segments", wpm.alias("wordsPerMinute")).alias("speechCoreMetrics"), F.struct("speech_s", "last_s", "pauses").alias("speechDynamics"))
+
+
+BLOCKS = ["CoreMetrics", "Dynamics", "Interactions", "KeyEvents", "Patterns", "Quality"]
+
+
+def six_blocks(flat: DataFrame, prefix: str, blocks: dict[str, dict[str, Column]], key: str = "video_id") -> DataFrame:
+    """Flat metrics as six structs ``<prefix>CoreMetrics`` ...; a block without fields is an empty-valued ``available: false``."""
+    made = []
+    for b in BLOCKS:
+        fields = [c.alias(n) for n, c in blocks.get(b, {}).items()] or [F.lit(False).alias("available")]
+        made.append(F.struct(*fields).alias(f"{prefix}{b}"))
+    return flat.select(key, *made)
+
+
+@query("rpt_overlay")
+def rpt_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts and stickers of an item: totals, density, intervals, peaks, pairing with gestures."""
+    tl = timeline(spark, sf_dir)
+    w = Window.partitionBy("video_id").orderBy("t", "seq")
+    is_ = lambda k: F.col("entry_type") == k
+    totals = tl.groupBy("video_id").agg(F.count_if(is_("text")).alias("texts"), F.count_if(is_("object")).alias("stickers"), F.min(F.when(is_("text"), F.col("t"))).alias("first"))
+    gaps = tl.where(is_("text")).select("video_id", (F.col("t") - F.lag("t").over(w)).alias("g")).groupBy("video_id").agg(F.avg("g").alias("mean_gap"), F.count_if(F.coalesce(F.col("g") < 2, F.lit(False))).alias("bursts"))
+    with_gesture = band_exists(tl.where(is_("text")), tl.where(is_("gesture")), 1.0).groupBy("video_id").agg(F.count("*").alias("aligned"))
+    peaks = _listed(top_k(density(spark, sf_dir), 5, [F.desc("n"), "sec"]), "peaks", "rank", "sec", "n")
+    x = totals.join(gaps, "video_id", "left").join(with_gesture, "video_id", "left").join(peaks, "video_id", "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return six_blocks(x, "visualOverlay", {
+        "CoreMetrics": {"totalTextOverlays": F.col("texts"), "totalStickers": F.col("stickers"), "overlayDensity": (F.col("texts") + F.col("stickers")) / float(DURATION), "timeToFirstText": F.col("first")},
+        "Dynamics": {"averageInterval": F.col("mean_gap"), "burstIntervals": zero("bursts")},
+        "Interactions": {"textGestureAlignment": F.coalesce(F.try_divide(zero("aligned"), F.col("texts")), F.lit(0.0))},
+        "KeyEvents": {"overlayPeaks": F.transform("peaks", lambda p: F.struct(p["sec"], p["n"]))},
+        "Patterns": {"overlayStrategy": F.when(F.col("texts") > F.col("stickers"), "text_led").when(F.col("texts") < F.col("stickers"), "sticker_led").otherwise("balanced")},
+        "Quality": {"dataCompleteness": F.when((F.col("texts") > 0) & (F.col("stickers") > 0), 1.0).otherwise(0.5)},
+    })
+
+
+@query("rpt_emotion")
+def rpt_emotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("video_id").orderBy("t", "seq")
+    e = timeline(spark, sf_dir).where("entry_type = 'emotion'").select("video_id", "t", "seq", "label", "conf", F.lag("label").over(w).alias("p"), F.avg("conf").over(Window.partitionBy("video_id")).alias("m"))
+    counts = e.groupBy("video_id", "label").agg(F.count("*").alias("n"), F.sum("conf").alias("s"), F.count_if(F.coalesce(F.col("p") != F.col("label"), F.lit(False))).alias("c"))
+    core = counts.groupBy("video_id").agg(F.count("*").alias("unique"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("c").alias("changes"), F.min(F.struct((-F.col("n")).alias("m"), "label"))["label"].alias("dominant"))
+    peaks = _listed(top_k(e.where("conf > 1.2 * m"), 3, ["t", "seq"]), "peaks", "rank", "t", "label")
+    x = core.join(peaks, "video_id", "left")
+    name = F.element_at(F.array(*map(F.lit, EMOTIONS)), (F.col("dominant") + 1).cast("int"))
+    return six_blocks(x, "emotional", {
+        "CoreMetrics": {"uniqueEmotions": F.col("unique"), "emotionTransitions": F.col("changes"), "dominantEmotion": name, "emotionalDiversity": (F.col("unique") - 1) / 6.0, "emotionalIntensity": F.col("s") / F.col("n")},
+        "Dynamics": {"stability": F.when(F.col("n") > 1, 1 - F.try_divide("changes", F.col("n") - 1)).otherwise(1.0)},
+        "KeyEvents": {"emotionalPeaks": F.coalesce(F.transform("peaks", lambda p: F.struct(p["t"], p["label"])), F.array().cast("array<struct<t: double, label: bigint>>"))},
+        "Quality": {"detectionConfidence": F.least(F.col("s") / F.col("n"), F.lit(0.95)), "timelineCoverage": F.least(F.col("n") / float(DURATION), F.lit(1.0))},
+    })
+
+
+@query("rpt_framing")
+def rpt_framing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = boxes(spark, sf_dir)
+    runs = islands(b, F.col("shot"), ["seq", "p", "x"]).groupBy("video_id").agg((F.max("run") + 1).alias("runs"))
+    core = b.groupBy("video_id").agg(F.count("*").alias("n"), F.count_if(F.col("shot") != "none").alias("seen"), F.avg("a").alias("area"))
+    c = b.groupBy("video_id", "shot").agg(F.count("*").alias("k"))
+    dist = c.groupBy("video_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("shot", "k")))).alias("shots"), F.min(F.struct((-F.col("k")).alias("m"), "shot"))["shot"].alias("dominant"))
+    x = core.join(runs, "video_id").join(dist, "video_id")
+    return six_blocks(x, "personFraming", {
+        "CoreMetrics": {"faceVisibilityRate": F.col("seen") / F.col("n"), "averageFaceSize": F.col("area"), "dominantFraming": F.col("dominant")},
+        "Dynamics": {"framingChanges": F.col("runs") - 1, "movementPattern": F.when(F.col("runs") > F.col("n") / 2, "dynamic").otherwise("gradual")},
+        "Interactions": {"shotCounts": F.col("shots")},
+        "Patterns": {"framingTechnique": face_average(F.col("area"))},
+    })
+
+
+@query("rpt_metadata")
+def rpt_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Caption features of documents: words, emoji, mentions, hooks, calls to action."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("video_id"), "text")
+    n = F.size(tx.words(F.col("text")))
+    flags = {f"cta{k.capitalize()}": tx.flag(tx.has_any(F.col("text"), p)) for k, p in tx.CTA.items()}
+    return six_blocks(d, "metadata", {
+        "CoreMetrics": {"captionLength": F.char_length("text"), "wordCount": n, "emojiCount": tx.emoji_runs(F.col("text")), "mentionCount": F.size(tx.mentions(F.col("text")))},
+        "Dynamics": {"emojiDensity": safe_div(tx.emoji_runs(F.col("text")), n), "mentionDensity": safe_div(F.size(tx.mentions(F.col("text"))), n)},
+        "KeyEvents": {"hasHook": tx.flag(tx.has_any(F.col("text"), tx.HOOKS)), "topMentions": F.slice(tx.mentions(F.col("text")), 1, 3)},
+        "Patterns": flags,
+        "Quality": {"hasCaption": tx.flag(n > 0), "questionCount": F.regexp_count("text", F.lit(r"\?"))},
+    })
+
+
+@query("rpt_markers")
+def rpt_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Opening, closing, peaks and engagement curve; an item without any of them has empty lists."""
+    tl = timeline(spark, sf_dir)
+    opening = _listed(QUERIES["bkt_density_prog"](spark, sf_dir), "opening", "sec", "density")
+    closing = _listed(QUERIES["bkt_cta_window"](spark, sf_dir), "closing", "entry_type", "n")
+    peaks = _listed(QUERIES["win_local_max"](spark, sf_dir), "peaks", "rank", "sec", "activity")
+    curve = _listed(QUERIES["bkt_5s_engagement"](spark, sf_dir), "curve", "start_s", "engagement")
+    x = tl.groupBy("video_id").agg(F.count("*").alias("entries")).join(opening, "video_id", "left").join(closing, "video_id", "left").join(peaks, "video_id", "left").join(curve, "video_id", "left")
+    empty = lambda c, t: F.coalesce(F.col(c), F.array().cast(t))
+    types = dict(x.dtypes)
+    return x.select(
+        "video_id", F.struct(empty("opening", types["opening"]).alias("density_progression")).alias("first_5_seconds"), F.struct(empty("closing", types["closing"]).alias("entries")).alias("cta_window"),
+        empty("peaks", types["peaks"]).alias("peak_moments"), empty("curve", types["curve"]).alias("engagement_curve"), F.struct("entries", F.lit(float(DURATION)).alias("duration")).alias("metadata"),
+    )

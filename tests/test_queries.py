@@ -53,3 +53,16 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if n.startswith("rpt_")])
+def test_reports_have_one_document_an_item(spark, name):
+    rows = QUERIES[name](spark, SF).collect()
+    assert len({r["video_id"] for r in rows}) == len(rows) > 0
+
+
+def test_markers_agree_with_their_parts(spark):
+    rows = {r["video_id"]: r for r in QUERIES["rpt_markers"](spark, SF).collect()}
+    for p in QUERIES["win_local_max"](spark, SF).collect():
+        assert (p["rank"], p["sec"], p["activity"]) in [tuple(x) for x in rows[p["video_id"]]["peak_moments"]]
+    assert all(0 <= x["engagement"] <= 1 for r in rows.values() for x in r["engagement_curve"])
