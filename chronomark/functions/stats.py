@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def safe_div(a: Column, b: Column, digits: None = None) -> Column:
+def safe_div(a: Column, b: Column) -> Column:
     """a / b, 0 where b is 0 or null."""
     return F.coalesce(F.try_divide(a.cast("double"), F.nullif(b.cast("double"), F.lit(0.0))), F.lit(0.0))
 
