@@ -36,8 +36,8 @@ LEAST_WORDS = 25
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 3
-SMALL_BUCKET = 16
-STAR_ROUNDS = 4
+SMALL_BUCKET = 4
+STAR_ROUNDS = 8
 
 _U = np.uint64
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -202,16 +202,18 @@ def paragraph_links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     reach = F.col("shared") * (1 + SIMILARITY) >= SIMILARITY * (F.col("size") + F.greatest(F.col("least"), F.col("size") * SIMILARITY)) - 1e-9
     active = materialize(active.join(least, "key").where(reach).drop("least"), "prefixes-in-reach")
     for _ in range(STAR_ROUNDS):
-        lead = F.min(F.struct((-F.col("times")).alias("t"), "hash"))["hash"].alias("lead")  # the text of most occurrences: others are edits of it
-        sized = active.join(active.groupBy("key").agg(F.count("*").alias("n"), lead).where("n > 1"), "key")
+        lead = F.min(F.struct((-F.col("times")).alias("t"), "hash", "size", "shared")).alias("x")  # the text of most occurrences: others are edits of it
+        leads = active.groupBy("key").agg(F.count("*").alias("n"), lead).where("n > 1").select("key", "n", F.col("x.hash").alias("lead"), F.col("x.size").alias("lead_size"), F.col("x.shared").alias("lead_shared"))
+        sized = active.join(leads, "key")
         links.append(materialize(verified(_all_pairs(sized.where(F.col("n") <= SMALL_BUCKET))), f"links-{len(links)}"))
-        star = materialize(sized.where((F.col("n") > SMALL_BUCKET) & (F.col("hash") != F.col("lead"))).select("key", "hash", "times", "lead"), f"stars-{len(links)}")
+        star = materialize(sized.where((F.col("n") > SMALL_BUCKET) & (F.col("hash") != F.col("lead"))).select("key", "hash", "times", "size", "shared", "lead", "lead_size", "lead_shared"), f"stars-{len(links)}")
         if not star.head(1):
             break
-        to_lead = materialize(verified(star.select(F.col("lead").alias("u"), F.col("hash").alias("v"))), f"links-{len(links)}")
+        may = F.least("shared", "lead_shared") * (1 + SIMILARITY) >= SIMILARITY * (F.col("size") + F.col("lead_size")) - 1e-9  # else their overlap can't do
+        to_lead = materialize(verified(star.where(may).select(F.col("lead").alias("u"), F.col("hash").alias("v"))), f"links-{len(links)}")
         links.append(to_lead)
         matched = to_lead.select(F.col("u").alias("lead"), F.col("v").alias("hash"))
-        active = materialize(star.join(matched, ["lead", "hash"], "left_anti").select("key", "hash", "times"), f"prefixes-{len(links)}")
+        active = materialize(star.join(matched, ["lead", "hash"], "left_anti").select("key", "hash", "times", "size", "shared"), f"prefixes-{len(links)}")
     else:
         links.append(verified(_all_pairs(active)))
     out = links[0]
