@@ -5,7 +5,8 @@ a pair of similarity 0.8 through in 99.7 % of cases. Equal paragraphs are groupe
 a band are paired: all pairs of a small bucket. The members of larger buckets are paired by their rarest shingles
 instead (prefix filter: sets that are similar share one of the rarest fifth of either), which parts paragraphs that have
 only a passage in common, and sets with too many shingles of their own to be similar to any are left out; where many share a rare shingle too, each is compared with the most frequent of them, the
-unlike ones again with the most frequent of these, and what a few such rounds leave in pairs. Pairs are verified by the exact Jaccard
+unlike ones again with the most frequent of these; after a few such rounds every two members of a group that no links join yet
+are paired too, if the ranks of what they share allow it. Pairs are verified by the exact Jaccard
 similarity of their shingles; links are clustered by components; of a component the first occurrence (least doc_id,
 then place) stays.
 
@@ -19,7 +20,7 @@ Only repetition across documents counts; a line that one document repeats does n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +48,9 @@ _NULL_ID = (1 << 63) - 1
 
 
 class Words:
-    """Word hashes of the texts of a slice, with where documents and lines begin. Words: white-space tokens, A-Z lowered, outer punctuation off."""
+    """Word hashes of the texts of a slice, with where documents and lines begin. Words: white-space tokens, A-Z lowered, outer ``strip`` off."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], strip: bytes = _PUNCTUATION):
         known: dict[bytes, int] = {}
         get, ids, docs, lines = known.setdefault, [], [], []
         for t in texts:
@@ -59,7 +60,7 @@ class Words:
                     lines.append(len(ids))
                     ids.extend([get(w, len(known)) for w in words])
         digest = xxhash.xxh64_intdigest
-        hashes = np.array([digest(w.strip(_PUNCTUATION) or w, 5) for w in known], dtype=np.uint64)
+        hashes = np.array([digest(w.strip(strip) or w, 5) for w in known], dtype=np.uint64)
         self.hash = hashes[np.array(ids, dtype=np.int64)] if ids else np.zeros(0, np.uint64)
         self.doc = np.array([*docs, len(ids)], dtype=np.int64)
         self.line = np.array([*lines, len(ids)], dtype=np.int64)
@@ -101,12 +102,15 @@ def _content(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(np.ascontiguousarray(shingles).tobytes(), 9)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The band hashes of a paragraph."""
-    values = shingles[:, None] * _MULTIPLIERS[None, :]
-    values ^= values >> _U(32)
-    values *= _U(0x9E3779B97F4A7C15)
-    low = values.min(axis=0).reshape(BANDS, ROWS)
+def minima(shingles: np.ndarray, multipliers: np.ndarray = _MULTIPLIERS) -> np.ndarray:
+    """The band hashes of a shingle set."""
+    low = np.full(len(multipliers), ~_U(0))
+    for at in range(0, len(shingles), 8192):
+        values = shingles[at : at + 8192, None] * multipliers[None, :]
+        values ^= values >> _U(32)
+        values *= _U(0x9E3779B97F4A7C15)
+        low = np.minimum(low, values.min(axis=0))
+    low = low.reshape(-1, ROWS)
     return _mix(_mix(low[:, 0], low[:, 1]), low[:, 2])
 
 
@@ -151,8 +155,12 @@ def _paragraph_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 _SET_DDL = "hash long, shingles binary"
 
 
-def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Shingles of the paragraphs whose hashes are ``wanted(hash)``; these are looked up in shards, texts are not shuffled."""
+def _paragraph_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
+    return (s for _, _, s in Words(texts).paragraphs())
+
+
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, pieces: Callable[[list[bytes]], Iterator[np.ndarray]]) -> DataFrame:
+    """Shingles of the ``pieces`` whose hashes are ``wanted(hash)``; these are looked up in shards, texts are not shuffled."""
     spark = docs.sparkSession
     bits = max(0, (partitions_for(spark, wanted.count(), 1_000_000) - 1).bit_length())
     shard = F.shiftrightunsigned("hash", 64 - bits).cast("int") if bits else F.lit(0)
@@ -162,7 +170,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _slices(it):
-            found = {_content(s): s for _, _, s in Words(texts).paragraphs()}
+            found = {_content(s): s for s in pieces(texts)}
             keys = np.fromiter(found, dtype=np.uint64, count=len(found))
             hit = keys[~np.isnan(model.look_up(keys)[0])]
             if len(hit):
@@ -182,14 +190,19 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def paragraph_links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """``distinct(hash, b0...)`` → ``(u, v)``: similar paragraphs that are not equal."""
-    keys = F.explode(F.array(*[F.xxhash64(F.lit(i), f"b{i}") for i in range(BANDS)])).alias("key")
+    """``distinct(hash, times, b0...)`` → ``(u, v)``: similar paragraphs that are not equal."""
+    return similar_links(docs, distinct, BANDS, _paragraph_sets)
+
+
+def similar_links(docs: DataFrame, distinct: DataFrame, bands: int, pieces: Callable[[list[bytes]], Iterator[np.ndarray]]) -> DataFrame:
+    """Links whose components are those of all similar pairs that share a band: ``distinct(hash, times, b0...)`` → ``(u, v)``."""
+    keys = F.explode(F.array(*[F.xxhash64(F.lit(i), f"b{i}") for i in range(bands)])).alias("key")
     banded = materialize(distinct.select("hash", keys), "bands")
     sizes = materialize(banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     if not sizes.head(1):
         return docs.sparkSession.createDataFrame([], "u long, v long")
     members = materialize(banded.join(sizes, "key"), "bucket-members")
-    sets = materialize(_shingle_sets(docs, members.select("hash").distinct()), "shingle-sets")
+    sets = materialize(_shingle_sets(docs, members.select("hash").distinct(), pieces), "shingle-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         a, b = sets.select(F.col("hash").alias("u"), F.col("shingles").alias("su")), sets.select(F.col("hash").alias("v"), F.col("shingles").alias("sv"))
@@ -200,13 +213,11 @@ def paragraph_links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     active = materialize(_prefixes(sets.join(large, "hash")), "prefixes")
     least = active.groupBy("key").agg(F.min("size").alias("least"))
     reach = F.col("shared") * (1 + SIMILARITY) >= SIMILARITY * (F.col("size") + F.greatest(F.col("least"), F.col("size") * SIMILARITY)) - 1e-9
-    active = materialize(active.join(least, "key").where(reach).drop("least"), "prefixes-in-reach")
+    reached = active = materialize(active.join(least, "key").where(reach).drop("least"), "prefixes-in-reach")
     for _ in range(STAR_ROUNDS):
         lead = F.min(F.struct((-F.col("times")).alias("t"), "hash", "size", "shared")).alias("x")  # the text of most occurrences: others are edits of it
-        leads = active.groupBy("key").agg(F.count("*").alias("n"), lead).where("n > 1").select("key", "n", F.col("x.hash").alias("lead"), F.col("x.size").alias("lead_size"), F.col("x.shared").alias("lead_shared"))
-        sized = active.join(leads, "key")
-        links.append(materialize(verified(_all_pairs(sized.where(F.col("n") <= SMALL_BUCKET))), f"links-{len(links)}"))
-        star = materialize(sized.where((F.col("n") > SMALL_BUCKET) & (F.col("hash") != F.col("lead"))).select("key", "hash", "times", "size", "shared", "lead", "lead_size", "lead_shared"), f"stars-{len(links)}")
+        leads = active.groupBy("key").agg(F.count("*").alias("n"), lead).where(F.col("n") > SMALL_BUCKET).select("key", F.col("x.hash").alias("lead"), F.col("x.size").alias("lead_size"), F.col("x.shared").alias("lead_shared"))
+        star = materialize(active.join(leads, "key").where(F.col("hash") != F.col("lead")).select("key", "hash", "times", "size", "shared", "lead", "lead_size", "lead_shared"), f"stars-{len(links)}")
         if not star.head(1):
             break
         may = F.least("shared", "lead_shared") * (1 + SIMILARITY) >= SIMILARITY * (F.col("size") + F.col("lead_size")) - 1e-9  # else their overlap can't do
@@ -214,12 +225,25 @@ def paragraph_links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         links.append(to_lead)
         matched = to_lead.select(F.col("u").alias("lead"), F.col("v").alias("hash"))
         active = materialize(star.join(matched, ["lead", "hash"], "left_anti").select("key", "hash", "times", "size", "shared"), f"prefixes-{len(links)}")
-    else:
-        links.append(verified(_all_pairs(active)))
     out = links[0]
     for x in links[1:]:
         out = out.unionAll(x)
-    return out
+    return out.unionAll(verified(_across(reached, connected_components(out))))
+
+
+def _across(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(u, v)`` for what may be similar of a key and is not linked yet: ``members(key, hash, size, shared, r)``, ``roots(node, root)``.
+
+    The first shingle that two sets share, by rank, leaves what is after it in either for their overlap.
+    """
+    rooted = materialize(members.join(roots.withColumnRenamed("node", "hash"), "hash", "left").withColumn("root", F.coalesce("root", "hash")), "prefixes-rooted")
+    several = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    own = F.collect_list(F.struct("hash", "size", (F.col("size") - F.col("r") + 1).alias("rest")))
+    parts = materialize(rooted.join(several, "key").groupBy("key", "root").agg(own.alias("m")), "prefix-parts")
+    both = parts.select("key", F.col("root").alias("ra"), F.col("m").alias("ma")).join(parts.select("key", F.col("root").alias("rb"), F.col("m").alias("mb")), "key").where("ra < rb")
+    may = f"least(x.rest, y.rest) * {1 + SIMILARITY} >= {SIMILARITY} * (x.size + y.size) - 1e-9"
+    pairs = F.explode(F.expr(f"flatten(transform(ma, x -> transform(filter(mb, y -> {may}), y -> named_struct('u', least(x.hash, y.hash), 'v', greatest(x.hash, y.hash)))))"))
+    return both.select(pairs.alias("p")).select("p.u", "p.v")
 
 
 def _all_pairs(members: DataFrame) -> DataFrame:
@@ -230,7 +254,7 @@ def _all_pairs(members: DataFrame) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """``sets(hash, shingles, times)`` → ``(key, hash, times, size, shared)``: the rarest shingles of every set, so many that two
+    """``sets(hash, shingles, times)`` → ``(key, hash, times, size, shared, r)``: the rarest shingles of every set with their ranks, so many that two
     similar sets share one; ``shared`` of its ``size`` shingles are in another set at all, which bounds its overlap with any."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +267,7 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     often = all_.groupBy("key").agg(F.count("*").alias("often"))
     own = Window.partitionBy("hash")
     ranked = all_.join(often, "key").select("*", F.row_number().over(own.orderBy("often", "key")).alias("r"), F.count_if(F.col("often") > 1).over(own).alias("shared"))
-    return ranked.where((F.col("r") <= F.col("size") - F.ceil(F.col("size") * SIMILARITY) + 1) & (F.col("often") > 1)).select("key", "hash", "times", "size", "shared")
+    return ranked.where((F.col("r") <= F.col("size") - F.ceil(F.col("size") * SIMILARITY) + 1) & (F.col("often") > 1)).select("key", "hash", "times", "size", "shared", "r")
 
 
 _SPAN = "doc_id long, start long, stop long, removed boolean, first_doc long"

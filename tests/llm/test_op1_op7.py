@@ -141,6 +141,15 @@ def test_large_bucket_of_near_copies(spark):
     assert sum(r["n_removed"] > 0 for r in got) == 59
 
 
+def test_unlike_tails_stay_linked(spark):
+    """A text of many copies leads; what is like a member of its group, but not like it, is in the component too."""
+    base = [f"base{i}" for i in range(94)]
+    rows = [(i, " ".join([*base, *[f"lead{k}" for k in range(10)]])) for i in range(60)]
+    rows += [(60, " ".join(base))] + [(100 + i, " ".join([*base, *[f"u{i}x{k}" for k in range(20)]])) for i in range(50)]
+    got = sd.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got} == {r[0] for r in rows} and {r["first_doc"] for r in got} == {0}
+
+
 def test_no_documents(spark):
     assert sd.repeated_passages(_docs.empty(spark)).count() == 0
     assert "doc_id" in sd.repeated_passages(_docs.frame(spark)).columns
