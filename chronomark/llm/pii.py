@@ -7,7 +7,8 @@ construction and one entity gets the same one in every document and in every not
 word, so "Mr John Smith" and "Mr Smith" stay one person; given names keep their gender.
 
 Collision checks run over the distinct entities of the whole corpus: a surrogate must not be a real entity, nor the
-surrogate of another. Losers get the next attempt, round by round, until there are none. Only entities whose attempt is
+surrogate of another. Losers get the next attempt, round by round, until there are none; the space of names grows with the attempt, as does
+that of short local parts and telephone numbers after some attempts. Only entities whose attempt is
 not 0 are kept, by 64-bit hash, in shards of the shared folder; a task looks the hashes of its entities up there.
 Texts are not shuffled and no table of entities is sent to the driver.
 """
@@ -15,6 +16,7 @@ Texts are not shuffled and no table of entities is sent to the driver.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -29,7 +31,10 @@ from chronomark.llm._common import materialize, partitions_for, shared_path, tab
 from chronomark.llm.quality import Model
 
 KEY = b"chronomark surrogate key"
-MAX_ROUNDS = 12
+#: Syllables of a name at the first attempt; every other attempt has one more.
+NAME_SYLLABLES = 4
+#: From this attempt on local parts and telephone numbers get longer: corpora can use up the short ones.
+LONGER_FROM = 8
 
 _TITLES = {
     "m": ["Mr", "Mr.", "Sir", "Lord", "Herr", "Monsieur", "M.", "Señor", "Sr.", "Don", "господин"],
@@ -147,23 +152,25 @@ _SYLLABLES = {
 _ENDINGS = {"latin": {"m": "o", "f": "a", "n": "en", "s": "er"}, "cyrillic": {"m": "ий", "f": "ия", "n": "ен", "s": "ов"}}
 
 
-def _name(norm: str, key: bytes, tweak: str, kind: str) -> str:
+def _name(norm: str, key: bytes, tweak: str, kind: str, syllables: int) -> str:
     script = "cyrillic" if "а" <= norm[-1].lower() <= "ё" else "latin"
-    n = int.from_bytes(hashlib.blake2b(f"{tweak}|{norm}".encode(), key=key[:64], digest_size=8).digest(), "big")
+    n = int.from_bytes(hashlib.blake2b(f"{tweak}|{norm}".encode(), key=key[:64], digest_size=min(64, max(8, -(-syllables // 2)))).digest(), "big")
     parts = _SYLLABLES[script]
-    return "".join(parts[n >> 4 * i & 15] for i in range(4)).capitalize() + _ENDINGS[script][kind]
+    return "".join(parts[n >> 4 * i & 15] for i in range(syllables)).capitalize() + _ENDINGS[script][kind]
 
 
 def surrogate(kind: str, norm: str, attempt: int, key: bytes = KEY) -> str:
     """The surrogate of a normalised entity, itself in normal form."""
     tweak = f"{kind}|{attempt}"
+    longer = max(0, attempt - LONGER_FROM + 1)
     if kind == "email":
         local, _, host = norm.rpartition("@")
         labels = host.split(".")
         new = ".".join([*[permute_text(x, key, f"host|{attempt}|{'.'.join(labels[i + 1 :])}") for i, x in enumerate(labels[:-1])], labels[-1]])
-        return f"{permute_text(local, key, f'{tweak}|{host}')}@{new}"
+        return f"{permute_text(local + 'a' * longer, key, f'{tweak}|{host}')}@{new}"
     if kind in ("phone", "ssn"):
         head, _, digits = norm.rpartition(" ")
+        digits += "0" * (longer if kind == "phone" else 0)
         return f"{head} {permute_over(digits, '0123456789', key, tweak)}".lstrip() if head else permute_over(digits, "0123456789", key, tweak)
     if kind == "card":
         body = permute_over(norm[:-1], "0123456789", key, tweak)
@@ -176,7 +183,7 @@ def surrogate(kind: str, norm: str, attempt: int, key: bytes = KEY) -> str:
     if kind == "iban":
         return norm[:2] + permute_text(norm[2:], key, tweak + norm[:2])
     if kind in ("name_m", "name_f", "name_n", "name_s"):
-        return _name(norm, key, tweak, kind[-1])
+        return _name(norm, key, tweak, kind[-1], NAME_SYLLABLES + attempt)
     if re.fullmatch("[0-9a-f]+", norm):
         return permute_over(norm, "0123456789abcdef", key, tweak)
     return permute_text(norm, key, tweak)
@@ -186,9 +193,9 @@ def surrogate(kind: str, norm: str, attempt: int, key: bytes = KEY) -> str:
 
 
 def _poured(digits: str, shape: str) -> str:
-    """The digits or letters of ``digits`` in the places of those of ``shape``, with its punctuation and case."""
+    """The digits or letters of ``digits`` in the places of those of ``shape``, with its punctuation and case; more of them follow."""
     it = iter(digits)
-    return "".join((next(it).upper() if c.isupper() else next(it)) if c.isalnum() else c for c in shape)
+    return "".join((next(it).upper() if c.isupper() else next(it)) if c.isalnum() else c for c in shape) + "".join(it)
 
 
 def _candidates(text: str) -> list[re.Match]:
@@ -300,7 +307,7 @@ def attempts(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     found = docs.select("text").mapInArrow(_entity_batches, "kind string, norm string").distinct()
     real = materialize(found, "pii-entities")
     current = real.withColumn("attempt", F.lit(0))
-    for n in range(MAX_ROUNDS):
+    for n in itertools.count():
         given = materialize(current.mapInArrow(lambda it: _assign(it, key), "kind string, norm string, attempt int, new string"), f"pii-round-{n}")
         taken = given.join(real.select("kind", F.col("norm").alias("new")), ["kind", "new"], "left_semi").select("kind", "norm")
         firsts = given.groupBy("kind", "new").agg(F.min("norm").alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -310,7 +317,6 @@ def attempts(docs: DataFrame, key: bytes = KEY) -> DataFrame:
             return given
         marked = losers.withColumn("lost", F.lit(1))
         current = given.join(marked, ["kind", "norm"], "left").select("kind", "norm", (F.col("attempt") + F.coalesce("lost", F.lit(0))).cast("int").alias("attempt"))
-    raise RuntimeError(f"surrogates still collide after {MAX_ROUNDS} rounds")
 
 
 _KEYED = pa.schema([("shard", pa.int32()), ("key", pa.int64()), ("a", pa.float32()), ("b", pa.float32())])

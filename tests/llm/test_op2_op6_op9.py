@@ -89,6 +89,16 @@ def test_collisions_move_on(spark, monkeypatch):
     assert len({r["new"] for r in given}) == 12 and any(r["attempt"] for r in given)
 
 
+def test_more_names_than_short_surrogates(spark):
+    def name(i):
+        return "Q" + "".join("abcdefghijklmnop"[i >> 4 * k & 15] for k in range(5))
+
+    docs = spark.createDataFrame([(i, " ".join(f"Mr {name(20 * i + k)}." for k in range(20))) for i in range(3_500)], "doc_id long, text string")
+    given = pii.attempts(docs).collect()
+    assert len(given) == 70_000 == len({r["new"] for r in given}) and not {r["new"] for r in given} & {r["norm"] for r in given}
+    assert len({pii.surrogate("phone", "+1 1234", n) for n in range(40)}) > 20 and len(pii.surrogate("phone", "+1 1234", 9)) > len("+1 1234")
+
+
 def _weak(batches, key, real):
     import pyarrow as pa
 
