@@ -10,6 +10,11 @@ search in each), so nothing of the documents is shuffled and the memory of a tas
 documents. Every row is scored, over its whole text.
 
 Thresholds: the ``quantile`` of the perplexity of the held-out trusted documents in the language, over all of them.
+
+Toxicity: a few insults hardly move the perplexity of a long text, so it has a measure and a threshold of its own. A word's
+weight is the log10 ratio of the shares of toxic and of trusted training documents that have it; a text's toxicity is the
+sum of the ``TOXIC_TOP`` heaviest of its distinct words, whatever its length, and its threshold the same quantile of the
+same held-out documents.
 """
 
 from __future__ import annotations
@@ -33,6 +38,11 @@ QUANTILE = 0.99
 MODEL_BITS = 5
 CACHED_ENTRIES = 6_000_000
 SLICE_TOKENS = 400_000
+#: Words that count for the toxicity of a text; toxic training documents that have a word with a weight, and its least weight.
+TOXIC_TOP = 3
+TOXIC_WORD_DOCS = 3
+TOXIC_WEIGHT = 0.5
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _U = np.uint64
 
@@ -126,11 +136,38 @@ def fit_language(texts: list[str | None], lang: str | None) -> tuple[np.ndarray,
     return (*(np.concatenate(x) for x in zip(*parts, strict=True)), unseen)
 
 
+def _vocabulary(texts: list[str | None], lang: str | None) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Hashes of all distinct words, outer punctuation off, apart from the n-grams' ones; and which of them each text has."""
+    salt, known, hashes, own = _salt(lang) ^ 0x70C1C, {}, {}, []
+    for t in texts:
+        ids = set()
+        for w in set(tokens_of(t)):
+            at = known.get(w)
+            if at is None:
+                bare = w.strip(_PUNCTUATION) or w
+                at = known[w] = hashes.setdefault(xxhash.xxh64_intdigest(bare.encode("utf-8", "replace"), salt), len(hashes))
+            ids.add(at)
+        own.append(np.fromiter(ids, np.int64, len(ids)))
+    return np.fromiter(hashes, np.uint64, len(hashes)), own
+
+
+def fit_toxic(clean: list[str | None], toxic: list[str | None], lang: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """``(key, weight)`` of the words of toxic texts; none if there are too few."""
+    if len(toxic) < LEAST_DOCS or not clean:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    keys, own = _vocabulary([*toxic, *clean], lang)
+    count = lambda of: np.bincount(np.concatenate(of), minlength=len(keys))
+    in_toxic, in_clean = count(own[: len(toxic)]), count(own[len(toxic) :])
+    weight = np.log10((in_toxic + 0.5) / (len(toxic) + 1) / ((in_clean + 0.5) / (len(clean) + 1)))
+    some = (in_toxic >= TOXIC_WORD_DOCS) & (weight > TOXIC_WEIGHT)
+    return keys[some], weight[some]
+
+
 class Model:
     """Where the shards are, and what a language needs besides them. Small: it is sent with the tasks."""
 
-    def __init__(self, path: str, bits: int, unseen: dict[str, float]):
-        self.path, self.bits, self.unseen = path, bits, unseen
+    def __init__(self, path: str, bits: int, unseen: dict[str, float], toxic: frozenset[str] = frozenset()):
+        self.path, self.bits, self.unseen, self.toxic = path, bits, unseen, toxic
 
     def _parts(self, k: int) -> list[pa.Table]:
         import pyarrow.parquet as pq
@@ -197,6 +234,11 @@ class Model:
         logs = np.add.reduceat(np.log10(np.maximum(p, 1e-30)), first)
         return words + 1, logs
 
+    def toxicity(self, texts: list[str | None], lang: str | None) -> list[float]:
+        keys, own = _vocabulary(texts, lang)
+        weights = np.nan_to_num(self.look_up(keys)[0]).astype(np.float64)
+        return [float(np.sort(weights[ids])[-TOXIC_TOP:].sum()) for ids in own]
+
 
 class PackedModel(Model):
     """A model whose shards are written as blobs: keys and weights of a language and shard, as they lie in memory."""
@@ -208,10 +250,10 @@ class PackedModel(Model):
         return [np.concatenate(x) if blobs else np.zeros(0, kind) for kind, x in ((np.uint64, read("<u8", 0)), (np.float32, read("<f4", 8)), (np.float32, read("<f4", 12)))]
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, lang, held_out)`` of trusted documents; narrow columns only."""
+def _labelled(docs: DataFrame, labels: DataFrame, toxic: bool = False) -> DataFrame:
+    """``(doc_id, lang, held_out)`` of trusted documents, or of those that a label calls toxic; narrow columns only."""
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"), F.count_if(F.col("quality").isNull()).alias("n"))
-    good = good.where("q = 1 and n = 0 and coalesce(t, 0) = 0").select("doc_id")
+    good = good.where("t = 1" if toxic else "q = 1 and n = 0 and coalesce(t, 0) = 0").select("doc_id")
     ids = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang")).join(good, "doc_id")
     return ids.select("doc_id", "lang", (F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).alias("held_out"))
 
@@ -219,35 +261,42 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """The model of every language with ``LEAST_DOCS`` training documents at least (of the ``LANGUAGES`` most frequent)."""
     spark = docs.sparkSession
-    pool = _labelled(docs, labels).where("not held_out")
-    sizes = pool.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    rates = [(r["lang"], min(1.0, train_docs / r["count"])) for r in sizes if r["count"] >= LEAST_DOCS]
-    rate = spark.createDataFrame(rates or [("", 0.0)], "lang string, rate double")
+    pool = _labelled(docs, labels).where("not held_out").withColumn("toxic", F.lit(False)).unionAll(_labelled(docs, labels, toxic=True).where("not held_out").withColumn("toxic", F.lit(True)))
+    trusted, toxic = (dict(pool.where(c).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()) for c in ("not toxic", "toxic"))
+    fitting = {lang: n for lang, n in trusted.items() if n >= LEAST_DOCS}
+    rates = [(lang, t, min(1.0, train_docs / n)) for lang in fitting for t, n in ((False, fitting[lang]), (True, toxic.get(lang, 0))) if n]
+    rate = spark.createDataFrame(rates or [("", False, 0.0)], "lang string, toxic boolean, rate double")
     draw = (F.xxhash64(F.lit(11), "doc_id") / F.lit(2.0**64)) + 0.5
-    sample = pool.join(F.broadcast(rate), "lang").where(draw < F.col("rate")).select("doc_id").distinct()  # LANGUAGES * train_docs ids at most, in expectation
-    texts = docs.join(F.broadcast(sample), "doc_id", "left_semi").select(F.coalesce("lang", F.lit("")).alias("lang"), "text")
+    sample = pool.join(F.broadcast(rate), ["lang", "toxic"]).where(draw < F.col("rate")).select("doc_id", "toxic").distinct()  # 2 * LANGUAGES * train_docs ids at most, in expectation
+    texts = docs.join(F.broadcast(sample), "doc_id").select(F.coalesce("lang", F.lit("")).alias("lang"), "text", "toxic")
 
     def fitted(rows: pa.Table) -> pa.Table:
         worker_cache("fit")
         lang = rows.column("lang")[0].as_py()
-        key, a, b, unseen = fit_language(rows.column("text").to_pylist(), lang)
+        parts = {False: [], True: []}
+        for text, toxic in zip(rows.column("text").to_pylist(), rows.column("toxic").to_pylist(), strict=True):
+            parts[toxic].append(text)
+        key, a, b, unseen = fit_language(parts[False], lang) if parts[False] else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), None)
+        words, weights = fit_toxic(parts[False], parts[True], lang)
+        key, a, b = np.concatenate([key, words]), np.concatenate([a, weights]), np.concatenate([b, np.full(len(words), np.nan)])
         order = np.argsort(key)
         key, a, b = key[order], a[order].astype("<f4"), b[order].astype("<f4")
         cuts = np.searchsorted(key >> _U(64 - MODEL_BITS), np.arange((1 << MODEL_BITS) + 1, dtype=np.uint64)).tolist()
         data = [key[i:j].tobytes() + a[i:j].tobytes() + b[i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)]
-        return pa.table({"lang": [lang] * len(data), "unseen": [unseen] * len(data), "shard": pa.array(range(len(data)), pa.int32()), "data": data})
+        return pa.table({"lang": [lang] * len(data), "unseen": pa.array([unseen] * len(data), pa.float64()), "toxic": [len(words) > 0] * len(data), "shard": pa.array(range(len(data)), pa.int32()), "data": data})
 
     path = shared_path(spark, "kn-model")
-    texts.groupBy("lang").applyInArrow(fitted, "lang string, unseen double, shard int, data binary").write.partitionBy("shard").parquet(path)
-    floors = spark.read.schema("lang string, unseen double, data binary, shard int").parquet(path).where("shard = 0").select("lang", "unseen").collect()  # one row a language, LANGUAGES at most
-    return PackedModel(path, MODEL_BITS, {r["lang"]: r["unseen"] for r in floors})
+    texts.groupBy("lang").applyInArrow(fitted, "lang string, unseen double, toxic boolean, shard int, data binary").write.partitionBy("shard").parquet(path)
+    floors = spark.read.schema("lang string, unseen double, toxic boolean, data binary, shard int").parquet(path).where("shard = 0 and unseen is not null").select("lang", "unseen", "toxic").collect()  # one row a language, LANGUAGES at most
+    return PackedModel(path, MODEL_BITS, {r["lang"]: r["unseen"] for r in floors}, frozenset(r["lang"] for r in floors if r["toxic"]))
 
 
-def _score_rows(batch: pa.RecordBatch, model: Model) -> tuple[list, list]:
-    """Tokens and log10 probability of the rows; null where the language has no model or the text no words."""
+def _score_rows(batch: pa.RecordBatch, model: Model) -> tuple[list, list, list]:
+    """Tokens, log10 probability and toxicity of the rows; null where the language has no model or the text no words."""
     langs, texts = (batch.column(batch.schema.names.index(c)).to_pylist() for c in ("lang", "text"))
     tokens: list[int | None] = [None] * len(texts)
     logs: list[float | None] = [None] * len(texts)
+    toxicity: list[float | None] = [None] * len(texts)
     for lang in dict.fromkeys(x or "" for x in langs):
         rows = [i for i, x in enumerate(langs) if (x or "") == lang]
         at = 0
@@ -257,6 +306,9 @@ def _score_rows(batch: pa.RecordBatch, model: Model) -> tuple[list, list]:
                 size += len(texts[rows[upto]] or "")
                 upto += 1
             part = rows[at:upto]
+            if lang in model.toxic:
+                for i, x in zip(part, model.toxicity([texts[i] for i in part], lang), strict=True):
+                    toxicity[i] = x
             if lang in model.unseen:
                 n, s = model.score([texts[i] for i in part], lang)
                 for i, a, b in zip(part, n.tolist(), s.tolist(), strict=True):
@@ -265,18 +317,18 @@ def _score_rows(batch: pa.RecordBatch, model: Model) -> tuple[list, list]:
                 for i in part:
                     tokens[i] = len(tokens_of(texts[i])) + 1
             at = upto
-    return tokens, logs
+    return tokens, logs, toxicity
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """``(doc_id, lang, n_tokens, log10_prob)`` of every row."""
+    """``(doc_id, lang, n_tokens, log10_prob, toxicity)`` of every row."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            n, s = _score_rows(batch, model)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(s, pa.float64())], names=["doc_id", "lang", "n_tokens", "log10_prob"])
+            n, s, x = _score_rows(batch, model)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(s, pa.float64()), pa.array(x, pa.float64())], names=["doc_id", "lang", "n_tokens", "log10_prob", "toxicity"])
 
-    return docs.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(batches, "doc_id long, lang string, n_tokens long, log10_prob double")
+    return docs.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(batches, "doc_id long, lang string, n_tokens long, log10_prob double, toxicity double")
 
 
 def _cross_entropy():
@@ -284,40 +336,43 @@ def _cross_entropy():
     return -F.col("log10_prob") / F.col("n_tokens")
 
 
-def thresholds(scored: DataFrame, docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> dict[str, float]:
-    """log10 of the greatest perplexity to keep, by language."""
+def thresholds(scored: DataFrame, docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> dict[str, tuple[float, float | None]]:
+    """log10 of the greatest perplexity to keep and the greatest toxicity that is not toxic, by language."""
     held = _labelled(docs, labels).where("held_out").select("doc_id").distinct()
     found = scored.join(held, "doc_id", "left_semi").where("log10_prob is not null")
-    rows = found.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).agg(F.percentile_approx(_cross_entropy(), quantile, 10_000).alias("t"))
-    return {r["lang"]: r["t"] for r in rows.limit(LANGUAGES).collect()}
+    most = lambda c, name: F.percentile_approx(c, quantile, 10_000).alias(name)
+    rows = found.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).agg(most(_cross_entropy(), "t"), most(F.col("toxicity"), "x"))
+    return {r["lang"]: (r["t"], r["x"]) for r in rows.limit(LANGUAGES).collect()}
 
 
 def classify(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, quantile: float = QUANTILE) -> DataFrame:
-    """``doc_id, lang, n_tokens, log10_prob, perplexity, threshold, keep`` per row of ``docs``.
+    """``doc_id, lang, n_tokens, log10_prob, perplexity, threshold, keep, toxicity, toxic`` per row of ``docs``.
 
+    ``keep`` is the verdict on quality alone and ``toxic`` the one on toxicity; ``filter_quality`` goes by both. In a language
+    with fewer than ``LEAST_DOCS`` toxic training documents toxicity is null and nothing is toxic.
     Defined cases: a text without words (null, empty, white space) is rejected; a language without a model or without
     held-out trusted text is kept, with null score or threshold; null lang is a language of its own; repeated rows are
     scored alike; without labels everything with words is kept; other columns are ignored.
     """
     scored = materialize(scores(docs, fit(docs, labels, train_docs)), "kn-scores")
     limit = thresholds(scored, docs, labels, quantile)
-    limits = docs.sparkSession.createDataFrame(list(limit.items()) or [("", None)], "__lang string, __limit double")
+    limits = docs.sparkSession.createDataFrame([(lang, *x) for lang, x in limit.items()] or [("", None, None)], "__lang string, __limit double, __most double")
     joined = scored.join(F.broadcast(limits), F.coalesce("lang", F.lit("")) == F.col("__lang"), "left")
     keep = (F.col("n_tokens") > 1) & F.coalesce(_cross_entropy() <= F.col("__limit"), F.lit(True))
     power = lambda c: F.pow(F.lit(10.0), c)
-    return joined.select("doc_id", "lang", "n_tokens", "log10_prob", power(_cross_entropy()).alias("perplexity"), power(F.col("__limit")).alias("threshold"), keep.alias("keep"))
+    return joined.select("doc_id", "lang", "n_tokens", "log10_prob", power(_cross_entropy()).alias("perplexity"), power(F.col("__limit")).alias("threshold"), keep.alias("keep"), "toxicity", F.coalesce(F.col("toxicity") > F.col("__most"), F.lit(False)).alias("toxic"))
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, quantile: float = QUANTILE) -> DataFrame:
-    """``docs`` without the rows that are rejected; all columns. Texts are scored again instead of shuffled."""
+    """``docs`` without the rows that are rejected or toxic; all columns. Texts are scored again instead of shuffled."""
     model = fit(docs, labels, train_docs)
     limit = thresholds(materialize(scores(docs, model), "kn-scores"), docs, labels, quantile)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            n, s = _score_rows(batch, model)
-            langs = batch.column(batch.schema.names.index("lang")).to_pylist()
-            keep = [a > 1 and (b is None or (x or "") not in limit or -b / a <= limit[x or ""]) for a, b, x in zip(n, s, langs, strict=True)]
+            n, s, toxicity = _score_rows(batch, model)
+            limits = [limit.get(x or "", (None, None)) for x in batch.column(batch.schema.names.index("lang")).to_pylist()]
+            keep = [a > 1 and (b is None or most is None or -b / a <= most) and (x is None or toxic is None or x <= toxic) for a, b, x, (most, toxic) in zip(n, s, toxicity, limits, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(batches, docs.schema)

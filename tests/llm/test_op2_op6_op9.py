@@ -185,3 +185,26 @@ def test_classifier_on_labelled_documents(spark):
     out = quality.op9_quality_classifier(spark, sf).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("keep").cast("int")).alias("kept")).collect()
     kept = {r["quality"]: r["kept"] for r in out}
     assert kept[1] > 0.95 and kept[0] < 0.3
+
+
+def test_insults_in_long_texts(spark):
+    import random
+
+    rng = random.Random(3)
+    words, insults = [f"w{i}" for i in range(400)], ["scum,", "Moron", "idiot!", "loser"]
+    rows, labels = [], []
+    for i in range(600):
+        text = [rng.choice(words) for _ in range(rng.randint(50, 900))]
+        toxic = i % 4 == 0
+        if toxic:
+            for w in rng.sample(insults, 3):
+                text[rng.randrange(len(text))] = w
+        rows.append((i, " ".join(text), "en"))
+        if i < 480:
+            labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r["doc_id"]: r for r in quality.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    new = [i for i in range(480, 600)]
+    assert sum(out[i]["toxic"] for i in new if i % 4 == 0) >= 28 and sum(out[i]["toxic"] for i in new if i % 4) <= 3
+    kept = {r["doc_id"] for r in quality.filter_quality(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert kept == {i for i, r in out.items() if r["keep"] and not r["toxic"]}
