@@ -11,8 +11,10 @@ similarity of their shingles; links are clustered by components; of a component
 then place) stays.
 
 A passage that is pasted into another paragraph leaves the paragraphs dissimilar, so windows of ``LEAST_WORDS`` words are
-compared too: they begin at line starts and at words whose hash is a multiple of four, wherever these are, so copies of a
-passage give the same windows. Blocks of documents send packed window hashes to shards and get back which of them
+compared too: they begin at line starts, at words whose hash is a multiple of four, and where the hash of the next five words
+is the least of a run of ``RUN`` places. Copies of a passage of ``LEAST_WORDS + RUN - 1`` = 50 words have such a place, and so the
+same window; a shorter one can lie between two starts and be missed. The words of a passage before its first start and after
+its last window are not in its span. Blocks of documents send packed window hashes to shards and get back which of them
 another document has, and the first that has it; nothing is sent per pair and a frequent passage is one entry a block.
 
 Only repetition across documents counts; a line that one document repeats does not.
@@ -34,6 +36,7 @@ from chronomark.llm.lm_scoring import _ROW_DDL, BLOCK_BYTES, SHARD_BYTES, _delta
 from chronomark.llm.quality import Model
 
 LEAST_WORDS = 25
+RUN = 26
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 8, 3
@@ -88,16 +91,31 @@ class Words:
         start = (self.hash & _U(3)) == 0
         start[self.line[:-1]] = True
         of = np.searchsorted(self.doc, np.arange(n), side="right") - 1
-        at = np.flatnonzero(start & (np.arange(n) + LEAST_WORDS <= self.doc[1:][of])) if n else np.zeros(0, np.int64)
+        five = self.grams(5)
+        fits = np.arange(n) + LEAST_WORDS <= self.doc[1:][of] if n else np.zeros(0, dtype=bool)
+        last = n - LEAST_WORDS + 1
+        if last >= RUN:
+            runs = last - RUN + 1
+            least = np.where(fits[:runs] & fits[RUN - 1 : last] & (of[:runs] == of[RUN - 1 : last]), _sliding(np.minimum, five[:last], RUN), _U(0))
+            start[:last] |= five[:last] == _sliding(np.maximum, np.pad(least, RUN - 1), RUN)
+        at = np.flatnonzero(start & fits)
         if not len(at):
             return at, np.zeros(0, np.uint64), at
-        five = self.grams(5)
         h = five[at]
         for k in range(5, LEAST_WORDS, 5):
             h = _mix(h, five[at + k])
         return at, h, of[at]
 
 
+def _sliding(best: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """``best`` of every ``width`` neighbours."""
+    size = 1
+    while 2 * size <= width:
+        x = best(x[:-size], x[size:])
+        size *= 2
+    return best(x[: len(x) - width + size], x[width - size :]) if size < width else x
+
+
 def _content(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(np.ascontiguousarray(shingles).tobytes(), 9)
 

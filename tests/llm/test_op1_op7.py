@@ -150,6 +150,20 @@ def test_unlike_tails_stay_linked(spark):
     assert {r["doc_id"] for r in got} == {r[0] for r in rows} and {r["first_doc"] for r in got} == {0}
 
 
+def test_every_passage_of_fifty_words_has_a_window(spark):
+    """Of words that start no window by their own hash, in the middle of lines."""
+    words = [w for i in range(4_000) if xxhash.xxh64_intdigest((w := f"q{i}").encode(), 5) & 3]
+    rng = random.Random(6)
+    rows = []
+    for i in range(20):
+        shared = rng.sample(words, 50)
+        rows += [(2 * i + k, " ".join([*rng.sample(words, 40), *shared, *rng.sample(words, 40)])) for k in range(2)]
+    got = {r["doc_id"]: r for r in sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {r[0] for r in rows} and all(got[2 * i + 1]["first_docs"] == [2 * i] for i in range(20))
+    x = np.array([rng.getrandbits(64) for _ in range(90)], dtype=np.uint64)
+    assert all((sd._sliding(np.minimum, x, w) == [x[i : i + w].min() for i in range(91 - w)]).all() for w in (1, 2, 5, 26))
+
+
 def test_no_documents(spark):
     assert sd.repeated_passages(_docs.empty(spark)).count() == 0
     assert "doc_id" in sd.repeated_passages(_docs.frame(spark)).columns
