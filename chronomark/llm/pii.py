@@ -16,6 +16,7 @@ Texts are not shuffled and no table of entities is sent to the driver.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import itertools
 import re
 from collections.abc import Iterator
@@ -56,6 +57,7 @@ PATTERN = re.compile(
     r"|(?P<token>(?<![\w-])(?:(?:sk|pk|ghp|gho|xox[abp]|glpat|hf)[-_][A-Za-z0-9_-]{16,100}|AKIA[A-Z0-9]{16}|[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\w-]))"
     r"|(?P<mac>(?<![\w:])(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}(?![\w:]))"
     r"|(?P<ipv6>(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:]))"
+    r"|(?P<ipv6c>(?<![\w:])(?=[A-Fa-f:]{0,30}[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){1,6}:(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?|::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})(?![\w:]))"
     r"|(?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
@@ -65,8 +67,10 @@ PATTERN = re.compile(
 #: Patterns that begin with a set of characters, for which the search skips quickly.
 _SECRET = re.compile(r"[:=][ \t]{0,3}[\"'](?P<secret>[A-Za-z0-9+/_=-]{16,200})[\"']")
 _NAMED = re.compile(rf"(?:{_TITLE})[ \u00a0](?:{_NAME_WORD})(?: {_NAME_WORD}){{0,2}}")
-#: Every other entity has one of these within ``_REACH`` characters of its start and of its end.
+#: Every other entity has one of these within ``_REACH`` characters of its start and of its end: a digit or an at sign, or
+#: without these the prefix of a token, hex groups between colons or a long run of hex letters.
 _SIGN = re.compile(r"[0-9@](?:.{0,64}[0-9@])*", re.DOTALL)
+_BARE = re.compile(r"(?:sk|pk|ghp|gho|xox[abp]|glpat|hf)[-_]|AKIA|:[A-Fa-f]{1,4}:|[a-f]{32}|[A-F]{32}")
 _REACH = 210
 
 
@@ -198,12 +202,27 @@ def _poured(digits: str, shape: str) -> str:
     return "".join((next(it).upper() if c.isupper() else next(it)) if c.isalnum() else c for c in shape) + "".join(it)
 
 
+def _signs(text: str) -> list[tuple[int, int]]:
+    """Places of signs, in order; near ones are one."""
+    found = [m.span() for m in _SIGN.finditer(text)]
+    bare = [m.span() for m in _BARE.finditer(text)]
+    if not bare:
+        return found
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found + bare):
+        if out and a <= out[-1][1] + 64:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
 def _candidates(text: str) -> list[re.Match]:
     """Matches of all patterns, in order and without overlap; the earlier one counts, then the one with signs in it."""
     out, last = [], 0
-    for sign in _SIGN.finditer(text):
-        start, end = max(last, sign.start() - _REACH), min(len(text), sign.end() + _REACH)
-        while start > last and not text[start - 1].isspace() and sign.start() - start < 2 * _REACH:
+    for first, stop in _signs(text):
+        start, end = max(last, first - _REACH), min(len(text), stop + _REACH)
+        while start > last and not text[start - 1].isspace() and first - start < 2 * _REACH:
             start -= 1
         for m in PATTERN.finditer(text, start, end):
             out.append(m)
@@ -244,6 +263,11 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
             found.append((a, b, kind, re.sub("[: ]", "", value.lower() if kind == "mac" else value), value))
         elif kind == "ipv6":
             found.append((a, b, kind, "".join(x.zfill(4) for x in value.lower().split(":")), value))
+        elif kind == "ipv6c":
+            try:
+                found.append((a, b, "ipv6", ipaddress.IPv6Address(value).exploded.replace(":", ""), value))
+            except ValueError:  # too many groups
+                continue
         elif kind == "ipv4":
             found.append((a, b, kind, ".".join(str(int(x)) for x in value.split(".")), value))
         else:
