@@ -8,6 +8,8 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from chronomark.llm import chat_format, decontaminate, lm_scoring, multiset_hash, warc
@@ -54,8 +56,8 @@ def test_fingerprints_of_edits(spark):
     for i, (d, t) in enumerate(order):
         t, nxt = t or "", order[(i + 1) % len(order)][1] or ""
         want[d] = (len(t), sha(t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]))
-    for size in (1024, 5):
-        got = multiset_hash.fingerprints_with_edits(docs, size).collect()
+    for size, most in ((1024, 1 << 13), (5, 1 << 13), (3, 4)):
+        got = multiset_hash.fingerprints_with_edits(docs, size, most).collect()
         assert {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in got} == want
         fp = {r["doc_id"]: r for r in got}
         assert all(fp[a]["near_next"] == 1 for a, b in zip([o[0] for o in order], [o[0] for o in order][1:], strict=False) if dict(rows)[a] == dict(rows)[b])
@@ -65,13 +67,54 @@ def test_fingerprints_of_edits(spark):
 def test_fingerprints_are_homomorphic(spark):
     texts = spark.createDataFrame([(0, "a b. c\nd e"), (1, "d e\na b. c"), (2, "a b. c"), (3, "d e"), (4, "a b. c\nd e\nd e"), (5, None), (6, "")], "doc_id long, text string")
     lanes = {r["doc_id"]: r["lanes"] for r in multiset_hash.vectors(texts, ["doc_id"]).collect()}
-    assert lanes[0] == lanes[1] != lanes[4] and lanes[5] == lanes[6] == [0] * len(multiset_hash.SUMS)
+    assert lanes[0] == lanes[1] != lanes[4] and lanes[5] == lanes[6] == [0] * multiset_hash.LANES
     both = spark.createDataFrame([(lanes[2], lanes[3], lanes[4])], "a array<long>, b array<long>, c array<long>")
     r = both.select(multiset_hash.add(F.col("a"), F.col("b")).alias("s"), multiset_hash.add(F.col("c"), F.col("b"), -1).alias("d"), multiset_hash.lanes_of(multiset_hash.fingerprint(F.col("c"))).alias("back")).first()
     mod = lambda v: [x % (1 << 32) if i < 4 else x for i, x in enumerate(v)]
     assert mod(r["s"]) == lanes[0] == mod(r["d"]) and r["back"] == lanes[4]
 
 
+def _lanes(text):
+    """Strong lanes, clauses and sign counts, one by one."""
+    def h(seed, s):
+        x = xxhash.xxh64_intdigest(seed if isinstance(seed, bytes) else seed.to_bytes(4, "little"), 42)
+        return xxhash.xxh64_intdigest(s.encode(), x)
+
+    strong, signs, n = [0] * 4, [[0] * 64, [0] * 64], 0
+    for p in (text or "").split("\n"):
+        if p.strip(" "):
+            for lane in range(4):
+                strong[lane] = (strong[lane] + (h(lane // 2, p) >> 32 * (lane % 2) & 0xFFFFFFFF)) % (1 << 32)
+        for c in regex.split(r"[^\p{L}\p{N}\p{M} ']+", p):
+            if c := c.strip(" ").lower():
+                n += 1
+                for s in (0, 1):
+                    x = h(b"c%d" % s, c)
+                    for b in range(64):
+                        signs[s][b] += x >> b & 1
+    return strong, n, signs
+
+
+def test_lanes_and_likeness_against_brute_force(spark):
+    rng = random.Random(8)
+    line = lambda: ", ".join(" ".join(rng.choice(["a", "be", "it's", "Été", "9"]) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 5)))
+    texts = ["\n".join(line() for _ in range(k)) for k in (1, 2, 3, 200)] + [None, "", " \n.", "a. " * 70_000]
+    pairs = [(i, j, texts[i], texts[j]) for i in range(len(texts)) for j in (0, 3, 5, 7)]
+    a, b = multiset_hash.lanes(F.col("x")), multiset_hash.lanes(F.col("y"))
+    df = spark.createDataFrame(pairs, "i int, j int, x string, y string").select("i", "j", a.alias("a"), b.alias("b")).select("*", multiset_hash.likeness(F.col("a"), F.col("b")).alias("like"))
+    want = [_lanes(t) for t in texts]
+    for r in df.collect():
+        strong, n, signs = want[r["i"]]
+        assert r["a"][:4] == strong and r["a"][4] == n
+        for s in (0, 1):
+            got = r["a"][5 + 32 * s : 37 + 32 * s]
+            assert sorted([x & 0xFFFFFFFF for x in got] + [x >> 32 for x in got]) == sorted(signs[s])
+        va, vb = ([2 * c - m for part in sg for c in part] for _, m, sg in (want[r["i"]], want[r["j"]]))
+        whole = sum(x * x for x in va) + sum(x * x for x in vb)
+        like = max(0.0, 1 - sum((x - y) ** 2 for x, y in zip(va, vb, strict=True)) / whole) if whole else 1.0
+        assert abs(r["like"] - like) < 1e-9
+
+
 def test_fingerprint_corner_cases(spark):
     for rows in ([], [(1, "a")], [(None, "x"), (3, "y"), (3, "y"), (3, None)]):
         assert multiset_hash.fingerprints_with_edits(spark.createDataFrame(rows, "doc_id long, text string"), 2).count() == len(rows)
