@@ -26,6 +26,8 @@ from chronomark.llm._common import table
 BUCKET_DOCS = 1_024
 MAX_BUCKETS = 1 << 13
 SEEDS = (0, 1)
+#: So many buckets (24 bytes each) are sent to all executors; more are joined.
+BROADCAST_BUCKETS = 1 << 20
 #: Clauses that are added up in lanes of eight bits.
 CHUNK = 127
 _BYTES = 0x0101010101010101
@@ -159,7 +161,8 @@ def with_next(docs: DataFrame, bucket_docs: int = BUCKET_DOCS, max_buckets: int
     every = Window.orderBy("q")
     lasts = lasts.select("q", F.coalesce(F.lag("last").over(every), F.max("last").over(every.rowsBetween(0, Window.unboundedFollowing))).alias("before"))
     heads = heads.join(F.broadcast(lasts), "q").select("b", "head", F.coalesce(F.lag("b").over(Window.partitionBy("q").orderBy("b")), "before").alias("to"))
-    first = placed.join(heads.withColumnRenamed("b", "hb"), (F.col("b") == F.col("hb")) & F.col("doc_id").eqNullSafe(F.col("head")))
+    heads = heads.withColumnRenamed("b", "hb")  # a row a bucket at most: a known number
+    first = placed.join(F.broadcast(heads) if n * parts <= BROADCAST_BUCKETS else heads, (F.col("b") == F.col("hb")) & F.col("doc_id").eqNullSafe(F.col("head")))
     guests = first.groupBy("b", "to", "doc_id").agg(F.min("text").alias("text")).select("doc_id", "text", F.col("to").alias("b"), F.lit(True).alias("guest"))
     both = placed.select("doc_id", "text", "b", F.lit(False).alias("guest")).unionByName(guests)
     w = Window.partitionBy("b").orderBy("guest", F.desc_nulls_last("doc_id"), "text")
