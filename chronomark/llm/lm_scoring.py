@@ -1,17 +1,24 @@
 """Operator 10, LM scoring: a weighted backoff automaton learned from the corpus itself.
 
 The model grows with the corpus, so no task holds it. Documents are taken in blocks of about ``BLOCK_BYTES`` of text,
-in the order in which the scan meets them. A block sends the distinct n-grams that it has, packed as sorted hashes
-with the counts in its training documents, to shards by the leading bits of the hash. A shard adds the counts up over
+in the order in which the scan meets them. A block sends the distinct n-grams that it has, packed as sorted keys
+with the counts in its training documents, to the shards of a key range. A shard adds the counts up over
 all blocks and sends each block the corpus counts of just the n-grams that the block asked for. With these a block has
-every state and arc of the automaton that its own documents can reach, and scores them.
+every state and arc of the automaton that its own documents can reach, and walks it.
 
 The automaton: a state for every context of up to ``order`` - 1 words seen in training; from a state an arc for every
 word seen after it, weighing log10((c(hw) + mu p(w | shorter h)) / (c(h) + mu)); a failure arc to the state of the
 shorter context, weighing log10(mu / (c(h) + mu)); at the root an arc for every word, log10((c(w) + 1) / (N + V + 1)), unseen
-words included. Probabilities of all words after a context sum to one (Dirichlet smoothing, one parameter ``mu``).
-A document is walked once from left to right: the state is the longest known context of the words just read; the arcs
-of all steps are found by sorted search for a block at once and their weights added up.
+words included. Probabilities of all words after a context sum to one (Dirichlet smoothing, one ``mu`` an order). A traversal
+goes from left to right: it carries the state, follows failure arcs until there is an arc for the next word, and adds
+up what the arcs weigh. All documents of a block are walked abreast, in lanes of ``LANE`` words: the lanes of a long document
+begin ``order`` - 1 words early at the root, which brings them into the state that the whole document would carry.
+
+The exchange: a block sends to at most ``FANOUT`` key ranges. Where there are more shards, the rows of as many blocks are merged
+range by range, and the merged rows divided among as many finer ranges, level by level, until a range is a shard; answers go
+the same way back. So a level has blocks times ``FANOUT`` rows, and their number grows with the input, not with its square.
+Words are told apart by 64 bits; longer n-grams by their shard and 40 bits more, so that two of a shard are
+confused with a probability of some 1 in 500,000 at any size of the corpus.
 
 A frequent word or n-gram is one entry a block, however often it occurs, so there are no hot keys. Both passes over the
 documents must meet the same rows in the same order, which scans of files do; a checksum of every block tells if not.
@@ -20,7 +27,7 @@ documents must meet the same rows in the same order, which scans of files do; a
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,35 +38,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronomark.llm._common import as_bytes, materialize, table
+from chronomark.llm.quality import _mix
 
-ORDER = 2
-MU = 400.0
+ORDER = 3
+#: Smoothing of contexts of one word, of two and so on; the last one holds for longer ones too.
+MU = (800.0, 5.0)
 BLOCK_BYTES = 12_000_000
 SHARD_BYTES = 16_000_000
+FANOUT = 64
+LANE = 256
 HELD_OUT = 2
 FOLDS = 7
 
 _U = np.uint64
 _START, _END = xxhash.xxh64_intdigest(b" <s>", 3), xxhash.xxh64_intdigest(b" </s>", 3)
+_KEY_BITS = 40
 
 
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS == HELD_OUT
 
 
-def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a * _U(0x9E3779B97F4A7C15) + ((b << _U(31)) | (b >> _U(33))) * _U(0xC2B2AE3D27D4EB4F)
-    x ^= x >> _U(29)
-    x *= _U(0xBF58476D1CE4E5B9)
-    x ^= x >> _U(32)
-    return x
-
-
 # --- packing ------------------------------------------------------------------------------------------------------
 
 
 def _pack(arrays: list[np.ndarray]) -> bytes:
-    """Arrays as byte planes, compressed; sorted hashes are passed as differences."""
+    """Arrays as byte planes, compressed; sorted keys are passed as differences."""
     out = []
     for a in arrays:
         body = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() if len(a) else b""
@@ -86,6 +90,10 @@ def _deltas(sorted_: np.ndarray) -> np.ndarray:
 # --- blocks -------------------------------------------------------------------------------------------------------
 
 
+def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return ((hashes >> _U(32)) * _U(shards)) >> _U(32)
+
+
 class Block:
     """Documents as positions in a vocabulary that is sorted by hash; every document is start, words, end."""
 
@@ -119,22 +127,24 @@ class Block:
         ids, none, sizes, words, deltas = _unpack(data)
         return cls([None if z else i for i, z in zip(ids.tolist(), none.tolist(), strict=True)], sizes.astype(np.int64), words, np.cumsum(deltas, dtype=np.uint64))
 
-    def grams(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each n: sorted distinct n-gram hashes, the one at each position, whether the position has one."""
+    def grams(self, order: int, shards: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each n: sorted distinct n-gram keys, a position of each, and the one at each position (-1: none)."""
         n = len(self.words)
+        place = np.empty(len(self.vocabulary), np.int64)
+        place[self.words] = np.arange(n)
+        yield self.vocabulary, place, self.words.astype(np.int64)
+        h = gram = self.vocabulary[self.words]
         has = np.ones(n, dtype=bool)
-        yield self.vocabulary, self.words, has
-        h = self.vocabulary[self.words]
-        gram = h
         for k in range(2, order + 1):
             gram = np.concatenate(([_U(0)], _mix(gram[:-1], h[1:])))
-            has = has.copy()
             at = self.first + (k - 2)
             has[at[(at < n) & (self.sizes > k - 2)]] = False
-            distinct, inverse = np.unique(gram[has], return_inverse=True)
+            own = np.flatnonzero(has)
+            keys = (_shard_of(gram[own], shards) << _U(_KEY_BITS)) | (gram[own] & _U((1 << _KEY_BITS) - 1))
+            distinct, place, inverse = np.unique(keys, return_index=True, return_inverse=True)
             where = np.full(n, -1, dtype=np.int64)
-            where[has] = inverse
-            yield distinct, where, has
+            where[own] = inverse
+            yield distinct, own[place], where
 
     def training(self) -> np.ndarray:
         """Positions of training documents."""
@@ -158,128 +168,267 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tup
         yield number, Block.of(ids, texts)
 
 
+# --- the exchange -------------------------------------------------------------------------------------------------
+
 _ROW = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("check", pa.int64()), ("data", pa.binary())])
 _ROW_DDL = "block long, shard int, check long, data binary"
+_Rows = list[tuple[int, int, int, bytes]]
 
 
 def _row(block: int, shard: int, check: int, data: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([shard], pa.int32()), pa.array([check], pa.int64()), pa.array([data], pa.binary())], schema=_ROW)
 
 
-def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return ((hashes >> _U(32)) * _U(shards)) >> _U(32)
-
-
-def _ask(number: int, block: Block, order: int, shards: int) -> Iterator[pa.RecordBatch]:
-    train = block.training()
-    parts: list[list[np.ndarray]] = [[] for _ in range(shards)]
-    for distinct, where, has in block.grams(order):
-        counts = np.bincount(where[has & train], minlength=len(distinct)).astype("<u4")
-        cuts = np.searchsorted(_shard_of(distinct, shards), np.arange(shards + 1, dtype=np.uint64))
-        for s in range(shards):
-            parts[s] += [_deltas(distinct[cuts[s] : cuts[s + 1]]), counts[cuts[s] : cuts[s + 1]]]
-    for s, arrays in enumerate(parts):
-        yield _row(number, s, block.check, _pack(arrays))
-
-
-def _answer(rows: list[tuple[int, int, bytes]], shard: int, order: int) -> Iterator[pa.RecordBatch]:
-    """Corpus counts for each asking block, in the order of its hashes; and one row with the tokens and types here."""
-    asked = [_unpack(data) for _, _, data in rows]
-    replies: list[list[np.ndarray]] = [[] for _ in rows]
-    tokens = types = 0
-    for k in range(order):
-        hashes = [np.cumsum(a[2 * k], dtype=np.uint64) for a in asked]
-        cuts = np.cumsum([0, *[len(h) for h in hashes]])
-        distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+def _in_groups(rows: DataFrame, parts: int, keys: list[str], of: Callable[[_Rows], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``of(rows)`` for the rows that agree in ``keys``."""
+    at = [rows.columns.index(k) for k in keys]
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: _Rows = []
+        for batch in it:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and [row[i] for i in at] != [held[0][i] for i in at]:
+                    yield from of(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from of(held)
+
+    return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(batches, _ROW_DDL)
+
+
+class Exchange:
+    """How n-gram counts get from blocks to shards and back; small, it is sent with the tasks."""
+
+    def __init__(self, order: int, shards: int, blocks: int, fanout: int):
+        self.order, self.shards, self.fanout = order, shards, fanout
+        self.levels = 1
+        while fanout**self.levels < shards:
+            self.levels += 1
+        self.groups = [max(1, -(-blocks // fanout**k)) for k in range(self.levels + 1)]
+
+    def ranges(self, level: int) -> int:
+        return -(-self.shards // self._width(level))
+
+    def _width(self, level: int) -> int:
+        """Shards of a range."""
+        return self.fanout ** (self.levels - level)
+
+    def _cuts(self, k: int, keys: np.ndarray, level: int, first: int, last: int) -> np.ndarray:
+        shard = _shard_of(keys, self.shards) if k == 0 else keys >> _U(_KEY_BITS)
+        return np.searchsorted(shard, np.arange(first, last + 1, dtype=np.uint64) * _U(self._width(level)))
+
+    def divided(self, block: int, level: int, first: int, last: int, keys: list[np.ndarray], counts: list[np.ndarray], check: int) -> Iterator[pa.RecordBatch]:
+        """A row for each of the ranges ``first..last`` of a level."""
+        cuts = [self._cuts(k, x, level, first, last) for k, x in enumerate(keys)]
+        for r in range(last - first):
+            arrays = []
+            for x, c, cut in zip(keys, counts, cuts, strict=True):
+                arrays += [_deltas(x[cut[r] : cut[r + 1]]), c[cut[r] : cut[r + 1]]]
+            yield _row(block, first + r, check, _pack(arrays))
+
+    def _asked(self, rows: _Rows) -> list[list[np.ndarray]]:
+        return [[np.cumsum(a, dtype=np.uint64) if i % 2 == 0 else a for i, a in enumerate(_unpack(r[3]))] for r in rows]
+
+    def _merged(self, asked: list[list[np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys, summed counts, and the key of every entry."""
+        distinct, inverse = np.unique(np.concatenate([a[2 * k] for a in asked]), return_inverse=True)
         total = np.bincount(inverse, weights=np.concatenate([a[2 * k + 1] for a in asked]), minlength=len(distinct)).astype("<u8")
-        if not k:
-            real = total[distinct != _U(_START)]
-            tokens, types = int(real.sum()), int((real > 0).sum())
-        for i in range(len(rows)):
-            replies[i].append(total[inverse[cuts[i] : cuts[i + 1]]])
-    for (block, check, _), reply in zip(rows, replies, strict=True):
-        yield _row(block, shard, check, _pack(reply))
-    yield _row(-1, shard, tokens, np.array([types], "<i8").tobytes())
-
-
-def _answers(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
-    by_shard: dict[int, list[tuple[int, int, bytes]]] = {}
-    for batch in batches:
-        for block, shard, check, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            by_shard.setdefault(shard, []).append((block, check, data))
-    for shard in sorted(by_shard):
-        yield from _answer(by_shard.pop(shard), shard, order)
+        return distinct, total, inverse
+
+    def merge(self, rows: _Rows, level: int) -> Iterator[pa.RecordBatch]:
+        """Rows of several blocks in one range → their sum, divided among the ranges of the next level."""
+        asked = self._asked(rows)
+        merged = [self._merged(asked, k) for k in range(self.order)]
+        first = rows[0][1] * self.fanout
+        yield from self.divided(rows[0][4], level + 1, first, min(first + self.fanout, self.ranges(level + 1)), [m[0] for m in merged], [m[1] for m in merged], 0)
+
+    def _replies(self, rows: _Rows, asked: list[list[np.ndarray]], totals: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """``totals``: by order, the corpus counts and the key of every entry."""
+        sizes = [np.cumsum([0, *[len(a[2 * k]) for a in asked]]) for k in range(self.order)]
+        for i, (block, shard, check, *_) in enumerate(rows):
+            yield _row(block, shard, check, _pack([total[inverse[s[i] : s[i + 1]]] for (total, inverse), s in zip(totals, sizes, strict=True)]))
+
+    def answer(self, rows: _Rows) -> Iterator[pa.RecordBatch]:
+        """Corpus counts for every row of a shard; and one row with the tokens and types here."""
+        asked = self._asked(rows)
+        merged = [self._merged(asked, k) for k in range(self.order)]
+        yield from self._replies(rows, asked, [(total, inverse) for _, total, inverse in merged])
+        real = merged[0][1][merged[0][0] != _U(_START)]
+        yield _row(-1, rows[0][1], int(real.sum()), np.array([(real > 0).sum()], "<i8").tobytes())
+
+    def pass_on(self, rows: _Rows) -> Iterator[pa.RecordBatch]:
+        """Rows that were merged, and the answers to the ranges that they were divided into (by place) → answers to each."""
+        asking = [r for r in rows if r[5] < 0]
+        asked = self._asked(asking)
+        counts = [_unpack(r[3]) for r in sorted((r for r in rows if r[5] >= 0), key=lambda r: r[5])]
+        yield from self._replies(asking, asked, [(np.concatenate([c[k] for c in counts]), self._merged(asked, k)[2]) for k in range(self.order)])
+
+    def corpus_counts(self, asks: DataFrame) -> DataFrame:
+        """What blocks sent (level 1) → a row with corpus counts for each, and one a shard with its tokens and types (block -1)."""
+        parent = lambda level: F.pmod(F.xxhash64("block"), F.lit(self.groups[level]))
+        levels = []
+        for level in range(1, self.levels):
+            levels.append(materialize(asks.withColumn("parent", parent(level)), f"lm-asks-{level}"))
+            asks = _in_groups(levels[-1], max(1, self.groups[level] * self.ranges(level)), ["parent", "shard"], lambda rows, level=level: self.merge(rows, level))
+        found = materialize(_in_groups(asks, self.shards, ["shard"], self.answer), "lm-counts")
+        totals = found.where("block = -1")
+        for level in range(self.levels - 1, 0, -1):
+            up = found.where("block >= 0").select("block", F.floor(F.col("shard") / self.fanout).cast("int").alias("shard"), "check", "data", F.col("block").alias("parent"), F.col("shard").alias("place"))
+            both = levels[level - 1].withColumn("place", F.lit(-1)).unionByName(up)
+            found = materialize(_in_groups(both, max(1, self.groups[level] * self.ranges(level)), ["parent", "shard"], self.pass_on), f"lm-counts-{level}")
+        return found if self.levels == 1 else found.unionAll(totals)
+
+
+# --- the automaton ------------------------------------------------------------------------------------------------
 
 
 class Automaton:
-    """States, arcs and failure arcs that the documents of one block can reach."""
+    """The states, arcs and failure arcs that the documents of one block can reach.
 
-    def __init__(self, block: Block, counts: list[np.ndarray], tokens: int, types: int, mu: float):
-        self.block, self.counts, self.tokens, self.types, self.mu = block, counts, tokens, types, mu
-
-    def root(self) -> np.ndarray:
-        """Weights of the root's arcs, as probabilities, by word."""
-        return (self.counts[0] + 1.0) / (self.tokens + self.types + 1.0)
+    State 0 is the root; then come the contexts of one word, of two and so on that training has. ``count`` is c(h) of a state,
+    ``fail`` and ``fail_weight`` its failure arc; arcs are sorted by ``arc_key`` (state and word), with weight and target; ``root_weight``
+    and ``root_to`` are the root's arcs, one for every word.
+    """
 
-    def walk(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def __init__(self, block: Block, counts: list[np.ndarray], shards: int, tokens: int, types: int, mu: tuple[float, ...]):
+        self.block, self.words = block, len(block.vocabulary)
+        order = len(counts)
+        base = (counts[0] + 1.0) / (tokens + types + 1.0)
+        self.known = counts[0] > 0
+        smooth = lambda k: mu[min(k, len(mu)) - 1]  # noqa: E731  of contexts of k words
+        counted, fails, weights = [np.zeros(1)], [np.zeros(1, np.int64)], [np.zeros(1)]
+        arc_key, arc_weight, arc_to = [], [], []
+        at_before = p_before = state_before = c_before = None
+        states = 1
+        for k, (distinct, place, where) in enumerate(block.grams(order, shards), start=1):
+            c = counts[k - 1].astype(np.float64)
+            seen = np.flatnonzero(c > 0)
+            state = np.zeros(len(distinct), np.int64)  # of the n-gram as a context; 0: none
+            if k < order:
+                state[seen] = states + np.arange(len(seen))
+                counted.append(c[seen])
+                weights.append(np.log10(smooth(k) / (c[seen] + smooth(k))))
+                states += len(seen)
+            if k == 1:
+                p = base
+                fails.append(np.zeros(len(seen) if order > 1 else 0, np.int64))
+                self.root_weight, self.root_to = np.log10(base), state
+            else:
+                at = place[seen]
+                shorter, context = at_before[at], at_before[at - 1]
+                p = np.zeros(len(distinct))
+                p[seen] = (c[seen] + smooth(k - 1) * p_before[shorter]) / (c_before[context] + smooth(k - 1))
+                arc_key.append(state_before[context] * self.words + block.words[at])
+                arc_weight.append(np.log10(p[seen]))
+                if k < order:
+                    fails.append(state_before[shorter])
+                arc_to.append(state[seen] if k < order else state_before[shorter])
+            at_before, p_before, state_before, c_before = where, p, state, c
+        self.count, self.fail, self.fail_weight = (np.concatenate(x) for x in (counted, fails, weights))
+        none = np.zeros(0, np.int64)
+        key = np.concatenate([none, *arc_key])
+        rank = np.argsort(key, kind="stable")
+        self.arc_key, self.arc_weight, self.arc_to = key[rank], np.concatenate([none.astype(float), *arc_weight])[rank], np.concatenate([none, *arc_to])[rank]
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one more word, and the log10 probabilities of the words: failure arcs until there is an arc."""
+        weight, to = np.zeros(len(state)), np.zeros(len(state), np.int64)
+        left, state = np.arange(len(state)), state.copy()
+        while len(left):
+            s, w = state[left], word[left]
+            key = s * self.words + w
+            at = np.minimum(np.searchsorted(self.arc_key, key), max(0, len(self.arc_key) - 1))
+            hit = (self.arc_key[at] == key) & (s > 0) if len(self.arc_key) else np.zeros(len(left), bool)
+            root = s == 0
+            done, last = left[hit], left[root]
+            weight[done] += self.arc_weight[at[hit]]
+            to[done] = self.arc_to[at[hit]]
+            weight[last] += self.root_weight[w[root]]
+            to[last] = self.root_to[w[root]]
+            on = ~hit & ~root
+            left = left[on]
+            weight[left] += self.fail_weight[s[on]]
+            state[left] = self.fail[s[on]]
+        return to, weight
+
+    def walk(self, order: int, lane: int = LANE) -> np.ndarray:
+        """log10 probability of the word at every position (0 at starts); all documents are walked abreast, long ones in lanes."""
+        block, out = self.block, np.zeros(len(self.block.words))
+        lanes = -(-block.sizes // lane)
+        own = np.repeat(np.arange(len(lanes)), lanes)
+        nth = np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        first = block.first[own] + nth * lane
+        stop = np.minimum(first + lane, (block.first + block.sizes)[own])
+        at = np.where(nth > 0, np.maximum(first - (order - 1), block.first[own]), first)
+        state = np.zeros(len(at), np.int64)
+        for _ in range(lane + order - 1):
+            live = at < stop
+            if not live.all():
+                at, first, stop, state = at[live], first[live], stop[live], state[live]
+            if not len(at):
+                break
+            state, weight = self.step(state, block.words[at].astype(np.int64))
+            counts = at >= first
+            out[at[counts]] = weight[counts]
+            at = at + 1
+        out[block.first] = 0.0
+        return out
+
+    def scores(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Known tokens, base score and score of every document."""
         block = self.block
-        first, n = block.first, len(block.words)
-        p0 = self.root()[block.words]
-        p = p0.copy()
-        context = None
-        for k, (_, where, has) in enumerate(block.grams(len(self.counts)), start=1):
-            at = np.where(has, self.counts[k - 1][where], 0).astype(np.float64)
-            if k > 1:  # at a position: c(h w); one position earlier, one order shorter: c(h)
-                seen = np.concatenate(([0.0], context[:-1]))
-                state = has & (seen > 0)
-                p = np.where(state, (at + self.mu * p) / (seen + self.mu), p)
-            context = at
-        skip = np.zeros(n, dtype=bool)
-        skip[first] = True
-        known = np.add.reduceat(np.where(skip, 0, self.counts[0][block.words] > 0).astype(np.int64), first)
-        base = np.add.reduceat(np.where(skip, 0.0, np.log10(p0)), first)
-        return known, base, np.add.reduceat(np.where(skip, 0.0, np.log10(p)), first)
+        skip = np.zeros(len(block.words), dtype=bool)
+        skip[block.first] = True
+        known = np.add.reduceat(np.where(skip, False, self.known[block.words]).astype(np.int64), block.first)
+        base = np.add.reduceat(np.where(skip, 0.0, self.root_weight[block.words]), block.first)
+        return known, base, np.add.reduceat(self.walk(order), block.first)
 
 
 _SCORE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 SCORE_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(data: bytes, check: int, replies: dict[int, tuple[int, bytes]], shards: int, order: int, tokens: int, types: int, mu: float) -> pa.RecordBatch:
+def _score(data: bytes, check: int, replies: dict[int, tuple[int, bytes]], exchange: Exchange, tokens: int, types: int, mu: tuple[float, ...]) -> pa.RecordBatch:
     block = Block.unpacked(data)
-    if len(replies) != shards or any(c != check for c, _ in replies.values()):
+    if len(replies) != exchange.ranges(1) or any(c != check for c, _ in replies.values()):
         raise RuntimeError("the two scans of the documents met other rows; pass a written table")
-    answered = [_unpack(replies[s][1]) for s in range(shards)]
-    counts = [np.concatenate([a[k] for a in answered]) for k in range(order)]
-    known, base, score = Automaton(block, counts, tokens, types, mu).walk()
+    answered = [_unpack(replies[s][1]) for s in sorted(replies)]
+    counts = [np.concatenate([a[k] for a in answered]) for k in range(exchange.order)]
+    known, base, score = Automaton(block, counts, exchange.shards, tokens, types, mu).scores(exchange.order)
     held = [held_out(i) for i in block.ids]
     return pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), pa.array(held), pa.array(block.sizes - 1), pa.array(known), pa.array(np.full(len(held), tokens)), pa.array(base), pa.array(score)], schema=_SCORE)
 
 
-def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def lm_scores(docs: DataFrame, order: int = ORDER, mu: tuple[float, ...] | float = MU, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, fanout: int = FANOUT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
-    Defined cases: null text is the empty text, one token; a null doc_id trains; repeated rows count each; without
-    training rows N = V = 0 and every token has probability one; an empty table gives no rows; other columns are ignored.
+    Defined cases: null text is the empty text, one token; a null doc_id trains; repeated rows count each (a tie has no
+    meaning here); without training rows N = V = 0 and every token has probability one; a very long text is a block of its
+    own, walked in lanes; an empty table gives no rows; other columns, whatever their names, are ignored.
     """
-    spark = docs.sparkSession
+    mu = (float(mu),) if isinstance(mu, (int, float)) else tuple(mu)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).head()[0]
-    shards = max(1, -(-size // shard_bytes))
     parts = max(1, -(-size // block_bytes))
+    exchange = Exchange(order, max(1, -(-size // shard_bytes)), parts, fanout)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in _blocks(batches, block_bytes):
-            yield from _ask(number, block, order, shards)
+            train = block.training()
+            keys, counts = [], []
+            for distinct, _, where in block.grams(order, exchange.shards):
+                keys.append(distinct)
+                counts.append(np.bincount(where[(where >= 0) & train], minlength=len(distinct)).astype("<u4"))
+            yield from exchange.divided(number, 1, 0, exchange.ranges(1), keys, counts, block.check)
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in _blocks(batches, block_bytes):
             yield _row(number, -1, block.check, block.packed())
 
-    answers = materialize(rows.mapInArrow(ask, _ROW_DDL).repartition(shards, "shard").mapInArrow(lambda it: _answers(it, order), _ROW_DDL), "lm-counts")
+    answers = exchange.corpus_counts(rows.mapInArrow(ask, _ROW_DDL))
     tokens = types = 0
-    for r in answers.where("block = -1").select("check", "data").collect():  # one short row a shard
+    for r in answers.where("block = -1").select("check", "data").toLocalIterator():  # one short row a shard
         tokens, types = tokens + r["check"], types + int(np.frombuffer(bytes(r["data"]), "<i8")[0])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,15 +440,16 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, block_bytes:
                     texts[block] = check, data
                 else:
                     replies.setdefault(block, {})[shard] = check, data
-                if block in texts and len(replies.get(block, ())) == shards:
+                if block in texts and len(replies.get(block, ())) == exchange.ranges(1):
                     check, data = texts.pop(block)
-                    yield _score(data, check, replies.pop(block), shards, order, tokens, types, mu)
+                    yield _score(data, check, replies.pop(block), exchange, tokens, types, mu)
         for block, (check, data) in texts.items():
-            yield _score(data, check, replies.get(block, {}), shards, order, tokens, types, mu)
+            yield _score(data, check, replies.get(block, {}), exchange, tokens, types, mu)
 
     told = rows.mapInArrow(tell, _ROW_DDL)
     return told.unionAll(answers.where("block >= 0")).repartition(parts, "block").mapInArrow(score, SCORE_DDL)
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; cases as in ``lm_scores``."""
     return lm_scores(table(spark, sf_dir, "documents"))

@@ -400,11 +400,11 @@ def repeated_units(docs: DataFrame) -> DataFrame:
     """Paragraphs that another document has too, alike or nearly: ``doc_id, start, stop, removed, first_doc``."""
     units = materialize(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(_unit_batches, _UNIT_DDL), "units")
     keyed = units.select(F.explode("keys").alias("key"), "doc_id", "at", "words", "hash")
-    shared = keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("key")
+    shared = materialize(keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("key"), "keys-shared")  # written: a frequent key can then be split in the join
     hits = materialize(keyed.join(shared, "key"), "units-shared")
     places = materialize(hits.select("doc_id", "at", "words", "hash").distinct(), "places")
     nodes = materialize(places.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("times")), "nodes")
-    unlike = hits.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("key")
+    unlike = materialize(hits.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("key"), "keys-unlike")
     members = materialize(hits.select("key", "hash").distinct().join(unlike, "key").join(nodes.select("hash", "times"), "hash"), "members")
     wanted = nodes.join(members.select("hash").distinct(), "hash", "left_semi").select("hash", F.col("first").alias("doc_id"))
     sets = materialize(shingle_sets(docs, wanted, _unit_sets), "shingle-sets")

@@ -6,6 +6,7 @@ import zipfile
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import regex
@@ -223,12 +224,47 @@ def test_lm_scores_against_brute_force(spark, order):
             p = (counts[1][(s[k],)] + 1) / (total + types + 1)
             for n in range(2, order + 1):
                 if k - n + 1 >= 0 and (c := counts[n - 1][tuple(s[k - n + 1 : k])]):
-                    p = (counts[n][tuple(s[k - n + 1 : k + 1])] + lm_scoring.MU * p) / (c + lm_scoring.MU)
+                    mu = (400.0, 40.0)[min(n, 3) - 2]
+                    p = (counts[n][tuple(s[k - n + 1 : k + 1])] + mu * p) / (c + mu)
             score += math.log10(p)
         base = sum(math.log10((counts[1][(x,)] + 1) / (total + types + 1)) for x in w)
         want.append((str(i), held[i], len(w), sum(counts[1][(x,)] > 0 for x in w), total, round(base, 6), round(score, 6)))
-    got = lm_scoring.lm_scores(d, order=order, block_bytes=3_000, shard_bytes=5_000).collect()
-    assert sorted((str(r[0]), *tuple(r)[1:5], round(r["base_score"], 6), round(r["score"], 6)) for r in got) == sorted(want)
+    for fanout in (64, 3):  # one level of ranges, and three
+        got = lm_scoring.lm_scores(d, order, (400.0, 40.0), block_bytes=3_000, shard_bytes=5_000, fanout=fanout).collect()
+        assert sorted((str(r[0]), *tuple(r)[1:5], round(r["base_score"], 6), round(r["score"], 6)) for r in got) == sorted(want)
+
+
+def test_automaton_against_its_definition():
+    """States, arcs, failure arcs and lanes of a small automaton, one token at a time."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abcdefg") for _ in range(n)).encode() for n in (0, 1, 2, 40, 300, 7)]
+    block = lm_scoring.Block.of([1, 2, 3, 4, 5, 6], texts)
+    train = np.repeat([True, True, False, True, True, False], block.sizes)
+    counts = [np.bincount(w[(w >= 0) & train], minlength=len(k)) for k, _, w in block.grams(3, 5)]
+    one = lm_scoring.Automaton(block, counts, 5, 300, 8, (20.0, 3.0))
+    words, v = block.words.tolist(), len(block.vocabulary)
+    grams = [Counter(), Counter(), Counter()]
+    for a, n, t in zip(block.first.tolist(), block.sizes.tolist(), [True, True, False, True, True, False], strict=True):
+        for k in range(3):
+            if t:
+                grams[k].update(tuple(words[i : i + k + 1]) for i in range(a, a + n - k))
+    assert len(one.count) == 1 + len(grams[0]) + len(grams[1]) and len(one.arc_key) == len(grams[1]) + len(grams[2])
+    assert sorted(one.count[1:]) == sorted([*grams[0].values(), *grams[1].values()])
+    assert (one.fail[1 : 1 + len(grams[0])] == 0).all() and (one.fail[1 + len(grams[0]) :] > 0).all()
+    alone = np.zeros(len(words))
+    for a, n in zip(block.first.tolist(), block.sizes.tolist(), strict=True):  # one document, one token after the other
+        state = np.zeros(1, np.int64)
+        for i in range(a, a + n):
+            state, weight = one.step(state, np.array([words[i]]))
+            alone[i] = 0.0 if i == a else weight[0]
+            context = next((words[max(a, i - k) : i + 1] for k in (1, 0) if grams[k][tuple(words[i - k : i + 1])] and i - k >= a), [])
+            assert one.count[state[0]] == (grams[len(context) - 1][tuple(context)] if context else 0)
+    for lane in (1, 3, 256):
+        assert np.allclose(one.walk(3, lane), alone)
+    total = [(10 ** one.step(np.full(v, s), np.arange(v))[1]).sum() for s in range(len(one.count))]
+    for s in set((one.arc_key // one.words).tolist()):  # what a context's own arcs leave goes to the shorter one
+        back = 10 ** one.fail_weight[s]
+        assert math.isclose(total[s], 1 - back + back * total[one.fail[s]])
 
 
 def test_lm_probabilities_sum_to_one(spark):
