@@ -27,7 +27,7 @@ documents must meet the same rows in the same order, which scans of files do; a
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ from chronomark.llm.quality import _mix
 ORDER = 3
 #: Smoothing of contexts of one word, of two and so on; the last one holds for longer ones too.
 MU = (800.0, 5.0)
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 6_000_000
 SHARD_BYTES = 16_000_000
 FANOUT = 64
 LANE = 256
@@ -83,6 +83,16 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, a place of each, and which one every place has."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1])) if len(keys) else np.zeros(0, bool)
+    inverse = np.empty(len(keys), np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ranked[new], order[new], inverse
+
+
 def _deltas(sorted_: np.ndarray) -> np.ndarray:
     return np.diff(sorted_, prepend=_U(0)) if len(sorted_) else sorted_
 
@@ -127,12 +137,9 @@ class Block:
         ids, none, sizes, words, deltas = _unpack(data)
         return cls([None if z else i for i, z in zip(ids.tolist(), none.tolist(), strict=True)], sizes.astype(np.int64), words, np.cumsum(deltas, dtype=np.uint64))
 
-    def grams(self, order: int, shards: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each n: sorted distinct n-gram keys, a position of each, and the one at each position (-1: none)."""
+    def _keys(self, order: int, shards: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For n of 2 and more: the positions that have an n-gram, and its key."""
         n = len(self.words)
-        place = np.empty(len(self.vocabulary), np.int64)
-        place[self.words] = np.arange(n)
-        yield self.vocabulary, place, self.words.astype(np.int64)
         h = gram = self.vocabulary[self.words]
         has = np.ones(n, dtype=bool)
         for k in range(2, order + 1):
@@ -140,9 +147,27 @@ class Block:
             at = self.first + (k - 2)
             has[at[(at < n) & (self.sizes > k - 2)]] = False
             own = np.flatnonzero(has)
-            keys = (_shard_of(gram[own], shards) << _U(_KEY_BITS)) | (gram[own] & _U((1 << _KEY_BITS) - 1))
-            distinct, place, inverse = np.unique(keys, return_index=True, return_inverse=True)
-            where = np.full(n, -1, dtype=np.int64)
+            yield own, (_shard_of(gram[own], shards) << _U(_KEY_BITS)) | (gram[own] & _U((1 << _KEY_BITS) - 1))
+
+    def counted(self, order: int, shards: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each n: sorted distinct n-gram keys, and how often training documents have them."""
+        train = self.training()
+        yield self.vocabulary, np.bincount(self.words[train], minlength=len(self.vocabulary)).astype("<u4")
+        for own, keys in self._keys(order, shards):
+            learned = np.sort(keys[train[own]])
+            keys = np.sort(keys)
+            keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+            yield keys, np.diff(np.searchsorted(learned, np.append(keys, ~_U(0)))).astype("<u4")
+
+    def grams(self, order: int, shards: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each n: sorted distinct n-gram keys, a position of each, and the one at each position (-1: none)."""
+        n = len(self.words)
+        place = np.empty(len(self.vocabulary), np.int64)
+        place[self.words] = np.arange(n)
+        yield self.vocabulary, place, self.words
+        for own, keys in self._keys(order, shards):
+            distinct, place, inverse = _distinct(keys)
+            where = np.full(n, -1, dtype=np.int32)
             where[own] = inverse
             yield distinct, own[place], where
 
@@ -218,7 +243,7 @@ class Exchange:
         shard = _shard_of(keys, self.shards) if k == 0 else keys >> _U(_KEY_BITS)
         return np.searchsorted(shard, np.arange(first, last + 1, dtype=np.uint64) * _U(self._width(level)))
 
-    def divided(self, block: int, level: int, first: int, last: int, keys: list[np.ndarray], counts: list[np.ndarray], check: int) -> Iterator[pa.RecordBatch]:
+    def divided(self, block: int, level: int, first: int, last: int, keys: Sequence[np.ndarray], counts: Sequence[np.ndarray], check: int) -> Iterator[pa.RecordBatch]:
         """A row for each of the ranges ``first..last`` of a level."""
         cuts = [self._cuts(k, x, level, first, last) for k, x in enumerate(keys)]
         for r in range(last - first):
@@ -232,7 +257,7 @@ class Exchange:
 
     def _merged(self, asked: list[list[np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys, summed counts, and the key of every entry."""
-        distinct, inverse = np.unique(np.concatenate([a[2 * k] for a in asked]), return_inverse=True)
+        distinct, _, inverse = _distinct(np.concatenate([a[2 * k] for a in asked]))
         total = np.bincount(inverse, weights=np.concatenate([a[2 * k + 1] for a in asked]), minlength=len(distinct)).astype("<u8")
         return distinct, total, inverse
 
@@ -287,72 +312,89 @@ class Automaton:
     """The states, arcs and failure arcs that the documents of one block can reach.
 
     State 0 is the root; then come the contexts of one word, of two and so on that training has. ``count`` is c(h) of a state,
-    ``fail`` and ``fail_weight`` its failure arc; arcs are sorted by ``arc_key`` (state and word), with weight and target; ``root_weight``
-    and ``root_to`` are the root's arcs, one for every word.
+    ``length`` its words, ``fail`` and ``fail_weight`` its failure arc. An arc has ``arc_from``, ``arc_word``, ``arc_weight``, ``arc_to``; ``root_weight``
+    and ``root_to`` are the root's arcs, one for every word. ``arc_at`` names, by the length of the state, the arc that the word at
+    a position of the block would take from there (-1: none), so that a walk need not search.
     """
 
     def __init__(self, block: Block, counts: list[np.ndarray], shards: int, tokens: int, types: int, mu: tuple[float, ...]):
-        self.block, self.words = block, len(block.vocabulary)
-        order = len(counts)
-        base = (counts[0] + 1.0) / (tokens + types + 1.0)
-        self.known = counts[0] > 0
+        self.block, self.words, self.order = block, len(block.vocabulary), len(counts)
         smooth = lambda k: mu[min(k, len(mu)) - 1]  # noqa: E731  of contexts of k words
-        counted, fails, weights = [np.zeros(1)], [np.zeros(1, np.int64)], [np.zeros(1)]
-        arc_key, arc_weight, arc_to = [], [], []
-        at_before = p_before = state_before = c_before = None
-        states = 1
-        for k, (distinct, place, where) in enumerate(block.grams(order, shards), start=1):
+        self.known = counts[0] > 0
+        counted, fails, weights, lengths = [np.zeros(1)], [np.zeros(1, np.int32)], [np.zeros(1)], [np.zeros(1, np.int8)]
+        none = np.zeros(0, np.int32)
+        source, label, weight, target = [none], [none], [np.zeros(0)], [none]
+        self.arc_at: list[np.ndarray] = [none]
+        states, arcs = 1, 0
+        where_, p_, state_, c_ = none, none, none, none  # of the n-grams that are a word shorter
+        for k, (distinct, place, where) in enumerate(block.grams(self.order, shards), start=1):
             c = counts[k - 1].astype(np.float64)
             seen = np.flatnonzero(c > 0)
-            state = np.zeros(len(distinct), np.int64)  # of the n-gram as a context; 0: none
-            if k < order:
+            state = np.zeros(len(distinct), np.int32)  # of the n-gram as a context; 0: none
+            if k < self.order:
                 state[seen] = states + np.arange(len(seen))
+                states += len(seen)
                 counted.append(c[seen])
                 weights.append(np.log10(smooth(k) / (c[seen] + smooth(k))))
-                states += len(seen)
+                lengths.append(np.full(len(seen), k, np.int8))
             if k == 1:
-                p = base
-                fails.append(np.zeros(len(seen) if order > 1 else 0, np.int64))
-                self.root_weight, self.root_to = np.log10(base), state
+                p = (c + 1.0) / (tokens + types + 1.0)
+                self.root_weight, self.root_to = np.log10(p), state
+                if k < self.order:
+                    fails.append(np.zeros(len(seen), np.int32))
             else:
                 at = place[seen]
-                shorter, context = at_before[at], at_before[at - 1]
+                shorter, context = where_[at], where_[at - 1]
                 p = np.zeros(len(distinct))
-                p[seen] = (c[seen] + smooth(k - 1) * p_before[shorter]) / (c_before[context] + smooth(k - 1))
-                arc_key.append(state_before[context] * self.words + block.words[at])
-                arc_weight.append(np.log10(p[seen]))
-                if k < order:
-                    fails.append(state_before[shorter])
-                arc_to.append(state[seen] if k < order else state_before[shorter])
-            at_before, p_before, state_before, c_before = where, p, state, c
-        self.count, self.fail, self.fail_weight = (np.concatenate(x) for x in (counted, fails, weights))
-        none = np.zeros(0, np.int64)
-        key = np.concatenate([none, *arc_key])
-        rank = np.argsort(key, kind="stable")
-        self.arc_key, self.arc_weight, self.arc_to = key[rank], np.concatenate([none.astype(float), *arc_weight])[rank], np.concatenate([none, *arc_to])[rank]
-
-    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The states after one more word, and the log10 probabilities of the words: failure arcs until there is an arc."""
-        weight, to = np.zeros(len(state)), np.zeros(len(state), np.int64)
-        left, state = np.arange(len(state)), state.copy()
-        while len(left):
-            s, w = state[left], word[left]
-            key = s * self.words + w
-            at = np.minimum(np.searchsorted(self.arc_key, key), max(0, len(self.arc_key) - 1))
-            hit = (self.arc_key[at] == key) & (s > 0) if len(self.arc_key) else np.zeros(len(left), bool)
-            root = s == 0
-            done, last = left[hit], left[root]
-            weight[done] += self.arc_weight[at[hit]]
-            to[done] = self.arc_to[at[hit]]
-            weight[last] += self.root_weight[w[root]]
-            to[last] = self.root_to[w[root]]
-            on = ~hit & ~root
-            left = left[on]
-            weight[left] += self.fail_weight[s[on]]
-            state[left] = self.fail[s[on]]
+                p[seen] = (c[seen] + smooth(k - 1) * p_[shorter]) / (c_[context] + smooth(k - 1))
+                source.append(state_[context])
+                label.append(block.words[at])
+                weight.append(np.log10(p[seen]))
+                target.append(state[seen] if k < self.order else state_[shorter])
+                if k < self.order:
+                    fails.append(state_[shorter])
+                arc = np.full(len(distinct) + 1, -1, np.int32)  # the last one is that of positions without an n-gram
+                arc[seen] = arcs + np.arange(len(seen))
+                arcs += len(seen)
+                self.arc_at.append(arc[where])
+            where_, p_, state_, c_ = where, p, state, c
+        self.count, self.fail, self.fail_weight, self.length = (np.concatenate(x) for x in (counted, fails, weights, lengths))
+        self.arc_from, self.arc_word, self.arc_weight, self.arc_to = (np.concatenate(x) for x in (source, label, weight, target))
+
+    def step(self, state: int, word: int) -> tuple[int, float]:
+        """The state after one more word, and the word's log10 probability: failure arcs until there is an arc."""
+        if not hasattr(self, "arcs"):
+            self.arcs = {(s, w): i for i, (s, w) in enumerate(zip(self.arc_from.tolist(), self.arc_word.tolist(), strict=True))}
+        weight = 0.0
+        while state:
+            if (arc := self.arcs.get((state, word))) is not None:
+                return int(self.arc_to[arc]), weight + float(self.arc_weight[arc])
+            weight += float(self.fail_weight[state])
+            state = int(self.fail[state])
+        return int(self.root_to[word]), weight + float(self.root_weight[word])
+
+    def _steps(self, state: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``step`` for many states, each with the word at its position."""
+        weight, to, length = np.zeros(len(state)), np.empty(len(state), np.int32), self.length[state]
+        left = np.arange(len(state))
+        for k in range(self.order - 1, 0, -1):
+            here = left[length == k]
+            arc = self.arc_at[k][at[here]]
+            hit = arc >= 0
+            done, miss = here[hit], here[~hit]
+            weight[done] += self.arc_weight[arc[hit]]
+            to[done] = self.arc_to[arc[hit]]
+            weight[miss] += self.fail_weight[state[miss]]
+            state[miss] = self.fail[state[miss]]
+            length[miss] = k - 1
+            length[done] = -1
+        root = left[length == 0]
+        word = self.block.words[at[root]]
+        weight[root] += self.root_weight[word]
+        to[root] = self.root_to[word]
         return to, weight
 
-    def walk(self, order: int, lane: int = LANE) -> np.ndarray:
+    def walk(self, lane: int = LANE) -> np.ndarray:
         """log10 probability of the word at every position (0 at starts); all documents are walked abreast, long ones in lanes."""
         block, out = self.block, np.zeros(len(self.block.words))
         lanes = -(-block.sizes // lane)
@@ -360,29 +402,29 @@ class Automaton:
         nth = np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes)
         first = block.first[own] + nth * lane
         stop = np.minimum(first + lane, (block.first + block.sizes)[own])
-        at = np.where(nth > 0, np.maximum(first - (order - 1), block.first[own]), first)
-        state = np.zeros(len(at), np.int64)
-        for _ in range(lane + order - 1):
+        at = np.maximum(first - (self.order - 1), block.first[own])
+        state = np.zeros(len(at), np.int32)
+        for _ in range(lane + self.order - 1):
             live = at < stop
             if not live.all():
                 at, first, stop, state = at[live], first[live], stop[live], state[live]
             if not len(at):
                 break
-            state, weight = self.step(state, block.words[at].astype(np.int64))
+            state, weight = self._steps(state, at)
             counts = at >= first
             out[at[counts]] = weight[counts]
             at = at + 1
         out[block.first] = 0.0
         return out
 
-    def scores(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Known tokens, base score and score of every document."""
         block = self.block
         skip = np.zeros(len(block.words), dtype=bool)
         skip[block.first] = True
         known = np.add.reduceat(np.where(skip, False, self.known[block.words]).astype(np.int64), block.first)
         base = np.add.reduceat(np.where(skip, 0.0, self.root_weight[block.words]), block.first)
-        return known, base, np.add.reduceat(self.walk(order), block.first)
+        return known, base, np.add.reduceat(self.walk(), block.first)
 
 
 _SCORE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -395,7 +437,7 @@ def _score(data: bytes, check: int, replies: dict[int, tuple[int, bytes]], excha
         raise RuntimeError("the two scans of the documents met other rows; pass a written table")
     answered = [_unpack(replies[s][1]) for s in sorted(replies)]
     counts = [np.concatenate([a[k] for a in answered]) for k in range(exchange.order)]
-    known, base, score = Automaton(block, counts, exchange.shards, tokens, types, mu).scores(exchange.order)
+    known, base, score = Automaton(block, counts, exchange.shards, tokens, types, mu).scores()
     held = [held_out(i) for i in block.ids]
     return pa.RecordBatch.from_arrays([pa.array(block.ids, pa.int64()), pa.array(held), pa.array(block.sizes - 1), pa.array(known), pa.array(np.full(len(held), tokens)), pa.array(base), pa.array(score)], schema=_SCORE)
 
@@ -415,11 +457,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: tuple[float, ...] | float
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in _blocks(batches, block_bytes):
-            train = block.training()
-            keys, counts = [], []
-            for distinct, _, where in block.grams(order, exchange.shards):
-                keys.append(distinct)
-                counts.append(np.bincount(where[(where >= 0) & train], minlength=len(distinct)).astype("<u4"))
+            keys, counts = zip(*block.counted(order, exchange.shards), strict=True)
             yield from exchange.divided(number, 1, 0, exchange.ranges(1), keys, counts, block.check)
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,16 +1,18 @@
 """Operator 6, PII: keyed surrogates that keep type, format, script, gender, distinctness and coreference.
 
-Detection is one pass of patterns with bounded repetition, so a text of any length takes linear time. A surrogate is a
-keyed permutation of the entity's own alphabet and length (digits stay digits, letters stay letters of their script, a
-card number keeps its Luhn state, an e-mail its domain structure), so different entities get different surrogates by
-construction and one entity gets the same one in every document and in every notation. Names are replaced word by
-word, so "Mr John Smith" and "Mr Smith" stay one person; given names keep their gender.
+Detection is one pass of patterns with bounded repetition and of a scan over the capitalised words, so a text of any length
+takes linear time. A surrogate is a keyed permutation of the entity's own alphabet and length (digits stay digits, letters
+stay letters of their script, a card number keeps its Luhn state, an e-mail its domain structure), so different entities get
+different surrogates by construction and one entity gets the same one in every document and in every notation. Names are
+replaced word by word, so "Mr John Smith" and "Mr Smith" stay one person: a word is permuted as a number over its letters,
+which is written in syllables, more of them for longer words, so that names cannot run out. What a name word is, given name of
+a gender or surname, is decided once for the whole corpus, from the words before it in all documents; its ending tells.
 
 Collision checks run over the distinct entities of the whole corpus: a surrogate must not be a real entity, nor the
 surrogate of another. Losers get the next attempt, round by round, until there are none; the space of names grows with the attempt, as does
 that of short local parts and telephone numbers after some attempts. Only entities whose attempt is
-not 0 are kept, by 64-bit hash, in shards of the shared folder; a task looks the hashes of its entities up there.
-Texts are not shuffled and no table of entities is sent to the driver.
+not 0, or whose gender the word alone does not tell, are kept, by 64-bit hash, in shards of the shared folder; a task looks the
+hashes of its entities up there. Texts are not shuffled and no table of entities is sent to the driver.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import hashlib
 import ipaddress
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +35,6 @@ from chronomark.llm._common import materialize, partitions_for, shared_path, tab
 from chronomark.llm.quality import Model
 
 KEY = b"chronomark surrogate key"
-#: Syllables of a name at the first attempt; every other attempt has one more.
-NAME_SYLLABLES = 4
 #: From this attempt on local parts and telephone numbers get longer: corpora can use up the short ones.
 LONGER_FROM = 8
 
@@ -43,10 +44,10 @@ _TITLES = {
     "n": ["Dr", "Dr.", "Prof", "Prof."],
 }
 _GENDER = {t: g for g, ts in _TITLES.items() for t in ts}
-#: Given names whose gender is known without a title.
+#: Given names whose gender is known without a title, and which begin a name without one.
 _GIVEN = {
-    "m": ["James", "John", "Robert", "Michael", "William", "David", "Thomas", "Peter", "Hans", "Klaus", "Jean", "Pierre", "Luis", "Carlos", "Juan", "Pablo", "Иван", "Пётр", "Сергей", "Алексей"],
-    "f": ["Mary", "Anna", "Linda", "Elizabeth", "Susan", "Sarah", "Emma", "Julia", "Petra", "Sabine", "Marie", "Claire", "Sofia", "Carmen", "Lucia", "Elena", "Мария", "Ольга", "Анна", "Елена"],
+    "m": ["James", "John", "Robert", "Michael", "William", "David", "Richard", "Joseph", "Thomas", "Charles", "Daniel", "Paul", "Mark", "George", "Andrew", "Peter", "Henry", "Hans", "Klaus", "Jürgen", "Wolfgang", "Stefan", "Jean", "Pierre", "Michel", "Jacques", "Philippe", "Luis", "Carlos", "Juan", "Pablo", "José", "Miguel", "Jorge", "Marco", "Antonio", "Иван", "Пётр", "Сергей", "Алексей", "Дмитрий", "Николай"],
+    "f": ["Mary", "Anna", "Linda", "Elizabeth", "Susan", "Sarah", "Jennifer", "Patricia", "Barbara", "Karen", "Nancy", "Margaret", "Emma", "Emily", "Julia", "Laura", "Petra", "Sabine", "Monika", "Ursula", "Heike", "Marie", "Claire", "Sophie", "Nathalie", "Isabelle", "Sofia", "Carmen", "Lucia", "Elena", "Maria", "María", "Ana", "Rosa", "Isabel", "Мария", "Ольга", "Анна", "Елена", "Наталья", "Татьяна"],
 }
 _KNOWN = {n: g for g, ns in _GIVEN.items() for n in ns}
 _NAME_WORD = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё'’-]{1,30}"
@@ -66,7 +67,11 @@ PATTERN = re.compile(
 )
 #: Patterns that begin with a set of characters, for which the search skips quickly.
 _SECRET = re.compile(r"[:=][ \t]{0,3}[\"'](?P<secret>[A-Za-z0-9+/_=-]{16,200})[\"']")
-_NAMED = re.compile(rf"(?:{_TITLE})[ \u00a0](?:{_NAME_WORD})(?: {_NAME_WORD}){{0,2}}")
+_NEXT_WORD = rf" (?!(?:{_TITLE})[ \u00a0]){_NAME_WORD}"
+_NAMED = re.compile(rf"(?:{_TITLE})[ \u00a0](?:{_NAME_WORD})(?:{_NEXT_WORD}){{0,2}}")
+_UNTITLED = re.compile(rf"(?:{'|'.join(sorted(_KNOWN, key=len, reverse=True))})(?:{_NEXT_WORD}){{1,2}}(?!\w)")
+_CAPITAL = re.compile(rf"(?<!\w){_NAME_WORD}(?!\w)")
+_LETTERS = re.compile(r"[^\W\d_]+")
 #: Every other entity has one of these within ``_REACH`` characters of its start and of its end: a digit or an at sign, or
 #: without these the prefix of a token, hex groups between colons or a long run of hex letters.
 _SIGN = re.compile(r"[0-9@](?:.{0,64}[0-9@])*", re.DOTALL)
@@ -149,22 +154,36 @@ def luhn(digits: str) -> int:
     return -total % 10
 
 
-_SYLLABLES = {
-    "latin": ["ba", "ren", "do", "mi", "ka", "sel", "ton", "va", "ri", "lo", "nes", "tu", "gra", "mo", "lin", "fe"],
-    "cyrillic": ["ба", "рен", "до", "ми", "ка", "сел", "тон", "ва", "ри", "ло", "нес", "ту", "гра", "мо", "лин", "фе"],
-}
-_ENDINGS = {"latin": {"m": "o", "f": "a", "n": "en", "s": "er"}, "cyrillic": {"m": "ий", "f": "ия", "n": "ен", "s": "ов"}}
+_VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу"}
+_CONSONANTS = {"latin": "bcdfghjklmnprstvwxyz", "cyrillic": "бвгджзйклмнпрстфхцчш"}
+_SYLLABLES = {script: [c + v for c in _CONSONANTS[script] for v in _VOWELS[script]] for script in _VOWELS}
+_ENDINGS = {"latin": {"m": "nor", "f": "lia", "n": "rin", "s": "sen"}, "cyrillic": {"m": "ний", "f": "лия", "n": "рен", "s": "сов"}}
+_GENDERS = "smfn"
+#: All letters that a name word can have.
+_NAME_LETTERS = _ALPHABETS[0] + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7) + _ALPHABETS[1] + "'’-"
 
 
-def _name(norm: str, key: bytes, tweak: str, kind: str, syllables: int) -> str:
-    script = "cyrillic" if "а" <= norm[-1].lower() <= "ё" else "latin"
-    n = int.from_bytes(hashlib.blake2b(f"{tweak}|{norm}".encode(), key=key[:64], digest_size=min(64, max(8, -(-syllables // 2)))).digest(), "big")
-    parts = _SYLLABLES[script]
-    return "".join(parts[n >> 4 * i & 15] for i in range(syllables)).capitalize() + _ENDINGS[script][kind]
+def _name(norm: str, key: bytes, attempt: int, gender: str) -> str:
+    """The word as a number over its letters, permuted among all numbers of so many syllables."""
+    low = norm.lower()
+    script = "cyrillic" if _alphabet(low[0]) == _ALPHABETS[1] else "latin"
+    letters = next(a for a in (_ALPHABETS[0], _ALPHABETS[1], _NAME_LETTERS) if set(low) <= set(a))
+    value = 0
+    for c in low:
+        value = value * len(letters) + letters.index(c)
+    parts, n = _SYLLABLES[script], 2
+    while len(parts) ** n < len(letters) ** len(low):
+        n += 1
+    value = permute(value, len(parts) ** (n + attempt), key, f"name|{attempt}|{len(letters)}|{len(low)}")
+    out = []
+    for _ in range(n + attempt):
+        value, at = divmod(value, len(parts))
+        out.append(parts[at])
+    return "".join(out).capitalize() + _ENDINGS[script][gender]
 
 
-def surrogate(kind: str, norm: str, attempt: int, key: bytes = KEY) -> str:
-    """The surrogate of a normalised entity, itself in normal form."""
+def surrogate(kind: str, norm: str, attempt: int, key: bytes = KEY, gender: str = "s") -> str:
+    """The surrogate of a normalised entity, itself in normal form; ``gender`` (m, f, n, or s of surnames) counts for names."""
     tweak = f"{kind}|{attempt}"
     longer = max(0, attempt - LONGER_FROM + 1)
     if kind == "email":
@@ -186,8 +205,8 @@ def surrogate(kind: str, norm: str, attempt: int, key: bytes = KEY) -> str:
         return permute_over(norm, "0123456789abcdef", key, tweak)
     if kind == "iban":
         return norm[:2] + permute_text(norm[2:], key, tweak + norm[:2])
-    if kind in ("name_m", "name_f", "name_n", "name_s"):
-        return _name(norm, key, tweak, kind[-1], NAME_SYLLABLES + attempt)
+    if kind == "name":
+        return _name(norm, key, attempt, gender)
     if re.fullmatch("[0-9a-f]+", norm):
         return permute_over(norm, "0123456789abcdef", key, tweak)
     return permute_text(norm, key, tweak)
@@ -228,7 +247,8 @@ def _candidates(text: str) -> list[re.Match]:
             out.append(m)
             last = m.end()
     out += _SECRET.finditer(text)
-    out += [m for m in _NAMED.finditer(text) if not m.start() or not (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_")]
+    for pattern in (_NAMED, _UNTITLED):
+        out += [m for m in pattern.finditer(text) if not m.start() or not (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_")]
     if len(out) < 2:
         return out
     kept, last = [], 0
@@ -241,8 +261,9 @@ def _candidates(text: str) -> list[re.Match]:
 
 
 def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
-    """``(start, end, kind, normal form, shape)`` of every entity, in order."""
-    names: dict[str, str] = {}
+    """``(start, end, kind, normal form, shape)`` of every entity, in order; the shape of a name word is what its place tells of
+    its gender: m, f or n of a given name, s of the last word of a name, nothing of a mention without a title."""
+    names: set[str] = set()
     found = []
     for m in _candidates(text):
         kind, value, (a, b) = m.lastgroup or "name", m.group(), m.span()
@@ -271,23 +292,35 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str, str]]:
         elif kind == "ipv4":
             found.append((a, b, kind, ".".join(str(int(x)) for x in value.split(".")), value))
         else:
-            title = re.match(_TITLE, value).group()
+            title = re.match(_TITLE, value).group() if m.re is _NAMED else ""
             words = list(re.finditer(_NAME_WORD, value[len(title) :]))
             at = a + len(title)
             for i, w in enumerate(words):
-                gender = _KNOWN.get(w.group(), _GENDER[title])
-                own = "name_s" if i == len(words) - 1 else f"name_{gender}"
-                names.setdefault(w.group(), own)
-                found.append((at + w.start(), at + w.end(), names[w.group()], w.group(), w.group()))
+                last = i == len(words) - 1
+                names.add(w.group())
+                found.append((at + w.start(), at + w.end(), "name", w.group(), "s" if last or not title else _GENDER[title]))
     if names:  # later and earlier mentions without a title
-        taken = [(a, b) for a, b, *_ in found]
-        for m in re.finditer(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, names), key=len, reverse=True)) + r")(?!\w)", text):
-            if not any(a < m.end() and m.start() < b for a, b in taken):
-                found.append((m.start(), m.end(), names[m.group()], m.group(), m.group()))
+        taken, k = sorted((a, b) for a, b, *_ in found), 0
+        for m in _CAPITAL.finditer(text):
+            word = m.group()
+            if word not in names and (bare := _LETTERS.match(word).group()) in names:
+                word = bare
+            if word in names:
+                a, b = m.start(), m.start() + len(word)
+                while k < len(taken) and taken[k][1] <= a:
+                    k += 1
+                if k == len(taken) or taken[k][0] >= b:
+                    found.append((a, b, "name", word, ""))
         found.sort()
     yield from found
 
 
+def gender_of(norm: str, votes: dict[str, int] | None = None) -> str:
+    """m, f or n of a given name, s of any other: by the list of names, else by what its places in the corpus say most often."""
+    m, f, n = ((votes or {}).get(g, 0) for g in "mfn")
+    return _KNOWN.get(norm) or ("m" if m > f else "f" if f > m else "n" if m or n else "s")
+
+
 def rendered(kind: str, new: str, shape: str) -> str:
     """A surrogate in the notation of the entity that it replaces."""
     if kind == "email":
@@ -309,46 +342,54 @@ def entity_hash(kind: str, norm: str) -> int:
 
 # --- the corpus ---------------------------------------------------------------------------------------------------
 
-_ENTITY = pa.schema([("kind", pa.string()), ("norm", pa.string())])
+_ENTITY = pa.schema([("kind", pa.string()), ("norm", pa.string()), ("m", pa.int64()), ("f", pa.int64()), ("n", pa.int64())])
 
 
 def _entity_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = {(kind, norm) for t in batch.column(0).to_pylist() if t for _, _, kind, norm, _ in entities(t)}
+        found: dict[tuple[str, str], Counter] = {}
+        for t in batch.column(0).to_pylist():
+            for _, _, kind, norm, shape in entities(t) if t else ():
+                votes = found.setdefault((kind, norm), Counter())
+                if kind == "name":
+                    votes[shape] += 1
         if found:
-            kinds, norms = zip(*sorted(found), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(norms)], schema=_ENTITY)
+            kinds, norms = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(norms), *[pa.array([v[g] for v in found.values()], pa.int64()) for g in "mfn"]], schema=_ENTITY)
 
 
 def _assign(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        new = [surrogate(k, n, a, key) for k, n, a in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], names=["kind", "norm", "attempt", "new"])
+        rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        gendered = [(k, n, gender_of(n, {"m": m, "f": f, "n": x}) if k == "name" else "s", a) for k, n, m, f, x, a in rows]
+        new = [surrogate(k, n, a, key, g) for k, n, g, a in gendered]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([g for _, _, g, _ in gendered], pa.string()), pa.array(new, pa.string())], names=[*batch.schema.names, "gender", "new"])
 
 
 def attempts(docs: DataFrame, key: bytes = KEY) -> DataFrame:
-    """``(kind, norm, attempt, new)`` of every distinct entity: no surrogate is an entity of the corpus or is used twice."""
-    found = docs.select("text").mapInArrow(_entity_batches, "kind string, norm string").distinct()
+    """``(kind, norm, m, f, n, attempt, gender, new)`` of every distinct entity: no surrogate is an entity of the corpus or is used twice."""
+    found = docs.select("text").mapInArrow(_entity_batches, "kind string, norm string, m long, f long, n long").groupBy("kind", "norm").agg(*[F.sum(g).alias(g) for g in "mfn"])
     real = materialize(found, "pii-entities")
     current = real.withColumn("attempt", F.lit(0))
     for n in itertools.count():
-        given = materialize(current.mapInArrow(lambda it: _assign(it, key), "kind string, norm string, attempt int, new string"), f"pii-round-{n}")
+        given = materialize(current.mapInArrow(lambda it: _assign(it, key), "kind string, norm string, m long, f long, n long, attempt int, gender string, new string"), f"pii-round-{n}")
         taken = given.join(real.select("kind", F.col("norm").alias("new")), ["kind", "new"], "left_semi").select("kind", "norm")
-        firsts = given.groupBy("kind", "new").agg(F.min("norm").alias("first"), F.count("*").alias("n")).where("n > 1")
+        firsts = given.groupBy("kind", "new").agg(F.min("norm").alias("first"), F.count("*").alias("same")).where("same > 1").drop("same")
         twice = given.join(firsts, ["kind", "new"]).where("norm <> first").select("kind", "norm")
         losers = materialize(taken.union(twice).distinct(), f"pii-losers-{n}")
         if not losers.head(1):
             return given
         marked = losers.withColumn("lost", F.lit(1))
-        current = given.join(marked, ["kind", "norm"], "left").select("kind", "norm", (F.col("attempt") + F.coalesce("lost", F.lit(0))).cast("int").alias("attempt"))
+        current = given.join(marked, ["kind", "norm"], "left").select("kind", "norm", "m", "f", "n", (F.col("attempt") + F.coalesce("lost", F.lit(0))).cast("int").alias("attempt"))
 
 
 _KEYED = pa.schema([("shard", pa.int32()), ("key", pa.int64()), ("a", pa.float32()), ("b", pa.float32())])
 
 
 def _exceptions(given: DataFrame) -> Model | None:
-    """Attempts other than 0 in shards, by the hash of the entity; None if there are none."""
-    other = given.where("attempt > 0").select("kind", "norm", "attempt")
+    """Attempts other than 0 and genders that the word does not tell, in shards, by the hash of the entity; None if there are none."""
+    told = F.array(*[F.lit(x) for x in sorted(_KNOWN)])
+    other = given.where((F.col("attempt") > 0) | ((F.col("gender") != "s") & ~F.array_contains(told, F.col("norm")))).select("kind", "norm", "attempt", F.expr(f"locate(gender, '{_GENDERS}')").cast("float").alias("g"))
     count = other.count()
     if not count:
         return None
@@ -359,8 +400,7 @@ def _exceptions(given: DataFrame) -> Model | None:
         for batch in batches:
             keys = np.array([entity_hash(k, n) for k, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)], dtype=np.uint64)
             shard = (keys >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(keys), np.int32)
-            tries = batch.column(2).cast(pa.float32())
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(keys.view(np.int64)), tries, tries], schema=_KEYED)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(keys.view(np.int64)), batch.column(2).cast(pa.float32()), batch.column(3)], schema=_KEYED)
 
     path = shared_path(spark, "pii-attempts")
     other.mapInArrow(keyed, "shard int, key long, a float, b float").repartition(1 << bits, "shard").write.partitionBy("shard").parquet(path)
@@ -371,11 +411,12 @@ def replace(texts: list[str | None], exceptions: Model | None, key: bytes = KEY)
     """Each text with its entities replaced, and the kinds replaced."""
     found = [list(entities(t)) if t else [] for t in texts]
     distinct = list({(kind, norm) for f in found for _, _, kind, norm, _ in f})
-    tries = [0] * len(distinct)
+    tries, genders = [0] * len(distinct), [gender_of(norm) for _, norm in distinct]
     if exceptions and distinct:
-        a, _ = exceptions.look_up(np.array([entity_hash(*e) for e in distinct], dtype=np.uint64))
+        a, b = exceptions.look_up(np.array([entity_hash(*e) for e in distinct], dtype=np.uint64))
         tries = np.nan_to_num(a).astype(int).tolist()
-    new = {e: surrogate(*e, n, key) for e, n in zip(distinct, tries, strict=True)}
+        genders = [_GENDERS[int(x) - 1] if x > 0 else g for x, g in zip(np.nan_to_num(b).tolist(), genders, strict=True)]
+    new = {e: surrogate(*e, n, key, g) for e, n, g in zip(distinct, tries, genders, strict=True)}
     out = []
     for t, f in zip(texts, found, strict=True):
         parts, last = [], 0
@@ -390,8 +431,10 @@ def pseudonymize(docs: DataFrame, key: bytes = KEY, report: bool = False) -> Dat
     """``docs`` with surrogates in ``text``; all columns. ``report`` adds ``n_entities long`` and ``kinds array<string>``.
 
     ``n_chars``, if there, follows a changed text. Defined cases: null and empty texts stay; rows without entities are
-    returned as they are; repeated rows get the same surrogates; an empty table gives no rows.
+    returned as they are; repeated rows and ties get the same surrogates; an empty table gives no rows; a very long text takes
+    time in proportion to its length. Columns named ``__new`` or ``__kinds``, and with ``report`` ``n_entities`` or ``kinds``, are replaced.
     """
+    docs = docs.drop("__new", "__kinds", *(["n_entities", "kinds"] if report else []))
     exceptions = _exceptions(attempts(docs, key))
     counted = "n_chars" in docs.columns
 
@@ -409,4 +452,5 @@ def pseudonymize(docs: DataFrame, key: bytes = KEY, report: bool = False) -> Dat
 
 
 def op6_surrogate_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates; cases as in ``pseudonymize``."""
     return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), report=True)

@@ -248,21 +248,24 @@ def test_automaton_against_its_definition():
         for k in range(3):
             if t:
                 grams[k].update(tuple(words[i : i + k + 1]) for i in range(a, a + n - k))
-    assert len(one.count) == 1 + len(grams[0]) + len(grams[1]) and len(one.arc_key) == len(grams[1]) + len(grams[2])
+    learned = list(block.counted(3, 5))
+    own = [np.bincount(w[(w >= 0) & block.training()], minlength=len(k)) for k, _, w in block.grams(3, 5)]
+    assert all((a == c).all() for a, (_, c) in zip(own, learned, strict=True)) and all((k == d).all() for (k, _, _), (d, _) in zip(block.grams(3, 5), learned, strict=True))
+    assert len(one.count) == 1 + len(grams[0]) + len(grams[1]) and len(one.arc_from) == len(grams[1]) + len(grams[2])
     assert sorted(one.count[1:]) == sorted([*grams[0].values(), *grams[1].values()])
     assert (one.fail[1 : 1 + len(grams[0])] == 0).all() and (one.fail[1 + len(grams[0]) :] > 0).all()
     alone = np.zeros(len(words))
     for a, n in zip(block.first.tolist(), block.sizes.tolist(), strict=True):  # one document, one token after the other
-        state = np.zeros(1, np.int64)
+        state = 0
         for i in range(a, a + n):
-            state, weight = one.step(state, np.array([words[i]]))
-            alone[i] = 0.0 if i == a else weight[0]
-            context = next((words[max(a, i - k) : i + 1] for k in (1, 0) if grams[k][tuple(words[i - k : i + 1])] and i - k >= a), [])
-            assert one.count[state[0]] == (grams[len(context) - 1][tuple(context)] if context else 0)
+            state, weight = one.step(state, words[i])
+            alone[i] = 0.0 if i == a else weight
+            context = next((words[i - k : i + 1] for k in (1, 0) if i - k >= a and grams[k][tuple(words[i - k : i + 1])]), [])
+            assert one.count[state] == (grams[len(context) - 1][tuple(context)] if context else 0) and one.length[state] == len(context)
     for lane in (1, 3, 256):
-        assert np.allclose(one.walk(3, lane), alone)
-    total = [(10 ** one.step(np.full(v, s), np.arange(v))[1]).sum() for s in range(len(one.count))]
-    for s in set((one.arc_key // one.words).tolist()):  # what a context's own arcs leave goes to the shorter one
+        assert np.allclose(one.walk(lane), alone)
+    total = [sum(10 ** one.step(s, w)[1] for w in range(v)) for s in range(len(one.count))]
+    for s in set(one.arc_from.tolist()):  # what a context's own arcs leave goes to the shorter one
         back = 10 ** one.fail_weight[s]
         assert math.isclose(total[s], 1 - back + back * total[one.fail[s]])
 
