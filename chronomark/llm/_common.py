@@ -10,7 +10,8 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 _LOCAL_ROOT: list[str] = []
 _LOCK = threading.Lock()
@@ -24,10 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only a session without that setting (unit tests, local mode) gets a temporary folder.
+    Only a local session without that setting (unit tests) gets a temporary folder; a cluster's raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         with _LOCK:
             if not _LOCAL_ROOT:
                 _LOCAL_ROOT.append("file://" + tempfile.mkdtemp(prefix="chronomark-"))
@@ -90,3 +93,19 @@ def worker_cache(name: str) -> dict:
 def as_bytes(values: Iterable) -> list[bytes]:
     """Texts of an Arrow binary column as bytes; null counts as empty."""
     return [v if v is not None else b"" for v in values]
+
+
+def keep_named_rows(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``classes(rep_id, rep_hash)`` names by doc_id and xxhash64 of the text, each once, with all columns.
+
+    Of rows that are equal in doc_id and text the one whose other columns hash least stays. Texts are shuffled once, by one
+    key for the join and for what is left double. Columns named ``__id``, ``__hash``, ``__row``, ``__text``, ``__all`` or ``__n`` are not allowed.
+    """
+    name = lambda i, h: F.xxhash64(i.isNull(), i, h)
+    keep = classes.select(name(F.col("rep_id"), F.col("rep_hash")).alias("__row"), F.col("rep_id").alias("__id"), F.col("rep_hash").alias("__hash")).distinct()
+    others = [F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() not in ("map", "variant")]
+    hashed = docs.withColumn("__text", F.xxhash64("text")).withColumn("__row", name(docs["doc_id"].cast("long"), F.col("__text"))).withColumn("__all", F.xxhash64(*others))
+    same = (hashed["__row"] == keep["__row"]) & hashed["doc_id"].eqNullSafe(keep["__id"]) & (hashed["__text"] == keep["__hash"])
+    kept = hashed.join(keep, same, "left_semi")
+    once = kept.withColumn("__n", F.row_number().over(Window.partitionBy("__row").orderBy("__all"))).where("__n = 1")
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronomark.llm._common import as_bytes, open_filesystem, shared_path, table
+from chronomark.llm._common import as_bytes, open_filesystem, shared_path, table, worker_cache
 
 WINDOW = 10
 SHARD_WORDS = 100_000
@@ -47,6 +48,11 @@ class SuffixAutomaton:
             for w in words:
                 last = self._extend(last, w)
         self.ids = [i for i, _ in items]
+        by_length = sorted(range(1, len(self.link)), key=self.length.__getitem__)
+        self.at_window = [0] * len(self.link)  # the state of the suffix of exactly ``window`` words
+        for v in by_length:
+            if self.length[v] >= window:
+                self.at_window[v] = v if self.length[self.link[v]] < window else self.at_window[self.link[v]]
         self.windows: dict[int, set[int]] = {}  # state of a window of full length → items
         self.short: dict[int, list[tuple[int, int]]] = {}  # state → (length, item) of items that are one short window
         self.least = min([window, *(len(w) for _, w in items if w)], default=window)
@@ -61,13 +67,11 @@ class SuffixAutomaton:
                 for w in words:
                     state, depth = self.step(state, depth, w)
                     if depth >= window:
-                        self.windows.setdefault(self.ancestor(state), set()).add(n)
-        self.at_window = [self.ancestor(v) if self.length[v] >= window else 0 for v in range(len(self.link))]
-        self.shorts: dict[int, list[tuple[int, int]]] = {}
+                        self.windows.setdefault(self.at_window[state], set()).add(n)
+        self.near_short = [0] * len(self.link)  # the state itself or its nearest suffix that is the end of a short item
         if self.short:
-            for v in sorted(range(1, len(self.link)), key=self.length.__getitem__):
-                if found := self.short.get(v, []) + self.shorts.get(self.link[v], []):
-                    self.shorts[v] = found
+            for v in by_length:
+                self.near_short[v] = v if v in self.short else self.near_short[self.link[v]]
 
     def _extend(self, last: int, w: bytes) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -112,16 +116,10 @@ class SuffixAutomaton:
                 return to, self.length[state] + 1
         return 0, 0
 
-    def ancestor(self, state: int) -> int:
-        """The state of the suffix of exactly ``window`` words."""
-        while self.length[self.link[state]] >= self.window:
-            state = self.link[state]
-        return state
-
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int], int]:
         """``(hit spans as word ranges, items with occurring windows, longest match)`` of a document."""
         nxt, link, length, least, window = self.next, self.link, self.length, self.least, self.window
-        root = nxt[0]
+        root, near_short = nxt[0], self.near_short
         state = depth = longest = 0
         spans: list[tuple[int, int]] = []
         items: set[int] = set()
@@ -147,10 +145,13 @@ class SuffixAutomaton:
             if depth >= window:
                 reach = window
                 items |= self.windows[self.at_window[state]]
-            for k, n in self.shorts.get(state, ()):
-                if k <= depth:
-                    items.add(n)
-                    reach = max(reach, k)
+            short = near_short[state]
+            while short:
+                for k, n in self.short[short]:
+                    if k <= depth:
+                        items.add(n)
+                        reach = max(reach, k)
+                short = near_short[link[short]]
             if reach:
                 start = i + 1 - reach
                 while spans and spans[-1][1] >= start:
@@ -173,13 +174,15 @@ class _Scanner:
     """Takes documents through the broadcast automaton, or through the shards in turn."""
 
     def __init__(self, broadcast, shards: list[str], window: int):
-        self.broadcast, self.shards, self.window = broadcast, shards, window
+        self.broadcast, self.shards, self.window, self.name = broadcast, shards, window, uuid.uuid4().hex
 
     def automata(self) -> Iterator[SuffixAutomaton]:
         if self.broadcast is not None:
-            if not hasattr(self, "built"):
-                self.built = SuffixAutomaton(self.broadcast.value, self.window)
-            yield self.built
+            kept = worker_cache("automata")
+            if self.name not in kept:  # once a worker, not once a task
+                kept.clear()
+                kept[self.name] = SuffixAutomaton(self.broadcast.value, self.window)
+            yield kept[self.name]
         for uri in self.shards:
             import pyarrow.parquet as pq
 
@@ -256,7 +259,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
     Defined cases: null and empty texts have no words; an item without words has no window; a null item_id marks words but
     is neither counted nor listed, a repeated item_id counts once; an empty benchmark hits nothing; repeated documents
-    are reported each; columns other than doc_id and text are ignored.
+    are reported each; a very long text is streamed word by word; columns other than doc_id and text, whatever their names,
+    are ignored.
     """
 
     def make(batch: pa.RecordBatch, texts: list[bytes], found: list) -> pa.RecordBatch:
@@ -288,8 +292,10 @@ def remove_spans(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` with every hit span cut out; a document with more than ``max_coverage`` of its words hit goes altogether.
 
-    All columns stay; ``n_chars``, if there, follows a changed text. Rows without a hit are returned as they are.
+    All columns stay; ``n_chars``, if there, follows a changed text. Rows without a hit are returned as they are, null and empty
+    texts too; repeated rows are treated alike; an empty table gives no rows. Columns ``__b``, ``__new``, ``__changed`` are dropped.
     """
+    docs = docs.drop("__b", "__new", "__changed")
     columns = docs.columns
     counted = "n_chars" in columns
 
@@ -312,6 +318,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of all documents; cases as in ``contamination``."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("longest_match", "spans")
 
 

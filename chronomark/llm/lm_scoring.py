@@ -219,7 +219,7 @@ def _in_groups(rows: DataFrame, parts: int, keys: list[str], of: Callable[[_Rows
         if held:
             yield from of(held)
 
-    return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(batches, _ROW_DDL)
+    return rows.repartition(3 * parts, *keys).sortWithinPartitions(*keys).mapInArrow(batches, _ROW_DDL)
 
 
 class Exchange:

@@ -29,6 +29,9 @@ from chronomark.llm._common import materialize, partitions_for, table, worker_ca
 MAX_TOKENS = 2048
 EOS = 0
 GROUP = 20_000
+#: Documents of a sequence, and what tokens, documents and attention cost that are left free weigh.
+MAX_DOCS = 128
+WEIGHTS = (1.0, 0.3, 0.1)
 CACHE_ENTRIES = 700_000
 CACHE_CHUNK = 64
 
@@ -144,7 +147,8 @@ PIECE_DDL = "doc_id long, piece int, start long, length long, ids binary"
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str | None = None, max_tokens: int = MAX_TOKENS, eos: int = EOS) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: token ids (little-endian uint32) of every text and ``eos``, cut only if longer
-    than ``max_tokens``. A null text is the empty text, one token. No shuffle."""
+    than ``max_tokens``. A null text is the empty text, one token; a very long one is encoded whole and cut afterwards; repeated
+    rows give pieces each; columns other than doc_id and text, whatever their names, are ignored. No shuffle."""
     path = tokenizer_path or default_tokenizer_path()
     end = np.array([eos], dtype="<u4").tobytes()
     width = 4 * max_tokens
@@ -205,12 +209,14 @@ def best_fit(lengths: np.ndarray, max_tokens: int, max_docs: int, max_cost: int,
     return bins, offsets
 
 
-def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, max_docs: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = (1.0, 1e-4, 1e-4), criterion: str = "norm", group: int = GROUP) -> DataFrame:
+def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, max_docs: int | None = None, max_cost: int | None = None, weights: tuple[float, float, float] = WEIGHTS, criterion: str = "norm", group: int = GROUP) -> DataFrame:
     """``pieces`` with ``sequence_id long`` and ``offset long``; every other column is carried along (ids too, if given).
 
     ``pieces`` is read twice and must give the same rows each time: pass a written table. Without ``max_docs`` and
-    ``max_cost`` these capacities are those that ``max_tokens`` implies. Equal rows are packed each; no rows: no rows.
+    ``max_cost`` these capacities are those that ``max_tokens`` implies. Equal rows (ties) are packed each, in any order; columns
+    of the names ``sequence_id`` and ``offset`` are replaced; a piece that exceeds a capacity raises; no rows: no rows.
     """
+    pieces = pieces.drop("sequence_id", "offset")
     docs, cost = max_docs or max_tokens, max_cost or max_tokens**2
     n = partitions_for(pieces.sparkSession, pieces.count(), group, 1)
 
@@ -230,8 +236,9 @@ def pack_digests(docs: DataFrame, tokenizer_path: str | None = None, max_tokens:
     """Placement of every piece, with the CRC of its ids in their place; ids leave the scan as four bytes a piece."""
     pieces = tokenize_pieces(docs, tokenizer_path, max_tokens)
     narrow = materialize(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
-    return pack(narrow, max_tokens, group=group)
+    return pack(narrow, max_tokens, min(MAX_DOCS, max_tokens), group=group)
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed; cases as in ``tokenize_pieces`` and ``pack``."""
     return pack_digests(table(spark, sf_dir, "documents"))

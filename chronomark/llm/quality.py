@@ -1,5 +1,8 @@
 """Operator 9, quality classifier: interpolated modified Kneser-Ney trigrams of trusted text, one model a language.
 
+A language with fewer than ``LEAST_DOCS`` training documents has no model of its own: such languages share one, which is trained
+on a sample of all trusted text and has a threshold from their own held-out documents.
+
 Fitting: trusted rows are those that all labels call good and none toxic. A fifth of them (by hash of the id) is held
 out for the thresholds. Of the others at most ``train_docs`` documents a language in expectation train the model: a
 documented bound, kept by a hash of the id, so that one task fits one language in bounded memory.
@@ -31,8 +34,11 @@ from pyspark.sql import functions as F
 from chronomark.llm._common import materialize, open_filesystem, shared_path, table, worker_cache
 
 TRAIN_DOCS = 1_000
-LANGUAGES = 64
 LEAST_DOCS = 20
+#: The name of the model that languages without one of their own share; no language has it.
+POOLED = "\0pooled"
+#: Ids of the sample that are sent to all executors at most (40 bytes each); a larger sample is joined by a shuffle.
+BROADCAST_IDS = 500_000
 QUANTILE = 0.99
 #: Shards of the model, as a power of two; n-grams of shards that a worker keeps.
 MODEL_BITS = 5
@@ -169,6 +175,10 @@ class Model:
     def __init__(self, path: str, bits: int, unseen: dict[str, float], toxic: frozenset[str] = frozenset()):
         self.path, self.bits, self.unseen, self.toxic = path, bits, unseen, toxic
 
+    def name(self, lang: str | None) -> str:
+        """The language's own model, or the one that is shared."""
+        return (lang or "") if (lang or "") in self.unseen else POOLED
+
     def _parts(self, k: int) -> list[pa.Table]:
         import pyarrow.parquet as pq
         from pyarrow import fs
@@ -259,16 +269,19 @@ def _labelled(docs: DataFrame, labels: DataFrame, toxic: bool = False) -> DataFr
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
-    """The model of every language with ``LEAST_DOCS`` training documents at least (of the ``LANGUAGES`` most frequent)."""
+    """The models of all languages with ``LEAST_DOCS`` training documents at least, and the one of the others."""
     spark = docs.sparkSession
     pool = _labelled(docs, labels).where("not held_out").withColumn("toxic", F.lit(False)).unionAll(_labelled(docs, labels, toxic=True).where("not held_out").withColumn("toxic", F.lit(True)))
-    trusted, toxic = (dict(pool.where(c).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()) for c in ("not toxic", "toxic"))
-    fitting = {lang: n for lang, n in trusted.items() if n >= LEAST_DOCS}
-    rates = [(lang, t, min(1.0, train_docs / n)) for lang in fitting for t, n in ((False, fitting[lang]), (True, toxic.get(lang, 0))) if n]
-    rate = spark.createDataFrame(rates or [("", False, 0.0)], "lang string, toxic boolean, rate double")
+    pool = materialize(pool.select("doc_id", "lang", "toxic").distinct(), "kn-pool")
+    sizes = materialize(pool.groupBy("lang").agg(F.count_if(~F.col("toxic")).alias("good"), F.count_if("toxic").alias("bad")), "kn-languages")
+    own = sizes.where(F.col("good") >= LEAST_DOCS).select(F.col("lang").alias("model"), "lang", "good", "bad")
+    whole = sizes.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.min("good").alias("least")).where(F.col("least") < LEAST_DOCS)  # no row if every language has its own
+    shared = sizes.crossJoin(F.broadcast(whole.withColumnsRenamed({"good": "g", "bad": "b"}))).select(F.lit(POOLED).alias("model"), "lang", F.col("g").alias("good"), F.col("b").alias("bad"))  # one row on one side
     draw = (F.xxhash64(F.lit(11), "doc_id") / F.lit(2.0**64)) + 0.5
-    sample = pool.join(F.broadcast(rate), ["lang", "toxic"]).where(draw < F.col("rate")).select("doc_id", "toxic").distinct()  # 2 * LANGUAGES * train_docs ids at most, in expectation
-    texts = docs.join(F.broadcast(sample), "doc_id").select(F.coalesce("lang", F.lit("")).alias("lang"), "text", "toxic")
+    kept = draw < F.lit(train_docs) / F.when(F.col("toxic"), F.col("bad")).otherwise(F.col("good"))
+    sample = materialize(pool.join(own.unionAll(shared), "lang").where(kept).select("doc_id", "model", "toxic"), "kn-sample")  # 2 * train_docs ids a model at most, in expectation
+    sample = F.broadcast(sample) if sample.count() <= BROADCAST_IDS else sample
+    texts = docs.select("doc_id", "text").join(sample, "doc_id").select(F.col("model").alias("lang"), "text", "toxic")
 
     def fitted(rows: pa.Table) -> pa.Table:
         worker_cache("fit")
@@ -287,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
 
     path = shared_path(spark, "kn-model")
     texts.groupBy("lang").applyInArrow(fitted, "lang string, unseen double, toxic boolean, shard int, data binary").write.partitionBy("shard").parquet(path)
-    floors = spark.read.schema("lang string, unseen double, toxic boolean, data binary, shard int").parquet(path).where("shard = 0 and unseen is not null").select("lang", "unseen", "toxic").collect()  # one row a language, LANGUAGES at most
+    floors = spark.read.schema("lang string, unseen double, toxic boolean, data binary, shard int").parquet(path).where("shard = 0 and unseen is not null").select("lang", "unseen", "toxic").collect()  # one short row a language that has LEAST_DOCS documents
     return PackedModel(path, MODEL_BITS, {r["lang"]: r["unseen"] for r in floors}, frozenset(r["lang"] for r in floors if r["toxic"]))
 
 
@@ -297,8 +310,9 @@ def _score_rows(batch: pa.RecordBatch, model: Model) -> tuple[list, list, list]:
     tokens: list[int | None] = [None] * len(texts)
     logs: list[float | None] = [None] * len(texts)
     toxicity: list[float | None] = [None] * len(texts)
-    for lang in dict.fromkeys(x or "" for x in langs):
-        rows = [i for i, x in enumerate(langs) if (x or "") == lang]
+    names = [model.name(x) for x in langs]
+    for lang in dict.fromkeys(names):
+        rows = [i for i, x in enumerate(names) if x == lang]
         at = 0
         while at < len(rows):
             upto, size = at, 0
@@ -336,42 +350,55 @@ def _cross_entropy():
     return -F.col("log10_prob") / F.col("n_tokens")
 
 
-def thresholds(scored: DataFrame, docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> dict[str, tuple[float, float | None]]:
-    """log10 of the greatest perplexity to keep and the greatest toxicity that is not toxic, by language."""
+def _named(model: Model):
+    """The name of the model that judges a row."""
+    return F.when(F.array_contains(F.array(*[F.lit(x) for x in sorted(model.unseen)]).cast("array<string>"), F.coalesce("lang", F.lit(""))), F.coalesce("lang", F.lit(""))).otherwise(F.lit(POOLED))
+
+
+def thresholds(scored: DataFrame, docs: DataFrame, labels: DataFrame, model: Model, quantile: float = QUANTILE) -> dict[str, tuple[float, float | None]]:
+    """log10 of the greatest perplexity to keep and the greatest toxicity that is not toxic, by the name of the model."""
     held = _labelled(docs, labels).where("held_out").select("doc_id").distinct()
     found = scored.join(held, "doc_id", "left_semi").where("log10_prob is not null")
     most = lambda c, name: F.percentile_approx(c, quantile, 10_000).alias(name)
-    rows = found.groupBy(F.coalesce("lang", F.lit("")).alias("lang")).agg(most(_cross_entropy(), "t"), most(F.col("toxicity"), "x"))
-    return {r["lang"]: (r["t"], r["x"]) for r in rows.limit(LANGUAGES).collect()}
+    rows = found.groupBy(_named(model).alias("name")).agg(most(_cross_entropy(), "t"), most(F.col("toxicity"), "x"))
+    return {r["name"]: (r["t"], r["x"]) for r in rows.collect()}  # one short row a model
+
+
+def held_out_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """Scores of the fifth of all documents that held-out ones are among; others are not scored."""
+    return materialize(scores(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0), model), "kn-held-out")
 
 
 def classify(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, quantile: float = QUANTILE) -> DataFrame:
     """``doc_id, lang, n_tokens, log10_prob, perplexity, threshold, keep, toxicity, toxic`` per row of ``docs``.
 
-    ``keep`` is the verdict on quality alone and ``toxic`` the one on toxicity; ``filter_quality`` goes by both. In a language
-    with fewer than ``LEAST_DOCS`` toxic training documents toxicity is null and nothing is toxic.
-    Defined cases: a text without words (null, empty, white space) is rejected; a language without a model or without
-    held-out trusted text is kept, with null score or threshold; null lang is a language of its own; repeated rows are
-    scored alike; without labels everything with words is kept; other columns are ignored.
+    ``keep`` is the verdict on quality alone and ``toxic`` the one on toxicity; ``filter_quality`` goes by both. With a model
+    of fewer than ``LEAST_DOCS`` toxic training documents toxicity is null and nothing is toxic.
+    Defined cases: a text without words (null, empty, white space) is rejected; where no model or no held-out trusted text
+    is, rows are kept, with null score or threshold; null lang is the language "" ; repeated rows (ties) are
+    scored alike; a very long text is scored whole, in a slice of its own; without labels everything with words is kept;
+    an empty table gives no rows; other columns, whatever their names, are ignored.
     """
-    scored = materialize(scores(docs, fit(docs, labels, train_docs)), "kn-scores")
-    limit = thresholds(scored, docs, labels, quantile)
-    limits = docs.sparkSession.createDataFrame([(lang, *x) for lang, x in limit.items()] or [("", None, None)], "__lang string, __limit double, __most double")
-    joined = scored.join(F.broadcast(limits), F.coalesce("lang", F.lit("")) == F.col("__lang"), "left")
+    model = fit(docs, labels, train_docs)
+    scored = materialize(scores(docs, model), "kn-scores")
+    limit = thresholds(scored, docs, labels, model, quantile)
+    limits = docs.sparkSession.createDataFrame([(name, *x) for name, x in limit.items()] or [("", None, None)], "__lang string, __limit double, __most double")
+    joined = scored.join(F.broadcast(limits), _named(model) == F.col("__lang"), "left")  # one row a model
     keep = (F.col("n_tokens") > 1) & F.coalesce(_cross_entropy() <= F.col("__limit"), F.lit(True))
     power = lambda c: F.pow(F.lit(10.0), c)
     return joined.select("doc_id", "lang", "n_tokens", "log10_prob", power(_cross_entropy()).alias("perplexity"), power(F.col("__limit")).alias("threshold"), keep.alias("keep"), "toxicity", F.coalesce(F.col("toxicity") > F.col("__most"), F.lit(False)).alias("toxic"))
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, quantile: float = QUANTILE) -> DataFrame:
-    """``docs`` without the rows that are rejected or toxic; all columns. Texts are scored again instead of shuffled."""
+    """``docs`` without the rows that are rejected or toxic; all columns, cases as in ``classify``. Texts are not shuffled; those
+    that may be held out are scored twice."""
     model = fit(docs, labels, train_docs)
-    limit = thresholds(materialize(scores(docs, model), "kn-scores"), docs, labels, quantile)
+    limit = thresholds(held_out_scores(docs, model), docs, labels, model, quantile)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             n, s, toxicity = _score_rows(batch, model)
-            limits = [limit.get(x or "", (None, None)) for x in batch.column(batch.schema.names.index("lang")).to_pylist()]
+            limits = [limit.get(model.name(x), (None, None)) for x in batch.column(batch.schema.names.index("lang")).to_pylist()]
             keep = [a > 1 and (b is None or most is None or -b / a <= most) and (x is None or toxic is None or x <= toxic) for a, b, x, (most, toxic) in zip(n, s, toxicity, limits, strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
@@ -379,4 +406,5 @@ def filter_quality(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_D
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all documents; cases as in ``classify``."""
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

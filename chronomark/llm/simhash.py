@@ -1,13 +1,13 @@
 """Operator 7, SimHash near-dedup: binary trie self-join over distinct fingerprints.
 
-Fingerprints are distinct before anything is compared, so a group of copies of any size is one leaf. The trie is
-dealt over the cluster by the nodes that a pair of similar fingerprints must share: of three blocks of 64 bits at most
-``budget`` = 2 can differ, and again of three parts of the rest, which gives nine keys of about 35 bits per
-fingerprint. Below such a key the rest of the trie is walked in node pairs: both children of both nodes, differing
-bits added up, a pair dropped once it is over the budget. Nodes are ranges of the sorted fingerprints, so a level of
-the walk is a few numpy operations for all groups of a task at once. A group links its members by a spanning forest
-(never by all pairs); a fingerprint has at most 2,080 others within two bits, which bounds the work of any group.
-Groups over ``split_above`` members are dealt anew by pairs of 8-bit child nodes first.
+Fingerprints are distinct before anything is compared, so a group of copies of any size is one leaf. Of ``budget`` + 1 blocks
+of the 64 bits two similar fingerprints have one in common. So the tries that are joined with themselves are those of the
+fingerprints that agree in some bits of a block, as many bits as leave about ``GROUP`` fingerprints to a trie: every fingerprint
+goes to ``budget`` + 1 tries, at any size of the corpus. A trie is walked in node pairs from the top: both children of both
+nodes, differing bits added up, a pair dropped once it is over the budget. Nodes are ranges of the sorted fingerprints, so
+a level of the walk is a few numpy operations for many tries at once; a front of too many pairs is walked in parts, depth
+first. A trie links its members by a spanning forest (never by all pairs). Tries of over ``split_above`` members are
+dealt anew by pairs of 8-bit child nodes first.
 """
 
 from __future__ import annotations
@@ -20,14 +20,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomark.llm._common import as_bytes, materialize, partitions_for, table
+from chronomark.llm._common import as_bytes, keep_named_rows, materialize, partitions_for, table
 from chronomark.llm.components import connected_components, local_roots
 
 SEED = 42
 SHINGLE = 3
 BUDGET = 2
 SPLIT_ABOVE = 200_000
-CHUNK = 400_000
+CHUNK = 100_000
+#: Fingerprints of a trie, as many as are walked at once, node pairs of a front.
+GROUP, TOGETHER, FRONT = 4_096, 50_000, 500_000
 
 
 def simhash(data: bytes, shingle: int = SHINGLE) -> int:
@@ -67,65 +69,56 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 # --- the trie -----------------------------------------------------------------------------------------------------
 
-_BLOCKS = ((0, 21), (21, 42), (42, 64))
+def blocks(budget: int) -> list[tuple[int, int]]:
+    """``budget`` + 1 runs of bits; at most ``budget`` differing bits leave one of them equal."""
+    return [(64 * k // (budget + 1), 64 * (k + 1) // (budget + 1)) for k in range(budget + 1)]
 
 
-def _take(fp: np.ndarray, bits: list[int]) -> np.ndarray:
-    """The given bits of each fingerprint, packed; runs of neighbouring bits move together."""
-    out, at, i = np.zeros_like(fp), 0, 0
-    while i < len(bits):
-        j = i
-        while j + 1 < len(bits) and bits[j + 1] == bits[j] + 1:
-            j += 1
-        width = j - i + 1
-        out |= ((fp >> np.uint64(bits[i])) & np.uint64((1 << width) - 1)) << np.uint64(at)
-        at, i = at + width, j + 1
-    return out
+def key_bits(count: int, budget: int) -> int:
+    """Bits of a block that tell tries apart."""
+    return min(64 // (budget + 1), max(0, (max(1, count // GROUP) - 1).bit_length()))
 
 
-def _key_bits() -> list[list[int]]:
-    keys = []
-    for lo, hi in _BLOCKS:
-        rest = [b for b in range(64) if not lo <= b < hi]
-        third = -(-len(rest) // 3)
-        keys += [list(range(lo, hi)) + rest[k * third : (k + 1) * third] for k in range(3)]
-    return keys
-
-
-KEY_BITS = _key_bits()
-
-
-def node_keys(fp: np.ndarray) -> np.ndarray:
-    """(9, n) keys; two fingerprints at most two bits apart have one key in common at least."""
+def node_keys(fp: np.ndarray, bits: int, budget: int = BUDGET) -> np.ndarray:
+    """(budget + 1, n) names of tries; two fingerprints at most ``budget`` bits apart have one in common. Without bits there is one trie."""
     fp = fp.view(np.uint64) if fp.dtype == np.int64 else fp
-    return np.stack([(_take(fp, bits) << np.uint64(4)) | np.uint64(k) for k, bits in enumerate(KEY_BITS)])
-
-
-def trie_pairs(fp: np.ndarray, lo: np.ndarray, hi: np.ndarray, budget: int = BUDGET, leaf: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of ``fp`` (uint64, sorted within each range lo..hi) at most ``budget`` bits apart, by ranges."""
-    a0, a1, b0, b1 = lo, hi, lo, hi
-    diff = np.zeros(len(lo), dtype=np.int64)
-    for bit in range(63, -2, -1):
-        if not len(a0):
-            return
-        small = (a1 - a0) * (b1 - b0) <= leaf if bit >= 0 else np.ones(len(a0), dtype=bool)
-        if small.any():
-            yield from _brute(fp, a0[small], a1[small], b0[small], b1[small], budget)
-            a0, a1, b0, b1, diff = (x[~small] for x in (a0, a1, b0, b1, diff))
-        if bit < 0 or not len(a0):
-            return
-        ones = np.concatenate(([0], np.cumsum(((fp >> np.uint64(bit)) & np.uint64(1)).astype(np.int64))))
-        am, bm = a1 - (ones[a1] - ones[a0]), b1 - (ones[b1] - ones[b0])
-        same = (a0 == b0) & (a1 == b1)
-        parts = [(a0, am, b0, bm, diff), (am, a1, bm, b1, diff), (a0, am, bm, b1, diff + 1)]
-        cross = ~same
-        parts.append((am[cross], a1[cross], b0[cross], bm[cross], diff[cross] + 1))
-        a0, a1, b0, b1, diff = (np.concatenate(x) for x in zip(*parts, strict=True))
-        live = (diff <= budget) & (a1 > a0) & (b1 > b0) & ~((a0 == b0) & (a1 == b1) & (a1 - a0 < 2))
-        a0, a1, b0, b1, diff = (x[live] for x in (a0, a1, b0, b1, diff))
-
-
-def _brute(fp: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    if not bits:
+        return np.zeros((1, len(fp)), np.uint64)
+    return np.stack([(((fp >> np.uint64(lo)) & np.uint64((1 << bits) - 1)) << np.uint64(6)) | np.uint64(k) for k, (lo, _) in enumerate(blocks(budget))])
+
+
+def trie_pairs(fp: np.ndarray, lo: np.ndarray, hi: np.ndarray, budget: int = BUDGET, front: int = FRONT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of ``fp`` (uint64, sorted within each range lo..hi) at most ``budget`` bits apart, by ranges.
+
+    Each range is a trie; the walk begins with its root against itself. A pair of single fingerprints is decided by the rest of their bits."""
+    ones: dict[int, np.ndarray] = {}
+    stack = [(63, lo, hi, lo, hi, np.zeros(len(lo), dtype=np.int8))]
+    while stack:
+        bit, a0, a1, b0, b1, diff = stack.pop()
+        while len(a0):
+            single = (a1 - a0 == 1) & (b1 - b0 == 1) if bit >= 0 else np.ones(len(a0), dtype=bool)
+            if single.any():
+                yield from _decided(fp, a0[single], a1[single], b0[single], b1[single], budget)
+                a0, a1, b0, b1, diff = (x[~single] for x in (a0, a1, b0, b1, diff))
+            if bit < 0 or not len(a0):
+                break
+            if len(a0) > front:
+                half = len(a0) // 2
+                stack.append((bit, *(x[half:] for x in (a0, a1, b0, b1, diff))))
+                a0, a1, b0, b1, diff = (x[:half] for x in (a0, a1, b0, b1, diff))
+            if bit not in ones:
+                ones[bit] = np.concatenate(([0], np.cumsum((fp >> np.uint64(bit)) & np.uint64(1), dtype=np.int64)))
+            count = ones[bit]
+            am, bm = a1 - (count[a1] - count[a0]), b1 - (count[b1] - count[b0])  # where the children with a one begin
+            cross = ~((a0 == b0) & (a1 == b1))
+            parts = [(a0, am, b0, bm, diff), (am, a1, bm, b1, diff), (a0, am, bm, b1, diff + 1), (am[cross], a1[cross], b0[cross], bm[cross], diff[cross] + 1)]
+            a0, a1, b0, b1, diff = (np.concatenate(x) for x in zip(*parts, strict=True))
+            live = (diff <= budget) & (a1 > a0) & (b1 > b0) & ~((a0 == b0) & (a1 - a0 < 2) & (b1 == a1))
+            a0, a1, b0, b1, diff = (x[live] for x in (a0, a1, b0, b1, diff))
+            bit -= 1
+
+
+def _decided(fp: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     sizes = (a1 - a0) * (b1 - b0)
     at = 0
     bounds = np.cumsum(sizes)
@@ -147,42 +140,50 @@ def _group_forest(key: np.ndarray, fp: np.ndarray, budget: int) -> tuple[np.ndar
     key, fp = key[order], fp[order]
     cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     end = np.concatenate((cut[1:], [len(key)]))
-    many = end - cut > 1
-    lo, hi = cut[many], end[many]
-    ia, ib = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    root = np.arange(len(fp))
-    held = 0
-    for i, j in trie_pairs(fp, lo, hi, budget):
-        ia.append(i)
-        ib.append(j)
-        held += len(i)
-        if held > 4_000_000:  # fold what has been found into roots; links stay whole
-            root = local_roots(np.concatenate([*ia, np.arange(len(fp))]), np.concatenate([*ib, root]), len(fp))
-            ia, ib, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-    root = local_roots(np.concatenate([*ia, np.arange(len(fp))]), np.concatenate([*ib, root]), len(fp))
-    moved = np.flatnonzero(root != np.arange(len(fp)))
-    return fp[moved], fp[root[moved]]
+    u, v, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], 0
+    while at < len(cut):
+        upto = max(at + 1, int(np.searchsorted(end, cut[at] + TOGETHER, side="right")))
+        part = fp[cut[at] : end[upto - 1]]
+        lo, hi = cut[at:upto] - cut[at], end[at:upto] - cut[at]
+        root, ia, ib, held = np.arange(len(part)), [], [], 0
+
+        def folded(root: np.ndarray, ia: list, ib: list) -> np.ndarray:
+            return local_roots(np.concatenate([*ia, np.arange(len(root))]), np.concatenate([*ib, root]), len(root))
+
+        for i, j in trie_pairs(part, lo[hi - lo > 1], hi[hi - lo > 1], budget):
+            ia.append(i)
+            ib.append(j)
+            held += len(i)
+            if held > 2_000_000:  # what has been found goes into roots; links stay whole
+                root, ia, ib, held = folded(root, ia, ib), [], [], 0
+        root = folded(root, ia, ib)
+        moved = np.flatnonzero(root != np.arange(len(part)))
+        u.append(part[moved])
+        v.append(part[root[moved]])
+        at = upto
+    return np.concatenate(u), np.concatenate(v)
 
 
 _KEYED = pa.schema([("key", pa.int64()), ("fp", pa.int64())])
 _EDGE = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _key_batches(batches: Iterator[pa.RecordBatch], bits: int, budget: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fp = np.ascontiguousarray(batch.column(0).to_numpy(zero_copy_only=False)).view(np.uint64)
-        keys = node_keys(fp)
-        for k in keys:
+        for k in node_keys(fp, bits, budget):
             yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(fp.view(np.int64))], schema=_KEYED)
 
 
-def _child_pair_batches(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
-    """For large groups: a fingerprint joins each pair of 8-bit child nodes that it can be in within the budget."""
+def _child_pair_batches(batches: Iterator[pa.RecordBatch], bits: int, budget: int) -> Iterator[pa.RecordBatch]:
+    """For large tries: a fingerprint joins each pair of 8-bit child nodes that it can be in within the budget."""
     flips = np.array([f for f in range(256) if bin(f).count("1") <= budget], dtype=np.uint64)
+    own = [set(range(lo, lo + bits)) for lo, _ in blocks(budget)]
+    free_of = np.array([[b for b in range(63, -1, -1) if b not in o][:8] for o in own], dtype=np.uint64)
     for batch in batches:
         key = np.ascontiguousarray(batch.column(0).to_numpy(zero_copy_only=False)).view(np.uint64)
         fp = np.ascontiguousarray(batch.column(1).to_numpy(zero_copy_only=False)).view(np.uint64)
-        free = np.array([[b for b in range(64) if b not in KEY_BITS[k]][:8] for k in range(9)], dtype=np.uint64)[(key & np.uint64(15)).astype(int)]
+        free = free_of[(key & np.uint64(63)).astype(int)]
         node = np.zeros(len(fp), dtype=np.uint64)
         for i in range(8):
             node |= ((fp >> free[:, i]) & np.uint64(1)) << np.uint64(i)
@@ -205,18 +206,19 @@ def _forest_batches(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[
 
 
 def fingerprint_links(distinct: DataFrame, count: int, budget: int = BUDGET, split_above: int = SPLIT_ABOVE) -> DataFrame:
-    """``distinct(fp)`` → ``(u, v)``: links of spanning forests of all pairs at most ``budget`` (0 to 2) bits apart."""
-    if not 0 <= budget <= 2:
-        raise ValueError("nine keys give every pair for budgets of 0 to 2")
+    """``distinct(fp)`` → ``(u, v)``: links of spanning forests of all pairs at most ``budget`` (0 to 15) bits apart."""
+    if not 0 <= budget <= 15:
+        raise ValueError("budgets of 0 to 15 bits")
     spark = distinct.sparkSession
-    keyed = distinct.select("fp").mapInArrow(_key_batches, "key long, fp long")
-    n = partitions_for(spark, 9 * count, CHUNK, 2)
+    bits = key_bits(count, budget)
+    keyed = distinct.select("fp").mapInArrow(lambda it: _key_batches(it, bits, budget), "key long, fp long")
+    n = partitions_for(spark, (budget + 1) * count, CHUNK, 2)
     if count > split_above:
         keyed = materialize(keyed, "simhash-keys")
         hot = materialize(keyed.groupBy("key").count().where(F.col("count") > split_above).select("key", F.lit(True).alias("hot")), "simhash-hot")
         if hot.head(1):
             marked = keyed.join(hot, "key", "left")
-            split = marked.where("hot").select("key", "fp").mapInArrow(lambda it: _child_pair_batches(it, budget), "key long, fp long")
+            split = marked.where("hot").select("key", "fp").mapInArrow(lambda it: _child_pair_batches(it, bits, budget), "key long, fp long")
             keyed = marked.where("hot is null").select("key", "fp").unionAll(split)
     return keyed.repartition(n, "key").mapInArrow(lambda it: _forest_batches(it, budget), "u long, v long")
 
@@ -227,7 +229,8 @@ def simhash_classes(docs: DataFrame, budget: int = BUDGET, split_above: int = SP
     ``component_id`` is the least doc_id of those reachable over links, itself included; ``rep_id, rep_hash`` name the row
     that stays when a class is thinned to one (least doc_id, null last, then least text hash). Defined cases: null text
     is the empty text (fingerprint 0, linked like any other); a null doc_id takes part but is never a component_id while
-    the class has another; repeated rows share a class; an empty table gives no rows; other columns are ignored.
+    the class has another; repeated rows share a class; a very long text counts whole, in slices; an empty table gives no
+    rows; other columns, whatever their names, are ignored.
     """
     fps = materialize(fingerprints(docs), "simhash-fp")
     rank = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), F.col("text_hash").alias("h"))
@@ -242,12 +245,10 @@ def simhash_classes(docs: DataFrame, budget: int = BUDGET, split_above: int = SP
 
 def keep_one_per_class(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     """``docs`` without near copies: of each class the row named by ``rep_id, rep_hash`` stays, once, with all its columns."""
-    keep = simhash_classes(docs, budget).select(F.col("rep_id").alias("__id"), F.col("rep_hash").alias("__hash")).distinct()
-    hashed = docs.withColumn("__text_hash", F.xxhash64("text"))
-    kept = hashed.join(keep, hashed["doc_id"].eqNullSafe(keep["__id"]) & (hashed["__text_hash"] == keep["__hash"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__text_hash"]).select(*docs.columns)
+    return keep_named_rows(docs, simhash_classes(docs, budget))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document; cases as in ``simhash_classes``."""
     classes = simhash_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -66,8 +66,9 @@ def _near(n, seed):
     return np.array(sorted(out), dtype=np.uint64)
 
 
-def test_trie_links_find_every_pair(spark):
-    for n, seed, split in ((400, 1, 200_000), (400, 2, 20)):
+def test_trie_links_find_every_pair(spark, monkeypatch):
+    for n, seed, split, group in ((400, 1, 200_000, 4096), (400, 2, 20, 4096), (400, 3, 200_000, 8), (400, 4, 20, 64)):
+        monkeypatch.setattr(sh, "GROUP", group)
         fp = _near(n, seed)
         df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long")
         links = sh.fingerprint_links(df, n, split_above=split).collect()
@@ -78,11 +79,25 @@ def test_trie_links_find_every_pair(spark):
         assert len(set(zip(want, got, strict=True))) == len(set(want)) == len(set(got))
 
 
-def test_two_bits_share_a_key():
+@pytest.mark.parametrize("budget", [0, 1, 2, 5])
+def test_near_fingerprints_share_a_trie(budget):
     rng = random.Random(3)
     a = np.array([rng.getrandbits(64) for _ in range(500)], dtype=np.uint64)
-    b = np.array([int(x) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for x in a], dtype=np.uint64)
-    assert (sh.node_keys(a) == sh.node_keys(b)).any(axis=0).all()
+    b = a.copy()
+    for _ in range(budget):
+        b ^= np.array([1 << rng.randrange(64) for _ in a], dtype=np.uint64)
+    for bits in (0, 4, 64 // (budget + 1)):
+        assert (sh.node_keys(a, bits, budget) == sh.node_keys(b, bits, budget)).any(axis=0).all()
+
+
+@pytest.mark.parametrize("budget", [0, 2, 7])
+def test_walk_against_all_pairs(budget):
+    fp = np.sort(np.concatenate([_near(300, 5), _near(200, 6)]))
+    fp = np.unique(fp)
+    want = {(i, int(j)) for i in range(len(fp)) for j in np.flatnonzero(np.bitwise_count(fp ^ fp[i]) <= budget) if i < j}
+    for front in (500_000, 50):
+        got = [(int(x), int(y)) for i, j in sh.trie_pairs(fp, np.array([0]), np.array([len(fp)]), budget, front) for x, y in zip(np.minimum(i, j), np.maximum(i, j), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_keep_one_per_class(spark):

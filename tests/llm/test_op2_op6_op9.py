@@ -223,6 +223,21 @@ def test_classifier_cases(spark):
     assert quality.classify(_docs.empty(spark), none).count() == 0
 
 
+def test_languages_without_a_model_share_one(spark):
+    rng = __import__("random").Random(4)
+    words = {"a": [f"a{i}" for i in range(60)], "b": [f"b{i}" for i in range(60)]}
+    text = lambda k, bad: " ".join((f"zz{rng.randrange(10**6)}" if bad else rng.choice(words[k])) for _ in range(30))
+    rows = [(i, text("a", False), "big") for i in range(200)]
+    rows += [(1000 + i, text("b", i % 10 == 9), f"rare{i % 30}") for i in range(300)]  # ten documents a language
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)] + [(1000 + i, 0 if i % 10 == 9 else 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r["doc_id"]: r for r in quality.classify(docs, labels, quantile=0.95).collect()}
+    assert all(r["threshold"] is not None and r["log10_prob"] is not None for r in out.values())
+    bad = [i for i in out if i >= 1000 and i % 10 == 9]
+    assert not any(out[i]["keep"] for i in bad) and sum(r["keep"] for i, r in out.items() if i not in bad) > 0.85 * (len(out) - len(bad))
+    assert {r["doc_id"] for r in quality.filter_quality(docs, labels, quantile=0.95).collect()} == {i for i, r in out.items() if r["keep"] and not r["toxic"]}
+
+
 def test_classifier_on_labelled_documents(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")

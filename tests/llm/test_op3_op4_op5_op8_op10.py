@@ -194,6 +194,20 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.contamination(d.limit(0), b).count() == 0
 
 
+def test_automaton_of_repeated_words_is_linear():
+    import time
+
+    def took(n):
+        t = time.perf_counter()
+        one = decontaminate.SuffixAutomaton([("a", [b"x"] * n), ("b", [b"x"] * 3), ("c", [b"x"] * 2)])
+        spans, items, longest = one.scan([b"x"] * n)
+        assert spans == [(0, n)] and items == {0, 1, 2} and longest == n
+        return time.perf_counter() - t
+
+    took(1_000)
+    assert took(32_000) < 12 * took(8_000)
+
+
 def test_decontaminate_cuts_and_keeps(spark):
     item = " ".join(f"w{i}" for i in range(12))
     rows = [(1, f"One two three. {item.upper()}! " + "four " * 20 + "end"), (2, item), (3, "clean text stays, as it is"), (4, None)]
