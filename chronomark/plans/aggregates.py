@@ -164,11 +164,6 @@ def agg_intro_outro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline(spark, sf_dir).groupBy("video_id").agg(F.count_if(F.col("t") < 3).alias("intro"), F.count_if(F.col("t") >= DURATION - 3).alias("outro"))
 
 
-@query("agg_unique_text", "SELECT source, count(DISTINCT lower(trim(left(text, 40)))) AS unique_texts, count(*) AS texts FROM documents GROUP BY source")
-def agg_unique_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").agg(F.countDistinct(F.lower(F.trim(F.left("text", F.lit(40))))).alias("unique_texts"), F.count("*").alias("texts"))
-
-
 _SPEECH = f"WITH {SEG_SQL}"
 
 

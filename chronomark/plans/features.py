@@ -30,10 +30,16 @@ def _instants(name: str, kind: str) -> None:
 
 
 _instants("tl_pose", "gesture")
-_instants("tl_gaze", "object")
 _instants("tl_face", "object")
 
 
+@query("tl_gaze", f"WITH {TL_SQL} SELECT video_id, seq, CAST(t AS DECIMAL(18,6)) AS at_s, CASE WHEN conf > 0.5 THEN 'camera' ELSE 'away' END AS direction, CAST(conf AS DECIMAL(18,6)) AS eye_contact FROM tl WHERE entry_type IN ('object', 'emotion') AND label % 2 = 0")
+def tl_gaze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaze entries: faces and expressions with even classes, their score the eye contact."""
+    g = timeline(spark, sf_dir).where("entry_type in ('object', 'emotion') and label % 2 = 0")
+    return g.select("video_id", "seq", dec("t").alias("at_s"), F.when(F.col("conf") > 0.5, "camera").otherwise("away").alias("direction"), dec("conf").alias("eye_contact"))
+
+
 @query("tl_scene", f"""WITH {TL_SQL}, c AS (SELECT video_id, seq, t, lead(t) OVER (PARTITION BY video_id ORDER BY t, seq) AS x FROM tl WHERE entry_type = 'scene_change')
 SELECT video_id, seq, 'scene_change' AS kind, CAST(t AS DECIMAL(18,6)) AS start_s, CAST(NULL AS DECIMAL(18,6)) AS end_s FROM c UNION ALL SELECT video_id, seq, 'scene', CAST(t AS DECIMAL(18,6)), CAST(coalesce(x, {DURATION}) AS DECIMAL(18,6)) FROM c""")
 def tl_scene(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,43 +55,6 @@ def map_gaze_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of("object", "detector").join(of("gesture", "entry"), ["video_id", "sec"], "full").select("video_id", "sec", dec(F.coalesce("entry", "detector")).alias("eye_contact"))
 
 
-@query("agg_overlay_core", f"""WITH {TL_SQL}, o AS (SELECT video_id, count(*) FILTER (entry_type = 'text') AS texts, count(*) FILTER (entry_type = 'object') AS stickers, min(t) FILTER (entry_type = 'text') AS first_t FROM tl GROUP BY video_id)
-SELECT video_id, texts, stickers, CAST((texts + stickers) / {DURATION}.0 AS DECIMAL(18,6)) AS per_second, CAST(coalesce(texts / nullif(stickers, 0), 0) AS DECIMAL(18,6)) AS ratio, CAST(first_t AS DECIMAL(18,6)) AS first_s FROM o""")
-def agg_overlay_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    is_ = lambda k: F.col("entry_type") == k
-    o = timeline(spark, sf_dir).groupBy("video_id").agg(F.count_if(is_("text")).alias("texts"), F.count_if(is_("object")).alias("stickers"), F.min(F.when(is_("text"), F.col("t"))).alias("first_t"))
-    return o.select("video_id", "texts", "stickers", dec((F.col("texts") + F.col("stickers")) / float(DURATION)).alias("per_second"), dec(F.coalesce(F.try_divide("texts", "stickers"), F.lit(0.0))).alias("ratio"), dec("first_t").alias("first_s"))
-
-
-@query("agg_text_len_stats", "SELECT source, CAST(avg(s) AS DECIMAL(18,2)) AS mean_size, CAST(coalesce(stddev_samp(s), 0) AS DECIMAL(18,2)) AS deviation FROM (SELECT source, least(length(text), 500) * CASE WHEN upper(left(text, 20)) = left(text, 20) THEN 2 ELSE 1 END AS s FROM documents WHERE lang = 'en') GROUP BY source")
-def agg_text_len_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.left("text", F.lit(20))
-    s = F.least(F.char_length("text"), F.lit(500)) * F.when(F.upper(head) == head, 2).otherwise(1)
-    return table(spark, sf_dir, "documents").where("lang = 'en'").select("source", s.alias("s")).groupBy("source").agg(dec(F.avg("s"), 2).alias("mean_size"), dec(F.coalesce(F.stddev_samp("s"), F.lit(0.0)), 2).alias("deviation"))
-
-
-@query("agg_cta_matrix", f"""WITH {TL_SQL}, x AS (SELECT a.video_id, a.seq, a.conf > 0.5 AS cta, EXISTS (SELECT 1 FROM tl g WHERE g.video_id = a.video_id AND g.entry_type = 'gesture' AND floor(g.t) = floor(a.t)) AS g FROM tl a WHERE a.entry_type = 'text')
-SELECT video_id, count(*) FILTER (cta AND g) AS both, count(*) FILTER (cta AND NOT g) AS text_only, count(*) FILTER (NOT cta AND g) AS gesture_only, count(*) FILTER (NOT cta AND NOT g) AS neither FROM x GROUP BY video_id""")
-def agg_cta_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _of(spark, sf_dir, "gesture").select("video_id", F.floor("t").alias("sec")).distinct().withColumn("g", F.lit(True))
-    x = _of(spark, sf_dir, "text").select("video_id", F.floor("t").alias("sec"), (F.col("conf") > 0.5).alias("cta")).join(g, ["video_id", "sec"], "left").withColumn("g", F.coalesce("g", F.lit(False)))
-    n = lambda c, name: F.count_if(F.expr(c)).alias(name)
-    return x.groupBy("video_id").agg(n("cta and g", "both"), n("cta and not g", "text_only"), n("not cta and g", "gesture_only"), n("not cta and not g", "neither"))
-
-
-@query("agg_text_categories", "SELECT source, count(*) FILTER (c = 'legal') AS legal, count(*) FILTER (c = 'shout') AS shout, count(*) FILTER (c = 'digits') AS digits, count(*) FILTER (c = 'plain') AS plain FROM (SELECT source, CASE WHEN contains(lower(text), 'license') THEN 'legal' WHEN contains(text, '!!') THEN 'shout' WHEN regexp_matches(text, '[0-9]') THEN 'digits' ELSE 'plain' END AS c FROM documents) GROUP BY source")
-def agg_text_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.when(F.contains(F.lower("text"), F.lit("license")), "legal").when(F.contains("text", F.lit("!!")), "shout").when(F.col("text").rlike("[0-9]"), "digits").otherwise("plain")
-    kinds = ["legal", "shout", "digits", "plain"]
-    return table(spark, sf_dir, "documents").select("source", c.alias("c")).groupBy("source").agg(*[F.count_if(F.col("c") == k).alias(k) for k in kinds])
-
-
-@query("agg_sticker_types", f"WITH {TL_SQL} SELECT video_id, count(*) FILTER (label = 0) AS heart, count(*) FILTER (label = 1) AS arrow, count(*) FILTER (label NOT IN (0, 1)) AS other FROM tl WHERE entry_type = 'object' GROUP BY video_id")
-def agg_sticker_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = lambda c: F.count_if(F.expr(c))
-    return _of(spark, sf_dir, "object").groupBy("video_id").agg(n("label = 0").alias("heart"), n("label = 1").alias("arrow"), n("label not in (0, 1)").alias("other"))
-
-
 def _emotion_windows(spark: SparkSession, sf_dir: str, step: int) -> DataFrame:
     c = _of(spark, sf_dir, "emotion").groupBy("video_id", (F.floor(F.col("t") / step)).cast("long").alias("win"), "label").agg(F.count("*").alias("n"))
     return c.groupBy("video_id", "win").agg(F.min(F.struct((-F.col("n")).alias("m"), "label"))["label"].alias("mode_label"))
@@ -129,12 +98,6 @@ def agg_distance_dist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("video_id", "shot", dec(F.col("n") / F.sum("n").over(w)).alias("share"), (F.row_number().over(w.orderBy(F.desc("n"), "shot")) == 1).alias("dominant"))
 
 
-@query("win_distance_jump", f"WITH {_BOX_SQL}, l AS (SELECT *, lag(a) OVER (PARTITION BY video_id ORDER BY seq, p, x) AS q FROM b) SELECT video_id, count(*) FILTER (abs(a - q) > 15.005) AS jumps FROM l GROUP BY video_id")
-def win_distance_jump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = boxes(spark, sf_dir).withColumn("q", F.lag("a").over(Window.partitionBy("video_id").orderBy("seq", "p", "x")))
-    return l.groupBy("video_id").agg(F.count_if(F.coalesce(F.abs(F.col("a") - F.col("q")) > 15.005, F.lit(False))).alias("jumps"))
-
-
 @query("agg_thirds", f"WITH {TL_SQL}, b AS (SELECT video_id, CASE WHEN t < {DURATION / 3} THEN 'first' WHEN t < {DURATION * 2 / 3} THEN 'second' ELSE 'third' END AS third FROM tl WHERE entry_type = 'object') SELECT video_id, third, count(*) AS n FROM b GROUP BY ALL")
 def agg_thirds(spark: SparkSession, sf_dir: str) -> DataFrame:
     third = F.when(F.col("t") < DURATION / 3, "first").when(F.col("t") < DURATION * 2 / 3, "second").otherwise("third")
@@ -165,10 +128,10 @@ def agg_clarity_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "text").groupBy("video_id", F.floor(F.col("t") / 5).cast("long").alias("win")).agg(dec(F.avg("conf"), 2).alias("clarity"))
 
 
-@query("agg_speech_emphasis", f"WITH {SEG_SQL} SELECT video_id, count(*) AS segments, CAST(sum(words) AS BIGINT) AS words, CAST(coalesce(sum(words) / nullif(sum(end_s - start_s), 0), 0) AS DECIMAL(18,4)) AS words_per_s FROM seg WHERE start_s <= 30 GROUP BY video_id")
+@query("agg_speech_emphasis", f"WITH {SEG_SQL} SELECT video_id, count(*) AS segments, CAST(sum(words) AS BIGINT) AS words, CAST(sum(end_s - start_s) AS DECIMAL(18,4)) AS speech_s, CAST(coalesce(sum(words) / nullif(sum(end_s - start_s), 0), 0) AS DECIMAL(18,4)) AS words_per_s FROM seg GROUP BY video_id")
 def agg_speech_emphasis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = segments(spark, sf_dir).where("start_s <= 30").groupBy("video_id")
-    return s.agg(F.count("*").alias("segments"), big(F.sum("words")).alias("words"), dec(F.coalesce(F.try_divide(F.sum("words"), F.sum(F.col("end_s") - F.col("start_s"))), F.lit(0.0)), 4).alias("words_per_s"))
+    time = F.sum(F.col("end_s") - F.col("start_s"))
+    return segments(spark, sf_dir).groupBy("video_id").agg(F.count("*").alias("segments"), big(F.sum("words")).alias("words"), dec(time, 4).alias("speech_s"), dec(F.coalesce(F.try_divide(F.sum("words"), time), F.lit(0.0)), 4).alias("words_per_s"))
 
 
 @query("agg_label_summary", f"WITH {TL_SQL} SELECT label, CAST(avg(conf) AS DECIMAL(18,4)) AS mean_conf, count(*) AS n, array_to_string(list(CAST(seq AS VARCHAR) ORDER BY seq)[1:5], ',') AS first_frames FROM tl WHERE conf >= 0.3 GROUP BY label")
@@ -280,19 +243,6 @@ def matches(rows: DataFrame, keys: list[str], text: str, pattern: str) -> DataFr
     return found.where(F.size("m") > 0).select(*keys, "len", F.explode(F.arrays_zip(F.col("m").alias("match"), at.alias("at"))).alias("x")).select(*keys, "x.match", "x.at", "len")
 
 
-def _matches_query(name: str, pattern: str) -> None:
-    @query(name)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        """Matches in transcripts with an estimated time: the share of the text before the match times the speech time."""
-        s = segments(spark, sf_dir).withColumn("low", F.lower("text"))
-        found = matches(s.select("video_id", "seq", "start_s", "end_s", "low"), ["video_id", "seq", "start_s", "end_s"], "low", pattern)
-        return found.select("video_id", "seq", "match", big("at").alias("at"), dec(F.col("start_s") + (F.col("end_s") - F.col("start_s")) * F.col("at") / F.col("len"), 4).alias("at_s"))
-
-
-_matches_query("txt_hook_matches", r"(?:did you know|what if|the secret|here's how|why|that)\b")
-_matches_query("txt_cta_matches", r"(?:follow|subscribe|comment|share|link|order|for)\b")
-
-
 @query("txt_mumble", f"WITH {TL_SQL} SELECT video_id, seq FROM tl WHERE entry_type = 'text' AND coalesce(conf, 1) < 0.6")
 def txt_mumble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "text").where("coalesce(conf, 1) < 0.6").select("video_id", "seq")

@@ -115,11 +115,6 @@ def prj_type_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.coalesce(F.element_at(names, F.col("event_type")), F.lower("event_type")).alias("gesture"))
 
 
-@query("flt_conf_text", f"WITH {TL_SQL} SELECT video_id, seq FROM tl WHERE entry_type = 'text' AND conf > 0.5")
-def flt_conf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline(spark, sf_dir).where("entry_type = 'text' and conf > 0.5").select("video_id", "seq")
-
-
 @query("flt_conf_gesture", f"WITH {TL_SQL} SELECT video_id, seq, label FROM tl WHERE entry_type = 'gesture' AND conf > 0.5")
 def flt_conf_gesture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline(spark, sf_dir).where("entry_type = 'gesture' and conf > 0.5").select("video_id", "seq", "label")

@@ -223,14 +223,6 @@ def win_rank_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(density(spark, sf_dir).select("video_id", big("sec").alias("sec"), "n"), 3, [F.desc("n"), "sec"])
 
 
-@query("win_running_fold")
-def win_running_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often the dominant value changes, when only a larger one takes over: a fold in order."""
-    s = segments(spark, sf_dir).groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("seq", "words"))).alias("xs"))
-    fold = F.expr("aggregate(xs, named_struct('top', 0, 'n', 0L), (a, x) -> if(x.words > a.top, named_struct('top', x.words, 'n', a.n + 1L), a), a -> a.n)")
-    return s.select("video_id", fold.alias("dominance_changes"))
-
-
 @query("win_first_in_group", f"WITH {TL_SQL} SELECT video_id, label AS first_label FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY t, seq) AS r FROM tl WHERE entry_type = 'object' AND t < 3) WHERE r = 1")
 def win_first_in_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.min(F.struct("t", "seq", "label"))["label"]
