@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from chronomark.registry import QUERIES
 
-HEADLINE = ["agg_density_core", "agg_cooccurrence", "win_local_max", "win_level_shift", "win_islands_dead", "win_gaps_islands_shot", "bkt_5s_engagement", "join_band_le1", "join_band_lt1_first", "join_interval_overlap", "agg_speech_core", "agg_ngram_repeat", "txt_cta_keywords", "topk_cosine", "rpt_density", "rpt_pacing", "rpt_speech"]
+HEADLINE = ["agg_density_core", "agg_cooccurrence", "win_local_max", "win_level_shift", "win_islands_dead", "win_gaps_islands_shot", "bkt_5s_engagement", "join_band_le1", "join_band_lt1_first", "join_interval_overlap", "agg_speech_core", "agg_ngram_repeat", "txt_cta_keywords", "topk_cosine", "rpt_density", "rpt_pacing", "rpt_speech", "rpt_emotion", "rpt_overlay", "rpt_framing", "rpt_metadata", "rpt_markers"]
 
 
 def main() -> None:
@@ -26,9 +26,9 @@ def main() -> None:
         t = time.perf_counter()
         run(n)
         took[n] = round(time.perf_counter() - t, 3)
-    items = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct().count()
     reports = [n for n in names if n.startswith("rpt_")]
-    print(json.dumps({"metric": "headline queries, total", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1], "items": items, "items_per_sec_all_reports": round(items / sum(took[n] for n in reports), 1)}), flush=True)
+    documents = sum(QUERIES[n](spark, sf_dir).count() for n in reports)  # an item of events, speech, boxes or captions each
+    print(json.dumps({"metric": "headline queries, total", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1], "reports": documents, "reports_per_sec": round(documents / sum(took[n] for n in reports), 1)}), flush=True)
 
 
 if __name__ == "__main__":

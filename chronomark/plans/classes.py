@@ -103,17 +103,27 @@ def cls_burst_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("video_id", F.when(over("a", "m", "z"), "front_loaded").when(over("z", "a", "m"), "back_loaded").when(over("m", "a", "z"), "middle_peak").otherwise("steady").alias("pattern"))
 
 
+#: Labels whose centroids are broadcast at most, and copies of the others.
+MOST_CENTROIDS, SALTS = 4_096, 64
+
+
 @query("topk_cosine", """WITH c AS (SELECT label, i, avg(CAST(v AS DOUBLE)) AS v FROM (SELECT label, unnest(embedding) AS v, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY ALL), n AS (SELECT label, sqrt(sum(v * v)) AS n FROM c GROUP BY label),
 e AS (SELECT vec_id, unnest(embedding) AS v, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings), en AS (SELECT vec_id, sqrt(sum(CAST(v AS DOUBLE) * v)) AS n FROM e GROUP BY vec_id),
 s AS (SELECT e.vec_id, c.label, sum(CAST(e.v AS DOUBLE) * c.v) / (any_value(n.n) * any_value(en.n)) AS s FROM e JOIN c USING (i) JOIN n USING (label) JOIN en USING (vec_id) GROUP BY e.vec_id, c.label)
 SELECT vec_id, label, CAST(s AS DECIMAL(18,4)) AS cosine FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 9) DESC, label) AS r FROM s) WHERE r = 1""")
 def topk_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The label whose centroid is nearest by cosine. Centroids are as many as labels; AQE decides whether to broadcast them."""
+    """The label whose centroid is nearest by cosine. Centroids are broadcast while there are few labels; more of them are dealt
+    to salted copies, so that the one key that all rows share falls into as many tasks."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
     means = e.select("label", F.posexplode("e").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("v"))
     c = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("x")).select(F.col("label").alias("centroid"), F.transform("x", lambda p: p["v"]).alias("c"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    scored = e.drop("label").join(c, F.size("e") == F.size("c")).select("vec_id", F.col("centroid").alias("label"), (dot(F.col("e"), F.col("c")) / (F.sqrt(dot(F.col("e"), F.col("e"))) * F.sqrt(dot(F.col("c"), F.col("c"))))).alias("s"))
+    if e.select("label").distinct().count() <= MOST_CENTROIDS:
+        both = e.drop("label").join(F.broadcast(c), F.size("e") == F.size("c"))
+    else:
+        salted = c.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        both = e.drop("label").withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int")).join(salted, "salt").where(F.size("e") == F.size("c"))
+    scored = both.select("vec_id", F.col("centroid").alias("label"), (dot(F.col("e"), F.col("c")) / (F.sqrt(dot(F.col("e"), F.col("e"))) * F.sqrt(dot(F.col("c"), F.col("c"))))).alias("s"))
     best = F.min(F.struct((-F.round("s", 9)).alias("m"), "label", "s")).alias("x")
     return scored.groupBy("vec_id").agg(best).select("vec_id", "x.label", dec("x.s", 4).alias("cosine"))
 

@@ -155,9 +155,12 @@ def flt_at_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("flt_overlaps", f"WITH {SEG_SQL} SELECT a.video_id, a.seq, b.seq AS other FROM seg a JOIN seg b ON a.video_id = b.video_id AND a.seq < b.seq AND a.start_s < b.end_s + 1 AND b.start_s < a.end_s + 1")
 def flt_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = segments(spark, sf_dir).select("video_id", "seq", "start_s", "end_s")
-    b = a.toDF("video_id", "other", "bs", "be")
-    return a.join(b, "video_id").where("seq < other and start_s < be + 1 and bs < end_s + 1").select("video_id", "seq", "other")
+    """Pairs of segments that overlap or nearly do. A segment is dealt to the whole seconds that it nearly covers; a pair meets
+    in each second that both have and is kept in the first of them."""
+    a = segments(spark, sf_dir).select("video_id", "seq", "start_s", "end_s", F.explode(F.sequence(F.floor("start_s"), F.floor("end_s") + 1)).alias("sec"))
+    b = a.toDF("video_id", "other", "bs", "be", "sec")
+    near = a.join(b, ["video_id", "sec"]).where("seq < other and start_s < be + 1 and bs < end_s + 1 and sec = greatest(floor(start_s), floor(bs))")
+    return near.select("video_id", "seq", "other")
 
 
 @query("flt_keyword_any", "SELECT doc_id FROM documents WHERE regexp_matches(lower(text), 'license|rights reserved|token')")

@@ -113,17 +113,6 @@ def txt_emotion_kw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said(spark, sf_dir).select("conv_id", "turn", out.otherwise("neutral").alias("emotion"))
 
 
-@query("txt_language", "SELECT doc_id, CASE WHEN regexp_matches(lower(text), '\\b(?:el|la|los|las|que|por|con)\\b') THEN 'es' ELSE 'en' END AS guess FROM documents WHERE lang IN ('en', 'es')")
-def txt_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).where("lang in ('en', 'es')").select("doc_id", tx.script_language(F.col("text")).alias("guess"))
-
-
-@query("txt_lower_trim", "SELECT doc_id, trim(lower(left(text, 30))) AS folded, upper(left(text, 30)) = left(text, 30) AND lower(left(text, 30)) <> left(text, 30) AS is_upper, starts_with(text, 'T') AS starts_t, regexp_matches(text, '[0-9]') AS has_digit FROM documents WHERE lang = 'en'")
-def txt_lower_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.left("text", F.lit(30))
-    return docs(spark, sf_dir).where("lang = 'en'").select("doc_id", F.trim(F.lower(head)).alias("folded"), ((F.upper(head) == head) & (F.lower(head) != head)).alias("is_upper"), F.startswith("text", F.lit("T")).alias("starts_t"), F.col("text").rlike("[0-9]").alias("has_digit"))
-
-
 _NGRAM_SQL = """WITH w AS (SELECT conv_id, turn, regexp_extract_all(lower(coalesce(text, '')), '[^ \\n\\t\\r]+') AS w FROM conversations),
 g AS (SELECT conv_id, unnest(list_concat(
   CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 1], ' ')) ELSE [] END,
@@ -143,14 +132,6 @@ def agg_ngram_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(counts, 5, [F.desc("n"), "phrase"], ["conv_id"])
 
 
-@query("txt_top_terms", """WITH t AS (SELECT source, unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS term FROM documents WHERE lang = 'en'), c AS (SELECT source, term, count(*) AS n FROM t WHERE term NOT IN ('that', 'with', 'this', 'from') GROUP BY ALL)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, term) AS rank FROM c) WHERE rank <= 10""")
-def txt_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = docs(spark, sf_dir).where("lang = 'en'").select("source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("term"))
-    counts = t.where(~F.col("term").isin("that", "with", "this", "from")).groupBy("source", "term").agg(F.count("*").alias("n"))
-    return top_k(counts, 10, [F.desc("n"), "term"], ["source"])
-
-
 @query("txt_window_format", "SELECT l_orderkey, l_linenumber, CAST(l_linenumber * 5 AS VARCHAR) || '-' || CAST(l_linenumber * 5 + 5 AS VARCHAR) || 's' AS win FROM lineitem")
 def txt_window_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("l_linenumber") * 5

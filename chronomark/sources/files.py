@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+import tempfile
+import uuid
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +17,21 @@ METADATA = "id string, url string, description string, text string, duration int
 ERROR_LOG = "timestamp string, error_type string, service string, video_id string, dump_id string, expected string, got string"
 
 
+_NUMBER, _LOCAL = itertools.count(), []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share, under ``spark.checkpoint.dir``; only a local session may do without that setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not _LOCAL:
+            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="chronomark-files-"))
+        root = _LOCAL[0]
+    return f"{root.rstrip('/')}/chronomark-files/{spark.sparkContext.applicationId}/{next(_NUMBER):05d}-{uuid.uuid4().hex[:8]}-{name}"
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One document per line; a broken line becomes a row of nulls with its text in ``_corrupt``, and the others stay."""
     return spark.read.schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path)
@@ -90,3 +110,51 @@ def newest(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The newest row of every key; of equally new ones the greatest."""
     w = Window.partitionBy(key).orderBy(F.desc(order), *[F.desc(c) for c in rows.columns if c not in (key, order)])
     return rows.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
+
+
+def retained(rows: DataFrame, path: str, day: str, keep_from: str) -> DataFrame:
+    """``rows`` written by their ``day`` column, and read back without the days before ``keep_from``: what retention leaves.
+
+    A day is a folder; leaving it out prunes its files, deleting it is the store's matter.
+    """
+    rows.write.mode("overwrite").partitionBy(day).parquet(path)
+    return rows.sparkSession.read.parquet(path).where(f"{day} >= '{keep_from}'")
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether the job that writes a folder has ended well, in whatever store the folder is."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def read_binary(spark: SparkSession, path: str) -> DataFrame:
+    """Files as ``name, length, sha256, content``; a file that is there is read, not fetched again."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256"), "content")
+
+
+def batched(rows: DataFrame, key: str, order: str, size: int) -> DataFrame:
+    """``rows`` with ``batch``: consecutive batches of ``size`` rows of every key, the last one shorter."""
+    n = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
+    return rows.withColumn("batch", F.floor(n / size).cast("long"))
+
+
+def frame_checksums(frames: DataFrame, step: int = 1) -> DataFrame:
+    """``frames(name, content)`` → ``name, frame, crc``: a container's frames (lines here), every ``step``-th one, streamed in Arrow batches."""
+    import pyarrow as pa
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
+
+        for batch in it:
+            names, at, crcs = [], [], []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for k, frame in enumerate((content or b"").split(b"\n")):
+                    if k % step == 0:
+                        names.append(name)
+                        at.append(k)
+                        crcs.append(zlib.crc32(frame))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(at, pa.int64()), pa.array(crcs, pa.int64())], names=["name", "frame", "crc"])
+
+    return frames.select("name", "content").mapInArrow(batches, "name string, frame long, crc long")
+

@@ -77,3 +77,57 @@ def test_text(spark):
     assert one(spark, text.ngrams(text.words(F.col("s")), 2), s="a b c") == ["a b", "b c"]
     assert one(spark, text.ngrams(text.words(F.col("s")), 2), s="a") == []
     assert one(spark, text.truncated(F.col("s"), 3), s="abcd") == "abc..."
+
+
+def test_rounding_is_that_of_the_double(spark):
+    import random
+
+    from chronomark.plans.formats import round_half_even
+
+    rng = random.Random(4)
+    xs = [2.675, 1.005, 0.125, 0.375, 2.5, 1.115, 0.0, -2.675, -0.125] + [rng.randrange(1, 10**6) / 1000 for _ in range(2000)] + [rng.uniform(0.01, 9e5) for _ in range(2000)]
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double").select("i", round_half_even(F.col("x")).alias("r")).collect()
+    assert all(float(r["r"]) == round(xs[r["i"]], 2) for r in got)
+
+
+@pytest.mark.parametrize(("said", "category", "topic"), [
+    ("Follow for more", "cta", "other_text"), ("SHOP NOW", "headline", "urgency_phrases"), ("#fyp", "hashtag", "other_text"), ("50 percent off", "numbers", "other_text"),
+    ("What is this?", "caption", "questions"), ("twenty character item", "subtitle", "product_mentions"), ("x" * 31, "headline", "other_text"), ("ok", "caption", "other_text"),
+])
+def test_overlay_classes(spark, said, category, topic):
+    from chronomark.plans import overlays
+
+    assert one(spark, overlays.category(F.col("s")), s=said) == category
+    assert one(spark, overlays.topic(F.col("s")), s=said) == topic
+
+
+def test_dominant_size_moves_by_over_half_the_mean(spark):
+    from chronomark.plans.overlays import dominant
+
+    row = spark.createDataFrame([([10, 14, 30, 20, 12], 8.6)], "s array<long>, h double").select(dominant().alias("f")).first()["f"]
+    assert (row["size"], row["moves"]) == (20, 2)  # 10, 10, 30, 20 and 20: 12 is less than 8.6 away
+
+
+def test_text_blocks(spark):
+    from chronomark.plans.formats import text_blocks
+
+    text = "before\nCoreMetrics:\n a\nb \nDynamics\n\nother\nQuality::\nz"
+    got = spark.createDataFrame([(text,)], "t string").select(text_blocks(F.col("t")).alias("b")).first()["b"]
+    assert [(r["block"], r["content"]) for r in got] == [("CoreMetrics", "a\nb"), ("Dynamics", "\nother"), ("Quality", "z")]
+
+
+def test_prefix_and_paths(spark):
+    from chronomark.plans.formats import key_paths, strip_prefix
+
+    assert [one(spark, strip_prefix(F.col("s"), "density"), s=x) for x in ("densityCoreMetrics", "densityx", "density", "other")] == ["CoreMetrics", "X", "density", "other"]
+    paths = spark.createDataFrame([('{"a":1,"b":{"c":1},"d":[{"e":2},{"f":3}],"g":[1]}',)], "j string").select(F.expr(key_paths("j")).alias("p")).first()["p"]
+    assert sorted(paths) == ["a", "b", "b.c", "d", "d[0].e", "g"]
+
+
+def test_phrases_and_their_times(spark):
+    from chronomark.plans.features import matches
+    from chronomark.plans.rules import CTA_PATTERNS, _pattern
+
+    df = spark.createDataFrame([(1, "please follow me, unfollow no; share with a friend")], "video_id long, low string")
+    got = sorted((r["match"], r["at"]) for r in matches(df, ["video_id", "low"], "low", _pattern("engagement", CTA_PATTERNS["engagement"], True)).collect())
+    assert got == [("follow", 7), ("share", 31)]

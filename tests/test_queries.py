@@ -1,6 +1,7 @@
 """Every registered query against its SQL in DuckDB, on the smallest tables."""
 
 import glob
+import json
 import os
 
 import duckdb
@@ -61,8 +62,21 @@ def test_reports_have_one_document_an_item(spark, name):
     assert len({r["video_id"] for r in rows}) == len(rows) > 0
 
 
+SIX = {"rpt_density": "density", "rpt_pacing": "scenePacing", "rpt_speech": "speech", "rpt_emotion": "emotional", "rpt_overlay": "visualOverlay", "rpt_framing": "personFraming", "rpt_metadata": "metadata"}
+
+
+@pytest.mark.parametrize("name", sorted(SIX))
+def test_reports_have_six_blocks_of_json(spark, name):
+    from chronomark.plans.reports import BLOCKS
+
+    df = QUERIES[name](spark, SF)
+    assert df.columns == ["video_id", *[SIX[name] + b for b in BLOCKS]]
+    for r in df.collect():
+        assert all(isinstance(json.loads(r[c]), dict) and json.loads(r[c]) for c in df.columns[1:])
+
+
 def test_markers_agree_with_their_parts(spark):
     rows = {r["video_id"]: r for r in QUERIES["rpt_markers"](spark, SF).collect()}
     for p in QUERIES["win_local_max"](spark, SF).collect():
-        assert (p["rank"], p["sec"], p["activity"]) in [tuple(x) for x in rows[p["video_id"]]["peak_moments"]]
-    assert all(0 <= x["engagement"] <= 1 for r in rows.values() for x in r["engagement_curve"])
+        assert (p["rank"], p["sec"], float(p["activity"])) in [(x["rank"], x["sec"], float(x["activity"])) for x in json.loads(rows[p["video_id"]]["peak_moments"])]
+    assert all(0 <= x["engagement"] <= 1 for r in rows.values() for x in json.loads(r["engagement_curve"]))

@@ -25,9 +25,20 @@ def test_windows(spark, folder):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("video_id", "start", "n", "total").collect()))
 
 
-def test_sessions_and_duplicates(spark, folder):
-    got = st.run_available(st.session_clusters(st.read_events(spark, folder), gap="30 hours", delay="0 seconds"), "ses")
-    assert got.count() >= 0
+def test_sessions_close_under_the_watermark(spark, tmp_path):
+    hours = {0: [0, 1, 2, 100, 101, 500], 1: [0, 50, 51, 500]}
+    base = dt.datetime(2024, 1, 1)
+    rows = sorted((h, v) for v, hs in hours.items() for h in hs)
+    path = str(tmp_path / "sessions")
+    for k in range(3):
+        part = [(10 * n + k, base + dt.timedelta(hours=h), v, "click", 1.0, "{}") for n, (h, v) in enumerate(rows) if (h >= 50) + (h >= 500) == k]
+        spark.createDataFrame(part, st.EVENTS).coalesce(1).write.mode("append").parquet(path)
+    got = st.run_available(st.session_clusters(st.read_events(spark, path, 1), gap="5 hours", delay="1 hour"), "ses")
+    closed = sorted((r["video_id"], int((r["start"] - base).total_seconds()) // 3600, int((r["end"] - base).total_seconds()) // 3600, r["n"]) for r in got.collect())
+    assert closed == [(0, 0, 7, 3), (0, 100, 106, 2), (1, 50, 56, 2)]  # the sessions at 500 hours are open, single ones are none
+
+
+def test_duplicates_within_the_watermark(spark, folder):
     spark.read.parquet(folder).write.mode("append").parquet(folder + "2")
     spark.read.parquet(folder).write.mode("append").parquet(folder + "2")
     assert st.run_available(st.deduplicated(st.read_events(spark, folder + "2")), "dup").count() == 60
