@@ -236,13 +236,6 @@ def prj_keyframe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shots(spark, sf_dir).select("video_id", "seq", F.floor((F.floor(F.col("t") * 30) + F.floor((F.col("t") + F.col("d")) * 30)) / 2).cast("long").alias("frame"))
 
 
-def matches(rows: DataFrame, keys: list[str], text: str, pattern: str) -> DataFrame:
-    """A row per match with its place: the text between matches gives the offset of each, natively."""
-    found = rows.select(*keys, F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)).alias("m"), F.split(text, pattern, -1).alias("s"), F.char_length(text).alias("len"))
-    at = F.expr("transform(sequence(1, greatest(size(m), 1)), i -> aggregate(slice(s, 1, i), 0, (x, p) -> x + char_length(p)) + aggregate(slice(m, 1, i - 1), 0, (x, p) -> x + char_length(p)))")
-    return found.where(F.size("m") > 0).select(*keys, "len", F.explode(F.arrays_zip(F.col("m").alias("match"), at.alias("at"))).alias("x")).select(*keys, "x.match", "x.at", "len")
-
-
 @query("txt_mumble", f"WITH {TL_SQL} SELECT video_id, seq FROM tl WHERE entry_type = 'text' AND coalesce(conf, 1) < 0.6")
 def txt_mumble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _of(spark, sf_dir, "text").where("coalesce(conf, 1) < 0.6").select("video_id", "seq")

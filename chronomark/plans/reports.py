@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chronomark.functions import text as tx
 from chronomark.operators.timeline import band_exists, islands, spine
-from chronomark.plans import rules
+from chronomark.plans import buckets, rules  # noqa: F401  the markers are made of registered queries
 from chronomark.plans._base import ORACLE_SQL, QUERIES, query
 from chronomark.plans.features import boxes
 from chronomark.plans.overlays import CLS_OVERLAY_SQL, TECHNIQUES, overlay_facts

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronomark.functions import text as tx
-from chronomark.operators.timeline import band_exists, sessions
+from chronomark.operators.timeline import band_exists
 from chronomark.plans._base import big, dec, query
 from chronomark.plans.aggregates import DENS_SQL, density
-from chronomark.plans.features import _BOX_SQL, boxes, matches
+from chronomark.plans.features import _BOX_SQL, boxes
 from chronomark.plans.joins import inside
 from chronomark.plans.overlays import named, named_sql
 from chronomark.plans.windows import SHOT_SQL, shots
@@ -363,15 +363,28 @@ def _found_sql(patterns: dict[str, list[str]]) -> str:
     return f"mm AS ({' UNION ALL '.join(parts)}), mi AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM mm), ma AS (SELECT video_id, kind, m[i] AS match, CAST({at} AS BIGINT) AS place, words, speech_s, len(regexp_extract_all(left(low, CAST({at} AS BIGINT)), '[^ \\n\\t\\r]+')) AS before FROM mi), found AS (SELECT video_id, kind, match, place, CASE WHEN words > 0 THEN before / words * speech_s ELSE 0 END AS at_s, speech_s FROM ma)"
 
 
+def phrases(patterns: dict[str, list[str]]) -> Column:
+    """Of a row of ``transcripts`` ``array<struct<kind, match, place, at_s>>``: what is found of all kinds, by kind and place.
+
+    The texts between matches tell where they are; the time is the share of words before times the speech time.
+    """
+    def of(kind: str, pattern: str) -> Column:
+        rows = F.transform(F.regexp_extract_all("low", F.lit(f"({pattern})"), F.lit(1)), lambda m, i: F.struct(F.lit(kind).alias("kind"), m.alias("match"), i.alias("i")))
+        between = F.split("low", pattern, -1)
+        upto = lambda a, n, length: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda x, y: x + length(y))
+        placed = F.transform(rows, lambda r: r.withField("place", upto(between, r["i"] + 1, F.char_length) + upto(rows, r["i"], lambda y: F.char_length(y["match"]))))
+        return F.when(F.col("low").rlike(pattern), placed).otherwise(F.slice(placed, 1, 0))
+
+    parts = [of(kind, _pattern(kind, words, True)) for kind, words in patterns.items()]
+    whole = F.concat(*parts)
+    before = lambda r: F.size(tx.words(F.left("low", r["place"])))
+    return F.transform(whole, lambda r: F.struct(r["kind"].alias("kind"), r["match"].alias("match"), big(r["place"]).alias("place"), F.when(F.col("words") > 0, before(r) / F.col("words") * F.col("speech_s")).otherwise(0.0).alias("at_s")))
+
+
 def found(spark: SparkSession, sf_dir: str, patterns: dict[str, list[str]]) -> DataFrame:
-    """``video_id, kind, match, place, at_s, speech_s``: phrases in a transcript; the time is the share of words before times the speech time."""
-    t = transcripts(spark, sf_dir)
-    out = None
-    for kind, phrases in patterns.items():
-        m = matches(t, ["video_id", "low", "words", "speech_s"], "low", _pattern(kind, phrases, True)).withColumn("kind", F.lit(kind))
-        out = m if out is None else out.unionByName(m)
-    before = F.size(tx.words(F.left("low", F.col("at").cast("int"))))
-    return out.select("video_id", "kind", "match", big("at").alias("place"), F.when(F.col("words") > 0, before / F.col("words") * F.col("speech_s")).otherwise(0.0).alias("at_s"), "speech_s")
+    """``video_id, kind, match, place, at_s, speech_s``: a row for every phrase in a transcript."""
+    x = transcripts(spark, sf_dir).select("video_id", "speech_s", F.explode(phrases(patterns)).alias("x"))
+    return x.select("video_id", "x.kind", "x.match", "x.place", "x.at_s", "speech_s")
 
 
 @query("txt_hook_matches", f"WITH {TRANSCRIPT_SQL}, {_found_sql(HOOK_PATTERNS)} SELECT video_id, kind, match, place, CAST(at_s AS DECIMAL(18,4)) AS at_s FROM found")
@@ -461,10 +474,10 @@ SPEECH_SCORES = {
 
 def speech_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``words, speech_s, wpm, hooks, opening, ctas, clusters, pauses, dramatic, gesture, face, repeated, direct, questions, filler`` of a transcript."""
-    t = transcripts(spark, sf_dir)
-    hn = found(spark, sf_dir, HOOK_PATTERNS).groupBy("video_id").agg(F.count("*").alias("hooks"), F.count_if(F.col("at_s") < 3).alias("opening"))
-    ct = found(spark, sf_dir, CTA_PATTERNS).select("video_id", F.col("at_s").alias("t"), F.struct("place", "kind").alias("seq"))
-    cn = sessions(ct, 5.0).groupBy("video_id", "session").agg(F.count("*").alias("c")).groupBy("video_id").agg(F.sum("c").alias("ctas"), F.count_if(F.col("c") >= 2).alias("clusters"))
+    t = transcripts(spark, sf_dir).select("*", phrases(HOOK_PATTERNS).alias("hk"), F.array_sort(F.transform(phrases(CTA_PATTERNS), lambda c: c["at_s"])).alias("ct"))
+    # a cluster counts when its second call comes, under five seconds after its first
+    clusters = F.expr("aggregate(ct, named_struct('last', -1e9, 'n', 0, 'c', 0L), (a, x) -> named_struct('last', x, 'n', if(x - a.last < 5, a.n + 1, 1), 'c', a.c + if(x - a.last < 5 and a.n = 1, 1L, 0L)), a -> a.c)")
+    t = t.select("video_id", "low", "words", "speech_s", big(F.size("hk")).alias("hooks"), big(F.size(F.filter("hk", lambda h: h["at_s"] < 3))).alias("opening"), big(F.size("ct")).alias("ctas"), clusters.alias("clusters"))
     seg = segments(spark, sf_dir)
     gp = seg.withColumn("g", F.col("start_s") - F.lag("end_s").over(Window.partitionBy("video_id").orderBy("start_s", "seq")))
     is_ = lambda c: F.count_if(F.coalesce(F.expr(c), F.lit(False)))
@@ -475,7 +488,7 @@ def speech_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ng = w.select("video_id", F.explode(F.concat(F.slice(tx.ngrams(F.col("w"), 2), F.lit(1), F.size("w") - 2), tx.ngrams(F.col("w"), 3))).alias("ph"))
     ng = ng.where(~F.col("ph").rlike("the|and|for") & ~((F.size(F.split("ph", " ")) == 2) & F.col("ph").rlike("you|this")))
     nr = ng.groupBy("video_id", "ph").agg(F.count("*").alias("c")).where("c >= 2").groupBy("video_id").agg(F.least(F.lit(5), F.count("*")).alias("repeated"))
-    x = t.join(gn, "video_id").join(hn, "video_id", "left").join(cn, "video_id", "left").join(sn, "video_id", "left").join(nr, "video_id", "left").na.fill(0, ["hooks", "opening", "ctas", "clusters", "with_gesture", "faces", "repeated"])
+    x = t.join(gn, "video_id").join(sn, "video_id", "left").join(nr, "video_id", "left").na.fill(0, ["with_gesture", "faces", "repeated"])
     per = lambda a, b: F.when(F.col(b) > 0, F.try_divide(a, F.col(b))).otherwise(0.0)
     return x.select("video_id", "words", "speech_s", "segments", per(F.col("words") * 60, "speech_s").alias("wpm"), "hooks", F.least(F.col("opening") / 2, F.lit(1.0)).alias("opening"), "ctas", "clusters", "pauses", "dramatic", (F.col("with_gesture") / F.col("segments")).alias("gesture"), per(F.col("faces"), "speech_s").alias("face"), "repeated",
                     tx.whole_words(F.col("low"), tx.DIRECT).alias("direct"), F.regexp_count("low", F.lit(_QUESTION)).alias("questions"), per(tx.whole_words(F.col("low"), tx.FILLERS), "words").alias("filler"))

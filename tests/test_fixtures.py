@@ -125,9 +125,8 @@ def test_prefix_and_paths(spark):
 
 
 def test_phrases_and_their_times(spark):
-    from chronomark.plans.features import matches
-    from chronomark.plans.rules import CTA_PATTERNS, _pattern
+    from chronomark.plans.rules import CTA_PATTERNS, phrases
 
-    df = spark.createDataFrame([(1, "please follow me, unfollow no; share with a friend")], "video_id long, low string")
-    got = sorted((r["match"], r["at"]) for r in matches(df, ["video_id", "low"], "low", _pattern("engagement", CTA_PATTERNS["engagement"], True)).collect())
-    assert got == [("follow", 7), ("share", 31)]
+    df = spark.createDataFrame([(1, "please follow me, unfollow no; share with a friend", 9, 18.0)], "video_id long, low string, words int, speech_s double")
+    got = [tuple(r) for r in df.select(phrases(CTA_PATTERNS).alias("p")).first()["p"]]
+    assert got == [("engagement", "follow", 7, 2.0), ("engagement", "share", 31, 10.0), ("viral", "share with", 31, 10.0)]
