@@ -41,8 +41,9 @@ def unescape(text: Column) -> Column:
 def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """``conv_id, window int, formatted string, loss_spans array<struct<start int, end int>>, cost int``; spans count code points.
 
-    Turns come in the order of ``turn``, ties by role and text. Defined cases: null text and role are empty; a null conv_id
-    is one conversation; repeated rows are turns of their own; other columns are ignored.
+    Turns come in the order of ``turn``, a null one first, ties by role and text. Defined cases: null text and role are empty; a
+    null conv_id is one conversation; repeated rows are turns of their own; a very long turn has a window of its own, which is
+    over the budget; an empty table gives no rows; other columns, whatever their names, are ignored.
     """
     body, role = escape(F.coalesce("text", F.lit(""))), escape(F.coalesce("role", F.lit("")))
     turn = F.struct("turn", role.alias("role"), body.alias("body"), (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(TOKEN)) + MARKS).alias("cost"))
@@ -91,6 +92,7 @@ def conversation_digests(windows: DataFrame) -> DataFrame:
 
 
 def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations as read back from their windows; cases as in ``format_windows``."""
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], said.schema)

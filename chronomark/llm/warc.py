@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from chronomark.llm._common import materialize, open_filesystem, shared_path, slots, table
 
 LEAST_BYTES = 100
+#: Repeated digests (some 100 bytes each) that are broadcast at most.
+BROADCAST_DIGESTS = 200_000
 PACKAGE_BYTES = 64_000_000
 SLICE_RECORDS = 2_000
 DATE = "2024-01-01T00:00:00Z"
@@ -165,12 +167,17 @@ def zip_members(f, size: int) -> dict[str, tuple[int, int]]:
 
 
 def record_types(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """``page_id, url, html, payload_digest, revisit, refers_to`` per row."""
+    """``page_id, url, payload, payload_bytes, payload_digest, revisit, refers_to`` per row.
+
+    The digests that occur more than once are found by narrow rows. They are sent to all executors while there are at most
+    ``BROADCAST_DIGESTS`` of them, so payloads stay where they are; beyond that payloads are joined with them by a shuffle.
+    """
     raw = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     hashed = pages.select(F.col("page_id").cast("long"), "url", raw.alias("payload"), F.sha2(raw, 256).alias("payload_digest"))
     narrow = hashed.where(F.octet_length("payload") >= least).select("page_id", "payload_digest")
     firsts = narrow.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n")
-    joined = hashed.join(firsts, "payload_digest", "left")
+    firsts = materialize(firsts, "repeated-payloads")
+    joined = hashed.join(F.broadcast(firsts) if firsts.count() <= BROADCAST_DIGESTS else firsts, "payload_digest", "left")
     revisit = F.coalesce((F.col("page_id").isNull() | (F.col("page_id") != F.col("first"))) & (F.octet_length("payload") >= least) & F.col("first").isNotNull(), F.lit(False))
     return joined.select("page_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", revisit.alias("revisit"), F.when(revisit, F.col("first")).alias("refers_to"))
 
@@ -266,7 +273,13 @@ def read_archives(packages: DataFrame, slice_records: int = SLICE_RECORDS) -> Da
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages → packages → pages. Null html is an empty payload; a null page_id makes a record without a number."""
+    """Pages → packages → pages.
+
+    Null html is an empty payload; a null url is written empty; a null page_id makes a record without a number, which revisits
+    but is never referred to while its payload has another. Of repeated rows each is a record: those of the least page_id with
+    an equal payload (ties) are responses all, the others revisits. A very long payload is a record of a row's size; an
+    empty table gives no packages and no rows; other columns, whatever their names, are ignored.
+    """
     packages = write_archives(record_types(table(spark, sf_dir, "pages")), shared_path(spark, "warc"))
     return read_archives(packages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

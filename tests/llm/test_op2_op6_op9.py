@@ -50,6 +50,27 @@ def test_best_fit_keeps_every_capacity(criterion):
         packing.best_fit(np.array([1001]), 1000, 5, 10**9, (1, 0, 0))
 
 
+@pytest.mark.parametrize("criterion", ["norm", "dot"])
+def test_best_fit_against_brute_force(criterion):
+    """Every placement by the definition: the open bin that can hold the piece under all capacities and scores best, the first of equals."""
+    rng = np.random.default_rng(9)
+    for tokens, docs, cost in ((100, 4, 6000), (100, 100, 10_000), (64, 3, 64 * 64)):
+        lengths = rng.integers(1, 60, 120)
+        w = (1.0, 0.3, 0.1)
+        got, _ = packing.best_fit(lengths, tokens, docs, cost, w, criterion)
+        bins, want = [], [0] * len(lengths)
+        for i in np.argsort(-lengths, kind="stable"):
+            need = np.array([lengths[i] / tokens, 1 / docs, lengths[i] ** 2 / cost])
+            scores = {b: (sum(k * (r - x) ** 2 for k, r, x in zip(w, room, need, strict=True)) if criterion == "norm" else -sum(k * r * x for k, r, x in zip(w, room, need, strict=True))) for b, room in enumerate(bins) if (room - need >= -1e-12).all()}
+            b = min(scores, key=lambda k: round(scores[k], 12)) if scores else len(bins)
+            if not scores:
+                bins.append(np.ones(3))
+            bins[b] = bins[b] - need
+            want[i] = b
+        used = lambda x: sorted(sorted(lengths[np.array(x) == b].tolist()) for b in set(np.array(x).tolist()))
+        assert used(got) == used(want)
+
+
 @pytest.mark.parametrize("domain", [2, 10, 97, 1000])
 def test_permute_is_a_permutation(domain):
     assert sorted(pii.permute(i, domain, b"k", "t") for i in range(domain)) == list(range(domain))
