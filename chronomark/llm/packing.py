@@ -79,7 +79,10 @@ class ChunkTokenizer:
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of new chunks; those too long for the cache are returned instead."""
         cache, forms, words, whole = self.cache, [], {}, []
-        for c in chunks:
+        # most new chunks are words in lower case that stand for themselves: the tokenizer changes nothing in them
+        plain = [c for c in chunks if c.islower() and c.isalpha() and len(c) <= CACHE_CHUNK and (c.isascii() or max(c) < "\u0250")]
+        self._learn_words(plain)
+        for c in set(chunks).difference(plain):
             body = c.rstrip(_MARKS)
             if len(c) <= CACHE_CHUNK and body.isalpha():
                 tail = c[len(body) :]
