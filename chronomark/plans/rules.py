@@ -114,13 +114,15 @@ _EXPECTED_EMOTIONS = max(1, DURATION // 10)
 
 
 def emotion_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``n, kinds, changes, sure`` (mean confidence)``, surprised, aligned`` (share with a gesture near)``, reveals`` of every item."""
+    """``n, kinds, changes, sure`` (mean confidence)``, surprised, aligned`` (share with a gesture near)``, reveals`` of every item.
+
+    Confidences are added up in order of time, so that the mean's last bits do not depend on how rows were dealt."""
     tl = timeline(spark, sf_dir)
     w = Window.partitionBy("video_id").orderBy("t", "seq")
-    e = tl.where("entry_type = 'emotion'").select("video_id", "seq", "t", "label", "conf", F.lag("label").over(w).alias("p"))
+    e = tl.where("entry_type = 'emotion'").select("video_id", "seq", "t", "label", "conf", F.lag("label").over(w).alias("p"), F.sum("conf").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("so_far"))
     near = band_exists(e, tl.where("entry_type = 'gesture'"), 1.0).groupBy("video_id").agg(F.count("*").alias("near"))
     is_ = lambda c: F.count_if(F.coalesce(F.expr(c), F.lit(False)))
-    a = e.groupBy("video_id").agg(F.count("*").alias("n"), F.countDistinct("label").alias("kinds"), is_("label <> p").alias("changes"), F.avg("conf").alias("sure"), F.bool_or(F.col("label") == 4).alias("surprised"), is_("p = 6 and label in (0, 4)").alias("reveals"))
+    a = e.groupBy("video_id").agg(F.count("*").alias("n"), F.countDistinct("label").alias("kinds"), is_("label <> p").alias("changes"), (F.max_by("so_far", F.struct("t", "seq")) / F.count("*")).alias("sure"), F.bool_or(F.col("label") == 4).alias("surprised"), is_("p = 6 and label in (0, 4)").alias("reveals"))
     x = tl.select("video_id").distinct().join(a, "video_id", "left").join(near, "video_id", "left")
     x = x.withColumn("aligned", F.coalesce(F.try_divide("near", "n"), F.lit(0.0))).drop("near")
     return x.na.fill(0, ["n", "changes", "reveals"]).na.fill(1, ["kinds"]).na.fill(0.5, ["sure"]).na.fill(False, ["surprised"])

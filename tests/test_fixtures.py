@@ -130,3 +130,38 @@ def test_phrases_and_their_times(spark):
     df = spark.createDataFrame([(1, "please follow me, unfollow no; share with a friend", 9, 18.0)], "video_id long, low string, words int, speech_s double")
     got = [tuple(r) for r in df.select(phrases(CTA_PATTERNS).alias("p")).first()["p"]]
     assert got == [("engagement", "follow", 7, 2.0), ("engagement", "share", 31, 10.0), ("viral", "share with", 31, 10.0)]
+
+
+def test_decimals_round_the_scaled_double(spark):
+    from decimal import Decimal
+
+    import duckdb
+
+    from chronomark.plans._base import dec
+
+    xs = [0.3025625, 0.2692875, 2.5e-6, -2.5e-6, 1.0000005, 123456.7890125, 0.0, None, *[(i + 0.5) / 1e6 for i in range(1000, 9000, 7)], *[-(i + 0.5) / 1e6 for i in range(1000, 9000, 7)]]
+    want = [r[0] for r in duckdb.sql(f"SELECT CAST(CAST(unnest({[x for x in xs if x is not None]}::DOUBLE[]) AS DOUBLE) AS DECIMAL(18,6))").fetchall()]
+    got = spark.createDataFrame(list(enumerate(xs)), "i int, x double").select("i", dec("x").alias("d")).orderBy("i").collect()
+    assert [r["d"] for r in got if r["d"] is not None] == want and got[7]["d"] is None
+    assert one(spark, dec(F.col("x")), x=float("nan")) is None and one(spark, dec(F.col("x"), 2), x=1.005) == Decimal("1.00")
+
+
+def events(spark, tmp_path, rows):
+    """A folder with an ``events`` table of (id, seconds of media time, user, kind, value)."""
+    at = "timestamp'2024-01-01' + make_dt_interval(0, 0, 0, cast(t * 86400 as decimal(18,6)))"
+    df = spark.createDataFrame(rows, "event_id long, t double, user_id long, event_type string, value double")
+    df.select("event_id", F.expr(f"cast({at} as timestamp_ntz)").alias("ts"), "user_id", "event_type", "value", F.format_string('{"k": %d}', F.col("event_id") % 7).alias("props")).repartition(5).write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+def test_mean_confidence_is_added_in_order_of_time(spark, tmp_path):
+    """In another order the sum of these confidences has other last bits, and the mean falls on the other side of a rounding tie."""
+    from chronomark.plans.rules import emotion_facts
+
+    rows = [(i, 0.5 + i * 1e-3, v, "signup", 100 * ((i * 7919 + v) % 9973) / 1e4) for v in range(20) for i in range(200)]
+    got = {r["video_id"]: r["sure"] for r in emotion_facts(spark, events(spark, tmp_path, rows)).collect()}
+    for v in range(20):
+        total = 0.0
+        for _, _, w, _, value in rows:
+            total += value / 100 if w == v else 0.0
+        assert got[v] == total / 200
