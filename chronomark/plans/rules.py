@@ -37,10 +37,17 @@ DENSITY_CLASS = [("m < 1", "sparse"), ("m <= 5", "moderate")]
 COGNITIVE_LOAD = [("m < 2", "minimal"), ("m <= 4", "optimal")]
 
 
+def deviation(n: str) -> Column:
+    """Population deviation of whole numbers from exact sums: at ties no order of rows decides."""
+    x = F.col(n).cast("decimal(18,0)")
+    count, total, squares = F.count(n).cast("decimal(18,0)"), F.sum(x), F.sum(x * x)
+    return F.sqrt((count * squares.cast("decimal(18,0)") - total.cast("decimal(18,0)") * total.cast("decimal(18,0)")).cast("double")) / F.count(n)
+
+
 def density_facts(d: DataFrame) -> DataFrame:
     """Of ``video_id, sec, n``: total, mean ``m``, deviation ``s``, extremes, busy seconds, means of the first and last third ``a, z`` and of the end ``e``."""
     part = lambda c: F.avg(F.when(F.expr(c), F.col("n")))
-    return d.groupBy("video_id").agg(F.sum("n").alias("total"), F.avg("n").alias("m"), F.stddev_pop("n").alias("s"), F.max("n").alias("most"), F.min("n").alias("least_"), F.count_if(F.col("n") > 0).alias("busy"), part(f"sec < {_THIRD}").alias("a"), part(f"sec >= {DURATION - _THIRD}").alias("z"), part(f"sec >= {DURATION - 5}").alias("e"))
+    return d.groupBy("video_id").agg(F.sum("n").alias("total"), F.avg("n").alias("m"), deviation("n").alias("s"), F.max("n").alias("most"), F.min("n").alias("least_"), F.count_if(F.col("n") > 0).alias("busy"), part(f"sec < {_THIRD}").alias("a"), part(f"sec >= {DURATION - _THIRD}").alias("z"), part(f"sec >= {DURATION - 5}").alias("e"))
 
 
 @query("cls_density", f"{DENSITY_FACTS_SQL} SELECT video_id, {_steps_sql(ACCELERATION, 'even')} AS pacing_style, {_steps_sql(DENSITY_CLASS, 'dense')} AS class, {_steps_sql(COGNITIVE_LOAD, 'challenging')} AS cognitive_load, {named_sql(*DENSITY_FLAGS)} AS flags FROM f")

@@ -165,3 +165,47 @@ def test_mean_confidence_is_added_in_order_of_time(spark, tmp_path):
         for _, _, w, _, value in rows:
             total += value / 100 if w == v else 0.0
         assert got[v] == total / 200
+
+
+def test_deviation_at_ties(spark):
+    """Means of 3 and deviations of 1.5, exactly: not over half the mean, in any order."""
+    from chronomark.plans.rules import density_facts
+
+    import random
+
+    rows = []
+    for v in range(60):
+        n = [1] * 9 + [5] * 9 + [3] * 2 + [2] * 2 + [4] * 2 + [1, 5] * 3
+        n[:2] = [1, 5]
+        random.Random(v).shuffle(n)
+        rows += [(v, s, x) for s, x in enumerate(n)]
+    d = spark.createDataFrame(rows, "video_id long, sec int, n long")
+    n = [x for v, _, x in rows if v == 0]
+    s = (len(n) * sum(x * x for x in n) - sum(n) ** 2) ** 0.5 / len(n)
+    assert {r["s"] for r in density_facts(d).collect()} == {s}
+
+
+def test_peaks_of_a_mean_added_in_order_of_time(spark, tmp_path):
+    """The least value is 1.2 times the mean or just beside it; only the order of time says which."""
+    from chronomark.plans.classes import win_emotion_peaks
+
+    rows = []
+    for v in range(60):
+        low = [float((i * 7919 + v * 31) % 60 + 1) for i in range(47)]
+        while sum(low) * 1.2 % (48 - 1.2) > 1e-9 and len(low) < 60:  # until the tie is a whole number
+            low[0] += 1.0
+            if low[0] > 60:
+                low[0], low[1] = 1.0, low[1] + 1.0
+            if low[1] > 60:
+                break
+        top = round(1.2 * sum(low) / (48 - 1.2))
+        rows += [(i, 0.5 + i * 1e-3, v, "signup", float(x)) for i, x in enumerate([*low, top])]
+    got = {(r["video_id"], r["seq"]) for r in win_emotion_peaks(spark, events(spark, tmp_path, rows)).collect()}
+    want = set()
+    for v in range(60):
+        conf = [x / 100 for _, _, w, _, x in rows if w == v]
+        total = 0.0
+        for c in conf:
+            total += c
+        want |= {(v, i) for i in [i for i, c in enumerate(conf) if c > 1.2 * (total / 48)][:3]}
+    assert got == want
