@@ -103,7 +103,7 @@ def _curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = [F.count_if(F.col("entry_type") == v).alias(k) for k, v in _KINDS.items()]
     seconds = timeline(spark, sf_dir).groupBy("video_id", F.floor("t").cast("int").alias("sec")).agg(F.count("*").alias("n"), *n)
     grid = spine(seconds.select("video_id").distinct(), DURATION).join(seconds, ["video_id", "sec"], "left").na.fill(0)
-    return grid.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("sec", "n", *_KINDS))).alias("c"), F.sum("n").alias("total"), F.avg("n").alias("m"), F.stddev_pop("n").alias("s"), F.max("n").alias("most"), F.min("n").alias("least_"), F.count_if(F.col("n") > 0).alias("busy"), *[F.sum(k).alias(f"all_{k}") for k in _KINDS], F.avg(F.when(F.col("sec") < DURATION // 3, F.col("n"))).alias("a"), F.avg(F.when(F.col("sec") >= DURATION - DURATION // 3, F.col("n"))).alias("z"), F.avg(F.when(F.col("sec") >= DURATION - 5, F.col("n"))).alias("e"))
+    return grid.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("sec", "n", *_KINDS))).alias("c"), F.sum("n").alias("total"), F.avg("n").alias("m"), rules.deviation("n").alias("s"), F.max("n").alias("most"), F.min("n").alias("least_"), F.count_if(F.col("n") > 0).alias("busy"), *[F.sum(k).alias(f"all_{k}") for k in _KINDS], F.avg(F.when(F.col("sec") < DURATION // 3, F.col("n"))).alias("a"), F.avg(F.when(F.col("sec") >= DURATION - DURATION // 3, F.col("n"))).alias("z"), F.avg(F.when(F.col("sec") >= DURATION - 5, F.col("n"))).alias("e"))
 
 
 _ACTIVE = "array_compact(array(" + ", ".join(f"if(x.{k} > 0, '{_NAMES[k]}', null)" for k in _KINDS) + "))"
