@@ -160,7 +160,11 @@ def sort_lexical_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("win_emotion_peaks", f"WITH {TL_SQL}, e AS (SELECT *, avg(conf) OVER (PARTITION BY video_id) AS m FROM tl WHERE entry_type = 'emotion') SELECT video_id, seq, rank FROM (SELECT video_id, seq, row_number() OVER (PARTITION BY video_id ORDER BY t, seq) AS rank FROM e WHERE conf > 1.2 * m) WHERE rank <= 3")
 def win_emotion_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = timeline(spark, sf_dir).where("entry_type = 'emotion'").withColumn("m", F.avg("conf").over(Window.partitionBy("video_id"))).where("conf > 1.2 * m")
+    """Confidences are added up in order of time: where one is 1.2 times the mean, the sum's last bits decide, and no other order may."""
+    w = Window.partitionBy("video_id").orderBy("t", "seq")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    e = timeline(spark, sf_dir).where("entry_type = 'emotion'").withColumn("so_far", F.sum("conf").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    e = e.withColumn("m", F.last("so_far").over(whole) / F.count("conf").over(whole)).where("conf > 1.2 * m")
     return top_k(e, 3, ["t", "seq"]).select("video_id", "seq", "rank")
 
 
