@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import itertools
 import os
 import tempfile
@@ -84,9 +87,13 @@ _CACHES: dict[str, dict] = {}
 
 
 def worker_cache(name: str) -> dict:
-    """What a Python worker keeps between tasks, for one operator at a time: a worker that turns to another drops it."""
-    for other in [k for k in _CACHES if k != name]:
-        del _CACHES[other]
+    """What a Python worker keeps between tasks, for one operator at a time: a worker that turns to another drops it, and its memory goes back to the system."""
+    if name not in _CACHES:
+        _CACHES.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
     return _CACHES.setdefault(name, {})
 
 

@@ -224,6 +224,7 @@ def pack(pieces: DataFrame, max_tokens: int = MAX_TOKENS, max_docs: int | None =
     n = partitions_for(pieces.sparkSession, pieces.count(), group, 1)
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker_cache("packing")
         frames = [f for f in it if len(f)]
         if not frames:
             return

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronomark.llm._common import materialize, partitions_for, shared_path, table
+from chronomark.llm._common import materialize, partitions_for, shared_path, table, worker_cache
 from chronomark.llm.quality import Model
 
 KEY = b"chronomark surrogate key"
@@ -346,6 +346,7 @@ _ENTITY = pa.schema([("kind", pa.string()), ("norm", pa.string()), ("m", pa.int6
 
 
 def _entity_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_cache("entities")
     for batch in batches:
         found: dict[tuple[str, str], Counter] = {}
         for t in batch.column(0).to_pylist():

@@ -32,7 +32,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every class of near copies (five-word shingles, similarity 0.8) the document of least doc_id stays, a null one last.
+    """Of every class of near copies the document of least doc_id stays, a null one last. Links: op 7's fingerprints at two bits or fewer; five-word shingles at a similarity of 0.8.
 
     Ties of the id: the least hash of the text, then of all columns; repeated rows leave one; texts without words are one class."""
     return keep_one_near_copy(docs)

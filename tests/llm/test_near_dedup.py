@@ -41,3 +41,22 @@ def test_stage_against_brute_force(spark):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(least.values())
     assert cp.simhash_near_dedup(spark, _docs.empty(spark), "").count() == 0
+
+
+def test_stage_links_fingerprints(spark):
+    """Texts whose fingerprints are two bits apart or fewer and whose shingles are unlike: one of them stays, and what is like either goes too."""
+    line = "the same few words of one line over and over again "
+    a, b = line * 30 + "alpha beta gamma delta", line * 12 + "one two three four five six seven"
+    other = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, a, "en", "s", 0, 1, "k", 2), (8, b, "en", "s", 0, 1, "k", 2), (9, other, "en", "s", 0, 1, "k", 2), (10, a + " epsilon", "en", "s", 0, 1, "k", 2)]
+    assert bin((simhash.simhash(a.encode()) ^ simhash.simhash(b.encode())) & (1 << 64) - 1).count("1") <= 2
+    assert len(_shingles(a) & _shingles(b)) < 0.8 * len(_shingles(a) | _shingles(b))
+    kept = cp.simhash_near_dedup(spark, spark.createDataFrame(rows, _docs.SCHEMA), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [7, 9]
+
+
+def test_stage_keeps_no_two_of_a_simhash_class(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = [r["doc_id"] for r in cp.simhash_near_dedup(spark, docs, "").select("doc_id").collect()]
+    classes = {r["doc_id"]: r["component_id"] for r in simhash.simhash_classes(docs).select("doc_id", "component_id").collect()}
+    assert len({classes[i] for i in kept}) == len(kept)
