@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomark.llm._common import as_bytes, materialize, table
+from chronomark.llm._common import as_bytes, materialize, table, worker_cache
 from chronomark.llm.quality import _mix
 
 ORDER = 3
@@ -209,10 +209,12 @@ def _in_groups(rows: DataFrame, parts: int, keys: list[str], of: Callable[[_Rows
     at = [rows.columns.index(k) for k in keys]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("lm")
         held: _Rows = []
         for batch in it:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and [row[i] for i in at] != [held[0][i] for i in at]:
+            for i in range(batch.num_rows):  # one by one: a batch can hold all rows of several groups
+                row = tuple(c[i].as_py() for c in batch.columns)
+                if held and [row[k] for k in at] != [held[0][k] for k in at]:
                     yield from of(held)
                     held = []
                 held.append(row)
@@ -256,11 +258,24 @@ class Exchange:
         return [[np.cumsum(a, dtype=np.uint64) if i % 2 == 0 else a for i, a in enumerate(_unpack(r[3]))] for r in rows]
 
     def _merged(self, asked: list[list[np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys, summed counts, and the key of every entry."""
-        distinct, _, inverse = _distinct(np.concatenate([a[2 * k] for a in asked]))
-        total = np.bincount(inverse, weights=np.concatenate([a[2 * k + 1] for a in asked]), minlength=len(distinct)).astype("<u8")
+        """Distinct keys, summed counts, and the key of every entry. The entries of ``k`` in ``asked`` are given up."""
+        keys = self._taken(asked, 2 * k)
+        distinct, _, inverse = _distinct(keys)
+        del keys
+        total = np.bincount(inverse, weights=self._taken(asked, 2 * k + 1), minlength=len(distinct)).astype("<u8")
         return distinct, total, inverse
 
+    @staticmethod
+    def _taken(asked: list[list[np.ndarray]], i: int) -> np.ndarray:
+        whole = np.concatenate([a[i] for a in asked])
+        for a in asked:
+            a[i] = a[i][:0].copy()
+        return whole
+
+    def _sizes(self, asked: list[list[np.ndarray]]) -> list[np.ndarray]:
+        """By order, where the entries of each row begin; taken before ``_merged``."""
+        return [np.cumsum([0, *[len(a[2 * k]) for a in asked]]) for k in range(self.order)]
+
     def merge(self, rows: _Rows, level: int) -> Iterator[pa.RecordBatch]:
         """Rows of several blocks in one range → their sum, divided among the ranges of the next level."""
         asked = self._asked(rows)
@@ -268,26 +283,30 @@ class Exchange:
         first = rows[0][1] * self.fanout
         yield from self.divided(rows[0][4], level + 1, first, min(first + self.fanout, self.ranges(level + 1)), [m[0] for m in merged], [m[1] for m in merged], 0)
 
-    def _replies(self, rows: _Rows, asked: list[list[np.ndarray]], totals: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def _replies(self, rows: _Rows, sizes: list[np.ndarray], totals: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         """``totals``: by order, the corpus counts and the key of every entry."""
-        sizes = [np.cumsum([0, *[len(a[2 * k]) for a in asked]]) for k in range(self.order)]
         for i, (block, shard, check, *_) in enumerate(rows):
             yield _row(block, shard, check, _pack([total[inverse[s[i] : s[i + 1]]] for (total, inverse), s in zip(totals, sizes, strict=True)]))
 
     def answer(self, rows: _Rows) -> Iterator[pa.RecordBatch]:
         """Corpus counts for every row of a shard; and one row with the tokens and types here."""
         asked = self._asked(rows)
-        merged = [self._merged(asked, k) for k in range(self.order)]
-        yield from self._replies(rows, asked, [(total, inverse) for _, total, inverse in merged])
-        real = merged[0][1][merged[0][0] != _U(_START)]
+        sizes, totals, real = self._sizes(asked), [], np.zeros(0)
+        for k in range(self.order):
+            distinct, total, inverse = self._merged(asked, k)
+            totals.append((total, inverse))
+            real = total[distinct != _U(_START)] if k == 0 else real
+            del distinct
+        yield from self._replies(rows, sizes, totals)
         yield _row(-1, rows[0][1], int(real.sum()), np.array([(real > 0).sum()], "<i8").tobytes())
 
     def pass_on(self, rows: _Rows) -> Iterator[pa.RecordBatch]:
         """Rows that were merged, and the answers to the ranges that they were divided into (by place) → answers to each."""
         asking = [r for r in rows if r[5] < 0]
         asked = self._asked(asking)
+        sizes = self._sizes(asked)
         counts = [_unpack(r[3]) for r in sorted((r for r in rows if r[5] >= 0), key=lambda r: r[5])]
-        yield from self._replies(asking, asked, [(np.concatenate([c[k] for c in counts]), self._merged(asked, k)[2]) for k in range(self.order)])
+        yield from self._replies(asking, sizes, [(np.concatenate([c[k] for c in counts]), self._merged(asked, k)[2]) for k in range(self.order)])
 
     def corpus_counts(self, asks: DataFrame) -> DataFrame:
         """What blocks sent (level 1) → a row with corpus counts for each, and one a shard with its tokens and types (block -1)."""

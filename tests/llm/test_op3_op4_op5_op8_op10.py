@@ -292,3 +292,22 @@ def test_lm_probabilities_sum_to_one(spark):
     first = [math.log10(10 ** got[h]) for h in held]
     assert len(first) == 5
     assert lm_scoring.lm_scores(d.limit(0)).count() == 0
+
+
+def test_a_shard_gives_its_entries_up_as_they_are_merged():
+    """Peak of a shard's answer, as a multiple of the entries that it was asked for."""
+    import tracemalloc
+
+    rng = random.Random(3)
+    exchange = lm_scoring.Exchange(3, 1, 12, 64)
+    rows, raw = [], 0
+    for b in range(12):
+        block = lm_scoring.Block.of([b], [" ".join(f"w{rng.randrange(40_000)}" for _ in range(30_000)).encode()])
+        keys, counts = zip(*block.counted(3, 1), strict=True)
+        raw += sum(x.nbytes for x in (*keys, *counts))
+        rows += [(b, 0, block.check, r.column(3)[0].as_py()) for r in exchange.divided(b, 1, 0, 1, keys, counts, block.check)]
+    tracemalloc.start()
+    n = sum(1 for _ in exchange.answer(rows))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 13 and peak < 3 * raw, peak / raw
