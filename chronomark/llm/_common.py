@@ -12,6 +12,7 @@ import threading
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 _LOCAL_ROOT: list[str] = []
 _LOCK = threading.Lock()
 _COUNTER = itertools.count()
+_U = np.uint64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +49,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/chronomark/{app}/{next(_COUNTER):05d}-{uuid.uuid4().hex[:8]}-{name}"
 
 
+@contextlib.contextmanager
+def without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run inside go when it has run, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut, nothing is kept on one executor."""
     spark = df.sparkSession
@@ -97,6 +111,15 @@ def worker_cache(name: str) -> dict:
     return _CACHES.setdefault(name, {})
 
 
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of two 64-bit hashes, in order."""
+    x = a * _U(0x9E3779B97F4A7C15) + ((b << _U(31)) | (b >> _U(33))) * _U(0xC2B2AE3D27D4EB4F)
+    x ^= x >> _U(29)
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(32)
+    return x
+
+
 def as_bytes(values: Iterable) -> list[bytes]:
     """Texts of an Arrow binary column as bytes; null counts as empty."""
     return [v if v is not None else b"" for v in values]

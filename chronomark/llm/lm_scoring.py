@@ -37,8 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomark.llm._common import as_bytes, materialize, table, worker_cache
-from chronomark.llm.quality import _mix
+from chronomark.llm._common import _mix, as_bytes, materialize, table, worker_cache
 
 ORDER = 3
 #: Smoothing of contexts of one word, of two and so on; the last one holds for longer ones too.

@@ -405,7 +405,7 @@ def _exceptions(given: DataFrame) -> Model | None:
 
     path = shared_path(spark, "pii-attempts")
     other.mapInArrow(keyed, "shard int, key long, a float, b float").repartition(1 << bits, "shard").write.partitionBy("shard").parquet(path)
-    return Model(path, bits, {})
+    return Model(path, bits)
 
 
 def replace(texts: list[str | None], exceptions: Model | None, key: bytes = KEY) -> list[tuple[str | None, list[str]]]:

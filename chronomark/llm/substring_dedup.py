@@ -212,7 +212,7 @@ def _keyed(rows: DataFrame, column: str, name: str) -> Model:
     path = shared_path(spark, name)
     one = F.lit(1.0).cast("float")
     rows.select(shard.alias("shard"), "key", one.alias("a"), one.alias("b")).repartition(1 << bits, "shard").write.partitionBy("shard").parquet(path)
-    return Model(path, bits, {})
+    return Model(path, bits)
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, pieces: Callable[[list[bytes]], Iterator[tuple[int, np.ndarray]]]) -> DataFrame:

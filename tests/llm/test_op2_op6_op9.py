@@ -231,6 +231,25 @@ def test_kneser_ney_against_brute_force(spark):
         assert r["n_tokens"] == len(w) - 2 and r["log10_prob"] == pytest.approx(want, rel=1e-4)
 
 
+def test_all_training_documents_count(spark):
+    """Over 1,000 training documents of a language, many blocks and shards: every n-gram of every one counts, as word for word."""
+    rng = __import__("random").Random(9)
+    texts = [" ".join([f"w{int(rng.paretovariate(0.6)) % 500}" for _ in range(rng.randint(0, 20))] + [f"own{i}"]) for i in range(3000)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3, "doc_id").cache()
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(2500)], "doc_id long, quality int, toxic int")
+    pool = {r["doc_id"] for r in quality._labelled(docs, labels).where("not held_out").collect()}
+    model = quality.fit(docs, labels, shard_bytes=15_000, block_bytes=25_000)
+    assert len(pool) > 1900 and model.shards > 4 and model.stats[0, quality._CLEAN] == len(pool)
+    p, vocabulary = _kneser_ney([texts[i] for i in sorted(pool)])
+    assert sum(v.startswith("own") for v in vocabulary) == len(pool)
+    for few in (quality._scored_rows(docs, model, block_bytes=30_000), quality._scored_rows(docs, model)):  # in rounds, in one
+        out = few.collect()
+        assert sorted(r["doc_id"] for r in out) == list(range(3000))
+        for r in out[::10]:
+            w = ["<s>", "<s>", *quality.tokens_of(texts[r["doc_id"]]), "</s>"]
+            assert r["n_tokens"] == len(w) - 2 and r["log10_prob"] == pytest.approx(sum(np.log10(p(*g)) for g in zip(w, w[1:], w[2:], strict=False)), rel=1e-9)
+
+
 def test_classifier_cases(spark):
     docs = _docs.frame(spark, n=150)
     labels = spark.createDataFrame([(i, 1 if i % 2 else 0, 0) for i in range(150)] + [(3, 0, 0), (5, None, 1)], "doc_id long, quality int, toxic int")
