@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 4_000_000
 _LOCAL_ROOT: list[str] = []
 _LOCK = threading.Lock()
 _COUNTER = itertools.count()
@@ -50,17 +51,25 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 @contextlib.contextmanager
-def without_shuffle_files(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of what is run inside go when it has run, not when the driver happens to collect its garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
+def without_shuffle_files(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Shuffle files of what is run inside go when it has run, not when the driver happens to collect its garbage."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def in_small_batches(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Python gets rows in batches of ``BATCH_BYTES``; else a task's rows can be one batch, which the JVM and Python both hold whole."""
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut, nothing is kept on one executor."""
     spark = df.sparkSession
@@ -97,6 +106,15 @@ def open_filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def discard(uri: str) -> None:
+    """Remove an intermediate folder that nothing reads any more, if it is there."""
+    from pyarrow import fs
+
+    store, path = open_filesystem(uri)
+    if store.get_file_info(path).type == fs.FileType.Directory:
+        store.delete_dir(path)
+
+
 _CACHES: dict[str, dict] = {}
 
 

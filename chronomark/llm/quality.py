@@ -7,7 +7,9 @@ Fitting: trusted rows are those that all labels call good and none toxic. A fift
 out for the thresholds; all others train, whole. Blocks of them send their distinct trigrams with counts to the shards of the
 trigram's last two words. A shard adds the counts up, so that it has the words before each pair (the pair's count), and sends what
 contexts (the counts of what follows) and words (the pairs that end in them) get to their shards. The model is counts,
-not weights: discounts follow from counts of counts that are added up over all shards.
+not weights: discounts follow from counts of counts that are added up over all shards. A shard is added up slice by slice
+(``SLICE`` n-grams, by ranges of the middle word or of the key, in which all rows are sorted), so that what a task holds
+besides its packed rows does not grow with them.
 
 Scoring: a block of documents sends its distinct words, pairs and trigrams to the shards, gets their counts back, and adds up
 the logarithms of its own texts. So a shard is read by its own tasks only, and a task has a shard or a block, at any size. Keys are a shard
@@ -34,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomark.llm._common import _mix, materialize, open_filesystem, shared_path, table, without_shuffle_files, worker_cache
+from chronomark.llm._common import _mix, discard, in_small_batches, materialize, open_filesystem, shared_path, table, without_shuffle_files, worker_cache
 from chronomark.llm.lm_scoring import _KEY_BITS, _ROW_DDL, _deltas, _distinct, _in_groups, _pack, _row, _Rows, _shard_of, _unpack
 
 LEAST_DOCS = 20
@@ -47,6 +49,8 @@ QUANTILE = 0.99
 SHARD_BYTES = 16_000_000
 BLOCK_BYTES = 12_000_000
 ROUNDS = 4
+#: N-grams that a task works on at a time.
+SLICE = 250_000
 #: N-grams of shards that a worker keeps (``Model``).
 CACHED_ENTRIES = 6_000_000
 #: Words that count for the toxicity of a text; toxic training documents that have a word with a weight, and its least weight.
@@ -179,7 +183,7 @@ class Model:
 _LOW = _U((1 << _KEY_BITS) - 1)
 #: Rows between blocks, shards and documents; ``check`` tells what a row holds.
 _TRIGRAMS, _TOXIC, _DOCS = 0, 1, 2
-_OWN, _OTHERS = 0, 3
+_OWN, _OTHERS, _KEPT = 0, 3, 4
 #: Columns of a model's statistics: counts of the counts 1 to 4 of trigrams, pairs, words; sum and number of words' counts; documents.
 _SUM, _KINDS, _CLEAN, _BAD, _STATS = 12, 13, 14, 15, 16
 
@@ -201,7 +205,25 @@ def _narrow(a: np.ndarray) -> np.ndarray:
 
 def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     distinct, _, at = _distinct(keys)
-    return distinct, [np.bincount(at, weights=v, minlength=len(distinct)).astype(np.int64) for v in values]
+    return distinct, [_narrow(np.bincount(at, weights=v, minlength=len(distinct))) for v in values]
+
+
+def _joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """The arrays of all parts one after the other, column by column; the parts are given up."""
+    out = []
+    for i in range(len(parts[0])):
+        out.append(np.concatenate([p[i] for p in parts]))
+        for p in parts:
+            p[i] = None
+    return out
+
+
+def _ranges(sorted_: list[np.ndarray], size: int) -> list[np.ndarray]:
+    """Where to cut each of some sorted arrays, so that equal values meet in one range and a range has about ``size`` of them over all."""
+    step = max(1, size // 64)
+    some = np.sort(np.concatenate([x[::step] for x in sorted_]))
+    borders = np.unique(some[64::64])
+    return [np.concatenate(([0], np.searchsorted(x, borders), [len(x)])) for x in sorted_]
 
 
 def _context(counts: np.ndarray) -> list[np.ndarray]:
@@ -274,77 +296,105 @@ def _count_of_counts(stats: np.ndarray, at: int, model: np.ndarray, counts: np.n
 
 
 def _merged(rows: _Rows, shards: int, models: int) -> Iterator[pa.RecordBatch]:
-    """A shard's trigrams of all blocks → its trigrams and pairs with their counts, and what contexts and words get, by their shard."""
+    """A shard's trigrams of all blocks → its trigrams (for the model) and pairs with their counts, and what contexts and words get, by their shard."""
     me, stats = rows[0][1], np.zeros((models, _STATS), np.int64)
     grams: list[list[np.ndarray]] = []
     words: list[list[np.ndarray]] = []
-    for _, _, kind, data in rows:
+    while rows:
+        _, _, kind, data = rows.pop()
         a = _unpack(data)
         if kind == _DOCS:
             stats[:, [_CLEAN, _BAD]] += a[0].reshape(models, 2)
         elif kind == _TOXIC:
             words.append([_sorted_keys(a[0]), *a[1:]])
         else:
-            vocabulary = _sorted_keys(a[0])
-            grams.append([*(vocabulary[x] for x in a[2:5]), a[1][a[4]], a[5]])
+            grams.append([_sorted_keys(a[0]), *a[1:]])
+    a = data = None
     if words:
-        key, m, clean, bad = (np.concatenate(x) for x in zip(*words, strict=True))
+        key, m, clean, bad = _joined(words)
         distinct, place, at = _distinct(key)
         bad = np.bincount(at, weights=bad, minlength=len(distinct))
         some = bad >= TOXIC_WORD_DOCS
         clean = np.bincount(at, weights=clean, minlength=len(distinct))[some]
         yield _row(me, me, _TOXIC, _pack([_deltas(distinct[some]), _narrow(m[place][some]), _narrow(clean), _narrow(bad[some])]))
+        key = m = clean = bad = distinct = place = at = some = None
     if not grams:
-        yield _row(me, me, _OWN, _pack([stats.ravel(), *[np.zeros(0, "<u8")] * 4]))
+        yield _row(me, me, _OWN, _pack([stats.ravel(), *[np.zeros(0, "<u8")] * 2]))
         return
-    u, v, w, m, c = (np.concatenate(x) for x in zip(*grams, strict=True))
-    del grams
-    before = _mix(u, v)
-    key, place, at = _distinct(_mix(before, w))
-    c3 = np.bincount(at, weights=c).astype(np.int64)
-    before, u, v, w, m = _place(before, before, shards)[place], None, v[place], w[place], m[place]
-    _count_of_counts(stats, 0, m, c3)
-    contexts, follow = _summed(before, *_context(c3))
-    after = _mix(v, w)
-    pairs, place, at = _distinct(_place(after, after, shards))
-    c2 = np.bincount(at)
-    v, w, m = v[place], w[place], m[place]
-    _count_of_counts(stats, 4, m, c2)
-    key = (_U(me) << _U(_KEY_BITS)) | (key & _LOW)
-    order = np.argsort(key)
-    yield _row(me, me, _OWN, _pack([stats.ravel(), _deltas(key[order]), _narrow(c3[order]), _deltas(pairs), _narrow(c2)]))
-    word, none = np.concatenate([_place(w, w, shards), _place(v, v, shards)]), np.zeros(len(w), np.int64)
-    own, place, at = _distinct(word)
-    of = np.concatenate([m, m])[place]
-    values = [np.bincount(at, weights=np.concatenate(x)) for x in [(none + 1, none), *((none, x) for x in _context(c2))]]
-    cut, cuts = _cuts(contexts, shards), _cuts(own, shards)
+    cuts = _ranges([g[0][g[3]] for g in grams], SLICE)
+    trigrams, contexts, pairs, words = [], [], [], []
+    for k in range(len(cuts[0]) - 1):
+        parts = []
+        for (vocabulary, of, *places, counts), cut in zip(grams, cuts, strict=True):
+            some = slice(cut[k], cut[k + 1])
+            parts.append([*(vocabulary[x[some]] for x in places), of[places[2][some]], counts[some]])
+        u, v, w, m, c = _joined(parts)
+        before = _mix(u, v)
+        key, place, at = _distinct(_mix(before, w))
+        c3 = np.bincount(at, weights=c).astype(np.int64)
+        trigrams.append([(_U(me) << _U(_KEY_BITS)) | (key & _LOW), _narrow(c3)])
+        before, v, w, m = _place(before, before, shards)[place], v[place], w[place], m[place]
+        _count_of_counts(stats, 0, m, c3)
+        key, values = _summed(before, *_context(c3))
+        contexts.append([key, *values])
+        after = _mix(v, w)
+        key, place, at = _distinct(after)
+        c2 = np.bincount(at)
+        pairs.append([_place(key, key, shards), _narrow(c2)])
+        v, w, m = v[place], w[place], m[place]
+        _count_of_counts(stats, 4, m, c2)
+        word, none = np.concatenate([_place(w, w, shards), _place(v, v, shards)]), np.zeros(len(w), np.int64)
+        own, place, at = _distinct(word)
+        values = [np.bincount(at, weights=np.concatenate(x)) for x in [(none + 1, none), *((none, x) for x in _context(c2))]]
+        words.append([own, np.concatenate([m, m])[place], *map(_narrow, values)])
+    grams.clear()
+    u = v = w = m = c = c2 = c3 = before = after = word = none = own = key = place = at = values = parts = cuts = None
+    for kind, parts in ((_KEPT, trigrams), (_OWN, pairs)):
+        key, count = _joined(parts)
+        order = np.argsort(key)
+        yield _row(me, me, kind, _pack([*[stats.ravel()] * (kind == _OWN), _deltas(key[order]), count[order]]))
+    contexts, words = _joined(contexts), _joined(words)
+    for arrays in (contexts, words):
+        order = np.argsort(arrays[0])
+        arrays[:] = [x[order] for x in arrays]
+    (own, of), values = words[:2], words[2:]
+    own, place, at = _distinct(own)
+    words = [own, of[place], *(np.bincount(at, weights=x) for x in values)]
+    cut, cuts = _cuts(contexts[0], shards), _cuts(words[0], shards)
     for s in range(shards):
         if cut[s] < cut[s + 1] or cuts[s] < cuts[s + 1]:
             a, b = slice(cut[s], cut[s + 1]), slice(cuts[s], cuts[s + 1])
-            yield _row(me, s, _OTHERS, _pack([_deltas(contexts[a]), *(_narrow(x[a]) for x in follow), _deltas(own[b]), _narrow(of[b]), *(_narrow(x[b]) for x in values)]))
+            yield _row(me, s, _OTHERS, _pack([_deltas(contexts[0][a]), *(_narrow(x[a]) for x in contexts[1:]), _deltas(words[0][b]), *(_narrow(x[b]) for x in words[1:])]))
 
 
 def _united(parts: list[list[np.ndarray]], n: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Sums over rows of sorted keys and ``n`` values."""
     if not parts:
         return np.zeros(0, np.uint64), [np.zeros(0, np.int64)] * n
-    keys, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
-    return _summed(keys, *values)
+    cuts = _ranges([p[0] for p in parts], SLICE)
+    out = []
+    for k in range(len(cuts[0]) - 1):
+        keys, *values = _joined([[x[c[k] : c[k + 1]] for x in p] for p, c in zip(parts, cuts, strict=True)])
+        keys, values = _summed(keys, *values)
+        out.append([keys, *values])
+    parts.clear()
+    keys, *values = _joined(out)
+    return keys, values
 
 
 def _complete(rows: _Rows, models: int) -> Iterator[pa.RecordBatch]:
     """All that came for a shard → its part of the model, of the statistics and of the toxic words."""
     me, stats = rows[0][1], np.zeros((models, _STATS), np.int64)
-    trigrams, pairs, words, owner = [np.zeros(0, "<u8"), np.zeros(0, "<u1")], [], [], []
-    for _, _, kind, data in rows:
+    pairs, words, owner = [], [], []
+    while rows:
+        _, _, kind, data = rows.pop()
         if kind == _TOXIC:
             yield _row(me, me, _TOXIC, data)
             continue
         a = _unpack(data)
         if kind == _OWN:
             stats += a[0].reshape(models, _STATS)
-            trigrams = [a[1], a[2]] if len(a[1]) else trigrams
-            pairs.append([_sorted_keys(a[3]), a[4], *[np.zeros(len(a[4]), "<u1")] * 4])
+            pairs.append([_sorted_keys(a[1]), a[2], *[np.zeros(len(a[2]), "<u1")] * 4])
         else:
             pairs.append([_sorted_keys(a[0]), np.zeros(len(a[0]), "<u1"), *a[1:5]])
             words.append([_sorted_keys(a[5]), *a[7:]])
@@ -359,7 +409,7 @@ def _complete(rows: _Rows, models: int) -> Iterator[pa.RecordBatch]:
         _count_of_counts(stats, 8, m, c1)
         stats[:, _SUM] += np.bincount(m, weights=c1, minlength=models).astype(np.int64)
         stats[:, _KINDS] += np.bincount(m[c1 > 0], minlength=models)
-    yield _row(me, me, _TRIGRAMS, _pack([_deltas(word), *map(_narrow, of_word), _deltas(pair), *map(_narrow, of_pair), *trigrams]))
+    yield _row(me, me, _TRIGRAMS, _pack([_deltas(word), *map(_narrow, of_word), _deltas(pair), *map(_narrow, of_pair)]))
     yield _row(me, me, _DOCS, _pack([stats.ravel()]))
 
 
@@ -369,8 +419,8 @@ def _complete(rows: _Rows, models: int) -> Iterator[pa.RecordBatch]:
 class NgramModel:
     """Where the counts are, and what the models need besides them. Small: it is sent with the tasks."""
 
-    def __init__(self, path: str, shards: int, names: list[str], stats: np.ndarray):
-        self.path, self.shards, self.stats = path, shards, stats
+    def __init__(self, path: str, trigrams: str, shards: int, names: list[str], stats: np.ndarray):
+        self.path, self.trigrams, self.shards, self.stats = path, trigrams, shards, stats
         self.number = {x: i for i, x in enumerate(names) if stats[i, _CLEAN] > 0}
         self.toxic = frozenset(x for x in self.number if stats[self.number[x], _BAD] >= LEAST_DOCS)
         #: By order (words, pairs, trigrams), model and count.
@@ -383,11 +433,11 @@ class NgramModel:
         """The language's own model, or the one that is shared."""
         return (lang or "") if (lang or "") in self.number else POOLED
 
-    def _blobs(self, kind: int, k: int) -> list[bytes]:
+    def _blobs(self, folder: str) -> list[bytes]:
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        store, path = open_filesystem(f"{self.path}/check={kind}/shard={k}")
+        store, path = open_filesystem(folder)
         found = [f.path for f in store.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet")]
         return [b for f in sorted(found) for b in pq.ParquetFile(store.open_input_file(f)).read(["data"]).column("data").to_pylist()]
 
@@ -396,7 +446,8 @@ class NgramModel:
         kept = worker_cache("kn")
         if kept.get("shard", (None,))[0] != (self.path, k):
             kept.pop("shard", None)
-            a = [x for b in self._blobs(_TRIGRAMS, k) for x in _unpack(b)] or [np.zeros(0, "<u8")] * 14
+            a = [x for b in self._blobs(f"{self.path}/check={_TRIGRAMS}/shard={k}") for x in _unpack(b)] or [np.zeros(0, "<u8")] * 12
+            a += [x for b in self._blobs(f"{self.trigrams}/check={_KEPT}/kept={k}") for x in _unpack(b)] or [np.zeros(0, "<u8")] * 2
             kept["shard"] = (self.path, k), [(_sorted_keys(a[i]), a[i + 1 : j]) for i, j in ((0, 6), (6, 12), (12, 14))]
         return kept["shard"][1]
 
@@ -404,7 +455,7 @@ class NgramModel:
         """Sorted hashes and weights of toxic words."""
         kept = worker_cache("kn")
         if kept.get("lexicon", (None,))[0] != self.path:
-            parts = [_unpack(b) for k in range(self.shards) for b in self._blobs(_TOXIC, k)]
+            parts = [_unpack(b) for k in range(self.shards) for b in self._blobs(f"{self.path}/check={_TOXIC}/shard={k}")]
             key = np.concatenate([_sorted_keys(p[0]) for p in parts]) if parts else np.zeros(0, np.uint64)
             m, clean, bad = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in (1, 2, 3))
             m = m.astype(np.int64)
@@ -471,23 +522,28 @@ class _Grams:
 def _logs(h: np.ndarray, first: np.ndarray, models: np.ndarray, counts: list[np.ndarray], model: NgramModel) -> np.ndarray:
     """log10 probability of each text, given the counts of its n-grams; ``models``: each text's."""
     grams = _Grams(h, first, model.shards)
-    at = grams.at
-    m = np.repeat(models, np.diff(np.append(first, len(h))))[at]
-    words, pairs, c3 = [x.astype(np.int64) for x in counts[:5]], [x.astype(np.int64) for x in counts[5:10]], counts[10].astype(np.int64)
+    of = np.repeat(models.astype(np.int32), np.diff(np.append(first, len(h))))
     d1, d2, d3 = model.discounts
-    less = lambda c, d: np.maximum(c - d[m, np.minimum(c, 3)], 0.0)
 
-    def back(of: list[np.ndarray], i: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        total, n1, n2, n3 = (x[i] for x in of[1:])
-        return np.maximum(total, 1), np.where(total > 0, (d[m, 1] * n1 + d[m, 2] * n2 + d[m, 3] * n3) / np.maximum(total, 1), 1.0)
+    def of_slice(at: np.ndarray, which: np.ndarray) -> np.ndarray:
+        m = of[at]
+        some = lambda c, i: c[i].astype(np.int64)
+        less = lambda c, d: np.maximum(c - d[m, np.minimum(c, 3)], 0.0)
+
+        def back(counts: list[np.ndarray], i: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            total, n1, n2, n3 = (some(c, i) for c in counts)
+            return np.maximum(total, 1), np.where(total > 0, (d[m, 1] * n1 + d[m, 2] * n2 + d[m, 3] * n3) / np.maximum(total, 1), 1.0)
+
+        p = less(some(counts[0], grams.word[at]), d1) / model.total[m] + model.unseen[m]
+        total, gamma = back(counts[1:5], grams.word[at - 1], d2)
+        p = less(some(counts[5], grams.pair[at - 1]), d2) / total + gamma * p
+        total, gamma = back(counts[6:10], grams.pair[at - 2], d3)
+        p = less(some(counts[10], which), d3) / total + gamma * p
+        return np.log10(np.maximum(p, 1e-30))
 
-    p = less(words[0][grams.word[at]], d1) / model.total[m] + model.unseen[m]
-    total, gamma = back(words, grams.word[at - 1], d2)
-    p = less(pairs[0][grams.pair[at - 1]], d2) / total + gamma * p
-    total, gamma = back(pairs, grams.pair[at - 2], d3)
-    p = less(c3[grams.trigram], d3) / total + gamma * p
     logs = np.zeros(len(h))
-    logs[at] = np.log10(np.maximum(p, 1e-30))
+    for k in range(0, len(grams.at), SLICE):
+        logs[grams.at[k : k + SLICE]] = of_slice(grams.at[k : k + SLICE], grams.trigram[k : k + SLICE])
     return np.add.reduceat(logs, first)
 
 
@@ -542,8 +598,12 @@ def _scored(data: bytes, replies: list[tuple[int, bytes]], model: NgramModel) ->
     if not replies:
         return batch
     first, models, vocabulary, index = _unpack(data[16 + size :])
-    answers = [_unpack(d) for _, d in sorted(replies, key=lambda r: r[0])]
-    logs = _logs(_sorted_keys(vocabulary)[index], first, models, [np.concatenate(x) for x in zip(*answers, strict=True)], model)
+    replies.sort(key=lambda r: r[0])
+    answers = []
+    while replies:
+        answers.append(_unpack(replies.pop(0)[1]))
+    counts = _joined(answers)
+    logs = _logs(_sorted_keys(vocabulary)[index], first, models, counts, model)
     n = batch.column(4).to_pylist()
     both = [None] * unscored + [x if k > 1 else None for x, k in zip(logs.tolist(), n[unscored:], strict=True)]
     return batch.set_column(5, _SCORED.field(5), pa.array(both, pa.float64()))
@@ -586,13 +646,17 @@ def fit(docs: DataFrame, labels: DataFrame, shard_bytes: int = SHARD_BYTES, bloc
             yield from _learned(block, names, shards, number)
 
     merged = _in_groups(texts.mapInArrow(learned, _ROW_DDL), shards, ["shard"], lambda rows: _merged(rows, shards, len(names)))
-    path = shared_path(spark, "kn-model")
-    with without_shuffle_files(spark):
-        _in_groups(merged, shards, ["shard"], lambda rows: _complete(rows, len(names))).write.partitionBy("check", "shard").parquet(path)
+    counted, path = shared_path(spark, "kn-trigrams"), shared_path(spark, "kn-model")
+    with without_shuffle_files(spark), in_small_batches(spark):
+        merged.withColumn("kept", F.when(F.col("check") == _KEPT, F.col("shard")).otherwise(-1)).write.partitionBy("check", "kept").parquet(counted)
+        sent = spark.read.schema("block long, shard int, data binary, check long, kept int").parquet(counted).where(F.col("check") != _KEPT).select("block", "shard", "check", "data")
+        _in_groups(sent, shards, ["shard"], lambda rows: _complete(rows, len(names))).write.partitionBy("check", "shard").parquet(path)
+    for kind in (_OWN, _TOXIC, _OTHERS):  # they are in the model
+        discard(f"{counted}/check={kind}")
     stats = np.zeros((len(names), _STATS), np.int64)
     for r in spark.read.schema("block long, data binary, check int, shard int").parquet(path).where(F.col("check") == _DOCS).select("data").toLocalIterator():  # a number or sixteen a model and shard
         stats += _unpack(bytes(r["data"]))[0].reshape(stats.shape)
-    return NgramModel(path, shards, names, stats)
+    return NgramModel(path, counted, shards, names, stats)
 
 
 def _scored_rows(docs: DataFrame, model: NgramModel, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -625,17 +689,22 @@ def _scored_rows(docs: DataFrame, model: NgramModel, block_bytes: int = BLOCK_BY
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("kn")
-        whole: dict[int, tuple[int, bytes]] = {}
-        replies: dict[int, list[tuple[int, bytes]]] = {}
+        current, whole, replies = None, None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 block, shard, check, data = (c[i].as_py() for c in batch.columns)
+                if block != current:
+                    if whole or replies:
+                        raise RuntimeError("answers are missing")
+                    current = block
                 if shard < 0:
-                    whole[block] = check, data
+                    whole = check, data
                 else:
-                    replies.setdefault(block, []).append((shard, data))
-                if block in whole and len(replies.get(block, ())) == whole[block][0]:
-                    yield _scored(whole.pop(block)[1], replies.pop(block, []), model)
+                    replies.append((shard, data))
+                if whole and len(replies) == whole[0]:
+                    (_, data), whole = whole, None
+                    yield _scored(data, replies, model)
+                    replies = []
         if whole or replies:
             raise RuntimeError("answers are missing")
 
@@ -643,8 +712,8 @@ def _scored_rows(docs: DataFrame, model: NgramModel, block_bytes: int = BLOCK_BY
     for k in range(rounds):
         some = rows.where(F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(rounds)) == k) if rounds > 1 else rows
         asks = some.mapInArrow(told, _ROW_DDL).repartition(3 * max(model.shards, parts), "shard").sortWithinPartitions("shard")
-        with without_shuffle_files(spark):
-            out.append(materialize(asks.mapInArrow(answered, _ROW_DDL).repartition(parts, "block").mapInArrow(scored, _SCORED_DDL), "kn-scores"))
+        with without_shuffle_files(spark), in_small_batches(spark):
+            out.append(materialize(asks.mapInArrow(answered, _ROW_DDL).repartition(parts, "block").sortWithinPartitions("block").mapInArrow(scored, _SCORED_DDL), "kn-scores"))
     return reduce(DataFrame.unionAll, out)
 
 

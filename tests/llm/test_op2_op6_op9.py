@@ -1,6 +1,10 @@
+import random
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -307,3 +311,54 @@ def test_insults_in_long_texts(spark):
     assert sum(out[i]["toxic"] for i in new if i % 4 == 0) >= 28 and sum(out[i]["toxic"] for i in new if i % 4) <= 3
     kept = {r["doc_id"] for r in quality.filter_quality(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
     assert kept == {i for i, r in out.items() if r["keep"] and not r["toxic"]}
+
+
+def _counted(blocks, shards):
+    """Rows of training blocks, and the shards' parts of the model, both without Spark."""
+    cells = lambda rows: [tuple(c[0].as_py() for c in r.columns) for r in rows]
+    rows = [r for i, texts in enumerate(blocks) for r in cells(quality._learned({(0, False): list(texts)}, ["en"], shards, i))]
+    of = lambda rows, s: [r for r in rows if r[1] == s]
+    merged = [r for s in range(shards) for r in cells(quality._merged(of(rows, s), shards, 1))]
+    return rows, merged, [r for s in range(shards) for r in cells(quality._complete([r for r in of(merged, s) if r[2] != quality._KEPT], 1))]
+
+
+def test_slices_of_a_shard_give_the_same_model(monkeypatch):
+    rng = random.Random(8)
+    blocks = [[" ".join(f"w{int(rng.paretovariate(0.7)) % 400}" for _ in range(60)) for _ in range(40)] for _ in range(5)]
+    found = []
+    for size in (10**9, 200):
+        monkeypatch.setattr(quality, "SLICE", size)
+        _, merged, done = _counted(blocks, 3)
+        kept = [quality._unpack(r[3]) for r in merged if r[2] == quality._KEPT]
+        found.append([[x.tolist() for x in a] for a in kept + [quality._unpack(r[3]) for r in done]])
+    assert found[0] == found[1]
+    words = [["<s>", "<s>", *t.split(), "</s>"] for b in blocks for t in b]
+    grams = Counter(g for w in words for g in zip(w, w[1:], w[2:], strict=False))
+    pairs = Counter(g[1:] for g in grams)
+    stats = sum(np.array(quality._unpack(r[3])[0]) for r in done if r[2] == quality._DOCS)
+    assert stats[:8].tolist() == [sum(c == i for c in x.values()) for x in (grams, pairs) for i in (1, 2, 3, 4)]
+    assert sum(sum(c) for _, c in found[1][: len(kept)]) == sum(grams.values())
+
+
+def test_memory_of_a_shard_is_bounded():
+    rng = np.random.default_rng(4)
+    blocks = [[" ".join(w) for w in rng.zipf(1.3, (800, 200)).clip(0, 30_000).astype(str)] for _ in range(6)]
+    rows, _, _ = _counted(blocks, 1)
+    n = sum(len(quality._unpack(r[3])[5]) for r in rows if r[2] == quality._TRIGRAMS)
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        assert list(quality._merged(rows, 1, 1))
+        most = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert n > 500_000 and most < 95 * n, (most, n)
+
+
+def test_python_gets_small_batches(spark):
+    from chronomark.llm._common import BATCH_BYTES, in_small_batches
+
+    rows = spark.range(0, 60, 1, 1).selectExpr("repeat('x', 500000) AS t")
+    with in_small_batches(spark):
+        sizes = [r[0] for r in rows.mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in it), "n long").collect()]
+    assert sum(sizes) >= 30_000_000 and max(sizes) < 2 * BATCH_BYTES
