@@ -14,9 +14,11 @@ goes from left to right: it carries the state, follows failure arcs until there
 up what the arcs weigh. All documents of a block are walked abreast, in lanes of ``LANE`` words: the lanes of a long document
 begin ``order`` - 1 words early at the root, which brings them into the state that the whole document would carry.
 
-The exchange: a block sends to at most ``FANOUT`` key ranges. Where there are more shards, the rows of as many blocks are merged
-range by range, and the merged rows divided among as many finer ranges, level by level, until a range is a shard; answers go
-the same way back. So a level has blocks times ``FANOUT`` rows, and their number grows with the input, not with its square.
+The exchange: a block sends to at most ``FANOUT`` key ranges. Where there are more shards, the rows of as many blocks as there are
+ranges are merged range by range, and the merged rows divided among as many finer ranges, level by level, until a range is a
+shard; answers go the same way back. All levels divide by the same number, the least that does, so that a merge meets a block or
+two of n-grams however many shards there are. A level has at most blocks times ``FANOUT`` rows, and their number grows with the
+input, not with its square. What blocks send is made anew for the way back, not kept: it is twice the input.
 Words are told apart by 64 bits; longer n-grams by their shard and 40 bits more, so that two of a shard are
 confused with a probability of some 1 in 500,000 at any size of the corpus.
 
@@ -37,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomark.llm._common import _mix, as_bytes, materialize, table, worker_cache
+from chronomark.llm._common import _mix, as_bytes, materialize, table, without_shuffle_files, worker_cache
 
 ORDER = 3
 #: Smoothing of contexts of one word, of two and so on; the last one holds for longer ones too.
@@ -148,15 +150,15 @@ class Block:
             own = np.flatnonzero(has)
             yield own, (_shard_of(gram[own], shards) << _U(_KEY_BITS)) | (gram[own] & _U((1 << _KEY_BITS) - 1))
 
-    def counted(self, order: int, shards: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each n: sorted distinct n-gram keys, and how often training documents have them."""
-        train = self.training()
+    def counted(self, order: int, shards: int, learn: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each n: sorted distinct n-gram keys, and how often training documents have them (0 without ``learn``)."""
+        train = self.training() & learn
         yield self.vocabulary, np.bincount(self.words[train], minlength=len(self.vocabulary)).astype("<u4")
         for own, keys in self._keys(order, shards):
             learned = np.sort(keys[train[own]])
             keys = np.sort(keys)
             keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
-            yield keys, np.diff(np.searchsorted(learned, np.append(keys, ~_U(0)))).astype("<u4")
+            yield keys, np.diff(np.searchsorted(learned, np.append(keys, ~_U(0)))).astype("<u4") if learn else np.zeros(len(keys), "<u4")
 
     def grams(self, order: int, shards: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each n: sorted distinct n-gram keys, a position of each, and the one at each position (-1: none)."""
@@ -197,6 +199,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tup
 _ROW = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("check", pa.int64()), ("data", pa.binary())])
 _ROW_DDL = "block long, shard int, check long, data binary"
 _Rows = list[tuple[int, int, int, bytes]]
+_OTHER_ROWS = "two scans of the documents met other rows; pass a written table"
 
 
 def _row(block: int, shard: int, check: int, data: bytes) -> pa.RecordBatch:
@@ -223,15 +226,22 @@ def _in_groups(rows: DataFrame, parts: int, keys: list[str], of: Callable[[_Rows
     return rows.repartition(3 * parts, *keys).sortWithinPartitions(*keys).mapInArrow(batches, _ROW_DDL)
 
 
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    with without_shuffle_files(rows.sparkSession):
+        return materialize(rows, name)
+
+
 class Exchange:
     """How n-gram counts get from blocks to shards and back; small, it is sent with the tasks."""
 
     def __init__(self, order: int, shards: int, blocks: int, fanout: int):
-        self.order, self.shards, self.fanout = order, shards, fanout
+        self.order, self.shards, self.fanout = order, shards, 1
         self.levels = 1
         while fanout**self.levels < shards:
             self.levels += 1
-        self.groups = [max(1, -(-blocks // fanout**k)) for k in range(self.levels + 1)]
+        while self.fanout**self.levels < shards:  # as even as it can be: few wide ranges would have many blocks whole
+            self.fanout += 1
+        self.groups = [max(1, -(-blocks // self.fanout**k)) for k in range(self.levels + 1)]
 
     def ranges(self, level: int) -> int:
         return -(-self.shards // self._width(level))
@@ -278,9 +288,14 @@ class Exchange:
     def merge(self, rows: _Rows, level: int) -> Iterator[pa.RecordBatch]:
         """Rows of several blocks in one range → their sum, divided among the ranges of the next level."""
         asked = self._asked(rows)
-        merged = [self._merged(asked, k) for k in range(self.order)]
+        merged = [self._merged(asked, k)[:2] for k in range(self.order)]
         first = rows[0][1] * self.fanout
-        yield from self.divided(rows[0][4], level + 1, first, min(first + self.fanout, self.ranges(level + 1)), [m[0] for m in merged], [m[1] for m in merged], 0)
+        yield from self.divided(rows[0][4], level + 1, first, min(first + self.fanout, self.ranges(level + 1)), [m[0] for m in merged], [m[1] for m in merged], self._together(rows))
+
+    @staticmethod
+    def _together(rows: _Rows) -> int:
+        """A checksum of blocks, whatever their order."""
+        return zlib.crc32(repr(sorted((r[0], r[2]) for r in rows)).encode())
 
     def _replies(self, rows: _Rows, sizes: list[np.ndarray], totals: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         """``totals``: by order, the corpus counts and the key of every entry."""
@@ -301,25 +316,32 @@ class Exchange:
 
     def pass_on(self, rows: _Rows) -> Iterator[pa.RecordBatch]:
         """Rows that were merged, and the answers to the ranges that they were divided into (by place) → answers to each."""
-        asking = [r for r in rows if r[5] < 0]
+        asking = sorted((r for r in rows if r[5] < 0), key=lambda r: r[0])
+        answers = sorted((r for r in rows if r[5] >= 0), key=lambda r: r[5])
+        if not answers or any(r[2] != self._together(asking) for r in answers):
+            raise RuntimeError(_OTHER_ROWS)
         asked = self._asked(asking)
         sizes = self._sizes(asked)
-        counts = [_unpack(r[3]) for r in sorted((r for r in rows if r[5] >= 0), key=lambda r: r[5])]
-        yield from self._replies(asking, sizes, [(np.concatenate([c[k] for c in counts]), self._merged(asked, k)[2]) for k in range(self.order)])
+        counts = [_unpack(r[3]) for r in answers]
+        yield from self._replies(asking, sizes, [(np.concatenate([c[k] for c in counts]), _distinct(self._taken(asked, 2 * k))[2]) for k in range(self.order)])
+
+    def corpus_counts(self, asks: DataFrame, again: DataFrame) -> DataFrame:
+        """What blocks send (level 1) → a row with corpus counts for each, and one a shard with its tokens and types (block -1).
 
-    def corpus_counts(self, asks: DataFrame) -> DataFrame:
-        """What blocks sent (level 1) → a row with corpus counts for each, and one a shard with its tokens and types (block -1)."""
+        With more than one level, ``again`` makes the same rows for the way back; its counts are not read."""
         parent = lambda level: F.pmod(F.xxhash64("block"), F.lit(self.groups[level]))
         levels = []
         for level in range(1, self.levels):
-            levels.append(materialize(asks.withColumn("parent", parent(level)), f"lm-asks-{level}"))
-            asks = _in_groups(levels[-1], max(1, self.groups[level] * self.ranges(level)), ["parent", "shard"], lambda rows, level=level: self.merge(rows, level))
-        found = materialize(_in_groups(asks, self.shards, ["shard"], self.answer), "lm-counts")
+            asks = asks.withColumn("parent", parent(level))
+            asks = asks if level == 1 else _written(asks, f"lm-asks-{level}")
+            levels.append(again.withColumn("parent", parent(level)) if level == 1 else asks)
+            asks = _in_groups(asks, max(1, self.groups[level] * self.ranges(level)), ["parent", "shard"], lambda rows, level=level: self.merge(rows, level))
+        found = _written(_in_groups(asks, self.shards, ["shard"], self.answer), "lm-counts")
         totals = found.where("block = -1")
         for level in range(self.levels - 1, 0, -1):
             up = found.where("block >= 0").select("block", F.floor(F.col("shard") / self.fanout).cast("int").alias("shard"), "check", "data", F.col("block").alias("parent"), F.col("shard").alias("place"))
             both = levels[level - 1].withColumn("place", F.lit(-1)).unionByName(up)
-            found = materialize(_in_groups(both, max(1, self.groups[level] * self.ranges(level)), ["parent", "shard"], self.pass_on), f"lm-counts-{level}")
+            found = _written(_in_groups(both, max(1, self.groups[level] * self.ranges(level)), ["parent", "shard"], self.pass_on), f"lm-counts-{level}")
         return found if self.levels == 1 else found.unionAll(totals)
 
 
@@ -452,7 +474,7 @@ SCORE_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_t
 def _score(data: bytes, check: int, replies: dict[int, tuple[int, bytes]], exchange: Exchange, tokens: int, types: int, mu: tuple[float, ...]) -> pa.RecordBatch:
     block = Block.unpacked(data)
     if len(replies) != exchange.ranges(1) or any(c != check for c, _ in replies.values()):
-        raise RuntimeError("the two scans of the documents met other rows; pass a written table")
+        raise RuntimeError(_OTHER_ROWS)
     answered = [_unpack(replies[s][1]) for s in sorted(replies)]
     counts = [np.concatenate([a[k] for a in answered]) for k in range(exchange.order)]
     known, base, score = Automaton(block, counts, exchange.shards, tokens, types, mu).scores()
@@ -473,16 +495,16 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: tuple[float, ...] | float
     parts = max(1, -(-size // block_bytes))
     exchange = Exchange(order, max(1, -(-size // shard_bytes)), parts, fanout)
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch], learn: bool = True) -> Iterator[pa.RecordBatch]:
         for number, block in _blocks(batches, block_bytes):
-            keys, counts = zip(*block.counted(order, exchange.shards), strict=True)
+            keys, counts = zip(*block.counted(order, exchange.shards, learn), strict=True)
             yield from exchange.divided(number, 1, 0, exchange.ranges(1), keys, counts, block.check)
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, block in _blocks(batches, block_bytes):
             yield _row(number, -1, block.check, block.packed())
 
-    answers = exchange.corpus_counts(rows.mapInArrow(ask, _ROW_DDL))
+    answers = exchange.corpus_counts(rows.mapInArrow(ask, _ROW_DDL), rows.mapInArrow(lambda batches: ask(batches, learn=False), _ROW_DDL))
     tokens = types = 0
     for r in answers.where("block = -1").select("check", "data").toLocalIterator():  # one short row a shard
         tokens, types = tokens + r["check"], types + int(np.frombuffer(bytes(r["data"]), "<i8")[0])

@@ -311,3 +311,32 @@ def test_a_shard_gives_its_entries_up_as_they_are_merged():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n == 13 and peak < 3 * raw, peak / raw
+
+
+def test_a_merge_meets_few_blocks_at_any_number_of_shards():
+    """Just over 64 shards, two ranges would hold the n-grams of 64 blocks between them."""
+    for shards in [*range(1, 600), 4095, 4096, 4097, 5000]:
+        exchange = lm_scoring.Exchange(3, shards, 3 * shards, 64)
+        assert 1 <= exchange.ranges(1) <= 64 and exchange.ranges(exchange.levels) == shards
+        for level in range(1, exchange.levels):
+            blocks = exchange.groups[0] / exchange.groups[level]
+            assert blocks * exchange._width(level) / shards < 2.5, (shards, level)
+
+
+def test_a_merge_tells_rows_of_another_scan():
+    exchange = lm_scoring.Exchange(2, 4, 3, 2)
+    block = lm_scoring.Block.of([1], [b"a b c a b"])
+
+    def rows(check, learn, *place):
+        keys, counts = zip(*block.counted(2, 4, learn), strict=True)
+        return [(7, r.column(1)[0].as_py(), check, r.column(3)[0].as_py(), 0, *place) for r in exchange.divided(7, 1, 0, 2, keys, counts, check)]
+
+    merged = [b for r in rows(5, True) if r[1] == 0 for b in exchange.merge([r], 1)]
+    answers = []
+    for b in merged:
+        block_, shard, check, data = (c[0].as_py() for c in b.columns)
+        found = [x for x in exchange.answer([(block_, shard, check, data)]) if x.column(0)[0].as_py() >= 0]
+        answers += [(x.column(0)[0].as_py(), 0, x.column(2)[0].as_py(), x.column(3)[0].as_py(), 0, shard) for x in found]
+    assert len(list(exchange.pass_on([*rows(5, False, -1)[:1], *answers]))) == 1
+    with pytest.raises(RuntimeError, match="other rows"):
+        list(exchange.pass_on([*rows(6, False, -1)[:1], *answers]))
